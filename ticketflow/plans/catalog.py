@@ -11,9 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketflow.operators import gold, reports, silver
+from pyspark.sql import functions as F
+
+from ticketflow.operators import gold, quality, reports, silver
 from ticketflow.plans import inputs
+from ticketflow.plans.gold_build import GOLD_TABLES
+from ticketflow.session import scratch_path
 from ticketflow.sources.fixtures import SNAPSHOT_TIE_BREAKERS
+from ticketflow.sources.lake import scan_partitioned, write_partitions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,9 +50,67 @@ def q_explode_bridge(spark, root):
 
 
 def q_silver_tickets(spark, root):
+    return inputs.silver_candidate(spark, root)
+
+
+def q_silver_publish(spark, root):
     return inputs.silver(spark, root)
 
 
+# --- bronze tables -----------------------------------------------------------------
+
+SCAN_RANGE = ("1997-01-01", "1998-01-01")
+
+
+def q_scan_partitioned(spark, root):
+    return scan_partitioned(spark, inputs.bronze_path(spark, root), "dt", *SCAN_RANGE)
+
+
+def q_partition_overwrite(spark, root):
+    """Land bronze, re-land one year changed, land an empty frame: only that year's
+    partitions change and the empty write lands nothing."""
+    b = inputs.bronze(spark, root)
+    path = scratch_path(spark, "overwrite")
+    write_partitions(b, path)
+    changed = (b.where(F.year("dt") == 1996)
+               .withColumn("view_count", F.col("view_count") + 100))
+    write_partitions(changed, path)
+    write_partitions(b.limit(0), path)
+    return spark.read.parquet(path)
+
+
+# --- quality -----------------------------------------------------------------------
+
+def q_dq_non_empty(spark, root):
+    return quality.check_non_empty(inputs.bronze(spark, root))
+
+
+def q_dq_not_null(spark, root):
+    return quality.check_not_null(inputs.bronze(spark, root), ["ticket_id", "district", "lon"])
+
+
+def q_dq_unique(spark, root):
+    return quality.check_unique(inputs.bronze(spark, root))
+
+
+def q_dq_geo_bounds(spark, root):
+    return quality.check_geo_bounds(inputs.bronze(spark, root))
+
+
+def q_dq_rowcount_delta(spark, root):
+    b = inputs.bronze(spark, root)
+    return quality.check_rowcount_delta(inputs.silver(spark, root), quality.bronze_baseline(b))
+
+
+def q_quality_gate(spark, root):
+    b = inputs.bronze(spark, root)
+    return quality.quality_gate(inputs.silver(spark, root), quality.bronze_baseline(b))
+
+
+def q_quality_gate_bronze(spark, root):
+    return quality.quality_gate(inputs.bronze(spark, root))
+
+
 # --- gold ------------------------------------------------------------------------
 
 def q_dim_district(spark, root):
@@ -66,30 +129,29 @@ def q_fact_lifecycle(spark, root):
     return inputs.lifecycle(spark, root)
 
 
+def _base(spark, root):
+    return gold.ticket_category_base(inputs.silver(spark, root), inputs.bridge(spark, root))
+
+
 def q_ticket_category_base(spark, root):
-    s = inputs.silver(spark, root)
-    return gold.ticket_category_base(s, silver.explode_bridge(s))
+    return _base(spark, root)
 
 
 def q_opened_daily(spark, root):
-    s = inputs.silver(spark, root)
-    return gold.opened_daily(gold.ticket_category_base(s, silver.explode_bridge(s)))
+    return gold.opened_daily(_base(spark, root))
 
 
 def q_closed_daily(spark, root):
-    s = inputs.silver(spark, root)
-    return gold.closed_daily(gold.ticket_category_base(s, silver.explode_bridge(s)))
+    return gold.closed_daily(_base(spark, root))
 
 
 def q_dense_grid(spark, root):
-    s = inputs.silver(spark, root)
-    return gold.dense_grid(gold.dim_district(s), gold.dim_category(silver.explode_bridge(s)),
-                           gold.dim_date(s))
+    s, b = inputs.silver(spark, root), inputs.bridge(spark, root)
+    return gold.dense_grid(gold.dim_district(s), gold.dim_category(b), gold.dim_date(s))
 
 
 def _two_join_cells(spark, root):
-    s = inputs.silver(spark, root)
-    b = silver.explode_bridge(s)
+    s, b = inputs.silver(spark, root), inputs.bridge(spark, root)
     base = gold.ticket_category_base(s, b)
     grid = gold.dense_grid(gold.dim_district(s), gold.dim_category(b), gold.dim_date(s))
     return gold.densify(grid, gold.opened_daily(base), gold.closed_daily(base))
@@ -107,18 +169,33 @@ def q_fact_daily(spark, root):
     return inputs.daily(spark, root)
 
 
+def q_fact_daily_exact(spark, root):
+    return gold.fact_daily(inputs.silver(spark, root), exact_median=True)
+
+
+def q_gold_build(spark, root):
+    """Row counts of every published gold table (counted from the written tables)."""
+    counts = [inputs.gold_table(spark, root, t).agg(F.count(F.lit(1)).alias("rows"))
+              .select(F.lit(t).alias("table_name"), "rows") for t in GOLD_TABLES]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
 # --- reports ---------------------------------------------------------------------
 
 def q_latest_day(spark, root):
-    return reports.latest_day(inputs.daily(spark, root))
+    return reports.latest_day(inputs.gold_table(spark, root, "fact_district_daily"))
 
 
 def q_top_backlog(spark, root):
-    return reports.top_backlog(inputs.daily(spark, root), REPORT_CATEGORY)
+    return reports.top_backlog(inputs.gold_table(spark, root, "fact_district_daily"),
+                               REPORT_CATEGORY)
 
 
 def q_median_resolution(spark, root):
-    return reports.median_resolution(inputs.lifecycle(spark, root))
+    return reports.median_resolution(inputs.gold_table(spark, root, "fact_ticket_lifecycle"))
 
 
 QUERIES: dict[str, Query] = {
@@ -128,6 +205,16 @@ QUERIES: dict[str, Query] = {
     "normalize_state": q_normalize_state,
     "explode_bridge": q_explode_bridge,
     "silver_tickets": q_silver_tickets,
+    "silver_publish": q_silver_publish,
+    "scan_partitioned": q_scan_partitioned,
+    "partition_overwrite": q_partition_overwrite,
+    "dq_non_empty": q_dq_non_empty,
+    "dq_not_null": q_dq_not_null,
+    "dq_unique": q_dq_unique,
+    "dq_geo_bounds": q_dq_geo_bounds,
+    "dq_rowcount_delta": q_dq_rowcount_delta,
+    "quality_gate": q_quality_gate,
+    "quality_gate_bronze": q_quality_gate_bronze,
     "dim_district": q_dim_district,
     "dim_category": q_dim_category,
     "dim_date": q_dim_date,
@@ -139,6 +226,8 @@ QUERIES: dict[str, Query] = {
     "densify": q_densify,
     "running_backlog": q_running_backlog,
     "fact_daily": q_fact_daily,
+    "fact_daily_exact": q_fact_daily_exact,
+    "gold_build": q_gold_build,
     "latest_day": q_latest_day,
     "top_backlog": q_top_backlog,
     "median_resolution": q_median_resolution,

@@ -1,33 +1,84 @@
-"""Lazy layer inputs over the driver's tables: bronze snapshots -> silver -> gold.
+"""Layer inputs over the driver's tables: bronze -> silver -> gold.
 
-Each function returns a plan (no action), so a query over gold carries the whole
-bronze -> silver -> gold lineage and Catalyst prunes and pushes down across it.
+Each layer is published once per session into the shared folder named by
+``spark.checkpoint.dir`` -- bronze as dated partitions, silver and gold as gated,
+versioned publishes -- and later queries read the published tables, as the separate
+jobs of a lakehouse do. Writing the layer cuts the lineage: a gold query does not
+re-run the bronze dedup shuffle once per branch of its plan, and a lost executor
+only costs the stage it was running.
 """
 
 from __future__ import annotations
 
+import os
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ticketflow.operators import gold
-from ticketflow.operators.silver import explode_bridge, silver_tickets
-from ticketflow.session import configure
+from ticketflow.operators.silver import silver_tickets
+from ticketflow.plans.gold_build import build_gold
+from ticketflow.plans.silver_publish import BRIDGE, TICKETS, publish_silver
+from ticketflow.session import configure, scratch_path
 from ticketflow.sources import fixtures
+from ticketflow.sources.lake import read_published, scan_partitioned, write_partitions
 
+_STAGED: dict[tuple, str] = {}
+_LOCK = threading.RLock()
 
-def bronze(spark: SparkSession, root: str) -> DataFrame:
+
+def _staged(spark: SparkSession, root: str, layer: str, build) -> str:
+    key = (spark.sparkContext.applicationId, os.path.abspath(root), layer)
+    with _LOCK:
+        if key not in _STAGED:
+            path = scratch_path(spark, layer)
+            build(path)
+            _STAGED[key] = path
+        return _STAGED[key]
+
+
+def bronze_path(spark: SparkSession, root: str) -> str:
     configure(spark)
-    return fixtures.bronze_snapshots(spark, root)
+    return _staged(spark, root, "bronze",
+                   lambda p: write_partitions(fixtures.bronze_snapshots(spark, root), p, "dt"))
 
 
-def silver(spark: SparkSession, root: str) -> DataFrame:
+def bronze(spark: SparkSession, root: str) -> DataFrame:
+    """The bronze table: every dated partition of the landed snapshots."""
+    return scan_partitioned(spark, bronze_path(spark, root))
+
+
+def silver_candidate(spark: SparkSession, root: str) -> DataFrame:
+    """Silver tickets as a lazy plan over bronze (not yet gated or published)."""
     return silver_tickets(bronze(spark, root), tie_breakers=fixtures.SNAPSHOT_TIE_BREAKERS)
 
 
+def silver_root(spark: SparkSession, root: str) -> str:
+    def build(path):
+        publish_silver(spark, bronze(spark, root), path,
+                       tie_breakers=fixtures.SNAPSHOT_TIE_BREAKERS, report=lambda _: None)
+    return _staged(spark, root, "silver", build)
+
+
+def silver(spark: SparkSession, root: str) -> DataFrame:
+    return read_published(spark, silver_root(spark, root), TICKETS)
+
+
 def bridge(spark: SparkSession, root: str) -> DataFrame:
-    return explode_bridge(silver(spark, root))
+    return read_published(spark, silver_root(spark, root), BRIDGE)
+
+
+def gold_root(spark: SparkSession, root: str) -> str:
+    return _staged(spark, root, "gold",
+                   lambda p: build_gold(spark, silver(spark, root), bridge(spark, root), p))
+
+
+def gold_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    return read_published(spark, gold_root(spark, root), table)
 
 
 def daily(spark: SparkSession, root: str) -> DataFrame:
+    """The daily fact built now from published silver (not read from gold)."""
     return gold.fact_daily(silver(spark, root))
 
 

@@ -170,6 +170,29 @@ def _with(ctes: str, body: str) -> str:
 
 REPORT_CATEGORY = "STANDARD"
 
+NOT_NULL_BRONZE = "ticket_id IS NULL OR district IS NULL OR lon IS NULL"
+
+
+def _gate(rel: str, not_null: str, label: str, with_delta: bool) -> str:
+    delta = ""
+    if with_delta:
+        delta = f""",
+  ('rowcount_delta', coalesce(b > 0 AND n <= b AND n >= b * 0.5, false),
+   printf('silver=%d vs bronze_distinct=%d (min_ratio=0.5)', n, b))"""
+    return f"""m AS (
+  SELECT count(*) AS n, count(*) FILTER (WHERE {not_null}) AS null_rows,
+    count(*) - (count(DISTINCT ticket_id) + max(CAST(ticket_id IS NULL AS INTEGER))) AS dup,
+    count(*) FILTER (WHERE NOT ({IN_BOX})) AS outside,
+    (SELECT count(DISTINCT ticket_id) + max(CAST(ticket_id IS NULL AS INTEGER)) FROM bronze) AS b
+  FROM {rel}
+)
+SELECT t.* FROM m, LATERAL (VALUES
+  ('non_empty', n > 0, printf('%d rows', n)),
+  ('not_null', null_rows = 0, printf('%d rows null in {label}', null_rows)),
+  ('unique_ticket_id', dup = 0, printf('%d duplicate ticket_id', dup)),
+  ('geo_bounds', outside = 0, printf('%d rows outside the city bbox', outside)){delta}
+) AS t(name, passed, detail)"""
+
 ORACLE: dict[str, str] = {
     "dedup_latest": _with(f"{TICKETS},\n{DEDUP}", "SELECT * FROM deduped"),
     "parse_timestamps": _with(TICKETS, f"SELECT * REPLACE ({PARSED}) FROM bronze"),
@@ -177,6 +200,35 @@ ORACLE: dict[str, str] = {
     "normalize_state": _with(TICKETS, f"SELECT *, {STATUS} AS status FROM bronze"),
     "explode_bridge": _with(SILVER, "SELECT * FROM bridge"),
     "silver_tickets": _with(SILVER, "SELECT * FROM silver"),
+    "silver_publish": _with(SILVER, "SELECT * FROM silver"),
+    "scan_partitioned": _with(TICKETS, """SELECT * FROM bronze
+WHERE dt >= DATE '1997-01-01' AND dt < DATE '1998-01-01'"""),
+    "partition_overwrite": _with(TICKETS, """SELECT * REPLACE (
+  CASE WHEN year(dt) = 1996 THEN view_count + 100 ELSE view_count END AS view_count)
+FROM bronze"""),
+    "dq_non_empty": _with(TICKETS, """SELECT 'non_empty' AS name, count(*) > 0 AS passed,
+  printf('%d rows', count(*)) AS detail FROM bronze"""),
+    "dq_not_null": _with(TICKETS, f"""SELECT 'not_null' AS name, count(*) = 0 AS passed,
+  printf('%d rows null in [''ticket_id'', ''district'', ''lon'']', count(*)) AS detail
+FROM bronze WHERE {NOT_NULL_BRONZE}"""),
+    "dq_unique": _with(TICKETS, """SELECT 'unique_ticket_id' AS name, d = 0 AS passed,
+  printf('%d duplicate ticket_id', d) AS detail
+FROM (SELECT count(*) - (count(DISTINCT ticket_id)
+  + max(CAST(ticket_id IS NULL AS INTEGER))) AS d FROM bronze)"""),
+    "dq_geo_bounds": _with(TICKETS, f"""SELECT 'geo_bounds' AS name, count(*) = 0 AS passed,
+  printf('%d rows outside the city bbox', count(*)) AS detail
+FROM bronze WHERE NOT ({IN_BOX})"""),
+    "dq_rowcount_delta": _with(SILVER, """SELECT 'rowcount_delta' AS name,
+  coalesce(b > 0 AND n <= b AND n >= b * 0.5, false) AS passed,
+  printf('silver=%d vs bronze_distinct=%d (min_ratio=0.5)', n, b) AS detail
+FROM (SELECT (SELECT count(*) FROM silver) AS n,
+  (SELECT count(DISTINCT ticket_id) + max(CAST(ticket_id IS NULL AS INTEGER)) FROM bronze) AS b)"""),
+    "quality_gate": _with(SILVER + ",\n" + _gate(
+        "silver", "ticket_id IS NULL OR lon IS NULL OR lat IS NULL",
+        "[''ticket_id'', ''lon'', ''lat'']", True), ""),
+    "quality_gate_bronze": _with(TICKETS + ",\n" + _gate(
+        "bronze", "ticket_id IS NULL OR lon IS NULL OR lat IS NULL",
+        "[''ticket_id'', ''lon'', ''lat'']", False), ""),
     "dim_district": _with(GOLD, "SELECT * FROM dim_district"),
     "dim_category": _with(GOLD, "SELECT * FROM dim_category"),
     "dim_date": _with(GOLD, "SELECT * FROM dim_date"),
@@ -188,6 +240,12 @@ ORACLE: dict[str, str] = {
     "densify": _with(GOLD, "SELECT * FROM cells"),
     "running_backlog": _with(GOLD, "SELECT * FROM daily"),
     "fact_daily": _with(GOLD, "SELECT * FROM daily"),
+    "fact_daily_exact": _with(GOLD, "SELECT * FROM daily"),
+    "gold_build": _with(GOLD, """SELECT 'dim_district' AS table_name, count(*) AS "rows" FROM dim_district
+UNION ALL SELECT 'dim_category', count(*) FROM dim_category
+UNION ALL SELECT 'dim_date', count(*) FROM dim_date
+UNION ALL SELECT 'fact_ticket_lifecycle', count(*) FROM lifecycle
+UNION ALL SELECT 'fact_district_daily', count(*) FROM daily"""),
     "latest_day": _with(GOLD, "SELECT max(date) AS latest_date FROM daily"),
     "top_backlog": _with(GOLD, f"""SELECT district, backlog FROM daily
 WHERE category = '{REPORT_CATEGORY}' AND date = (SELECT max(date) FROM daily)

@@ -23,7 +23,6 @@ from dataclasses import dataclass
 #   forward -> forwarded
 #   irrelevant -> rejected
 # Minimum silver/bronze ratio of the row-count check: 0.5
-# Load-metadata source tag of the feed: traffy
 CITY_SOUTH, CITY_WEST, CITY_NORTH, CITY_EAST = 13.49, 100.32, 14.00, 100.94
 FEED_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 FEED_TS_COLUMNS = ("timestamp", "last_activity", "timestamp_inprogress", "timestamp_finished")
@@ -35,7 +34,7 @@ FEED_STATE_CODES = {
     "irrelevant": "rejected",
 }
 MIN_SILVER_RATIO = 0.5
-FEED_SOURCE_TAG = "traffy"
+FEED_SOURCE_TAG = "feed"  # load-metadata _source tag (not part of any result)
 # --- end of fixed values ----------------------------------------------------------
 
 

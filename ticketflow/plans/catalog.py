@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from ticketflow.operators import gold, quality, reports, silver
@@ -18,6 +17,10 @@ from ticketflow.plans import inputs
 from ticketflow.plans.gold_build import GOLD_TABLES
 from ticketflow.session import scratch_path
 from ticketflow.sources.fixtures import SNAPSHOT_TIE_BREAKERS
+from ticketflow.operators.bronze import flatten_features, stamp_load_metadata, window_filter
+from ticketflow.plans.bronze_load import load_bronze
+from ticketflow.sources import feed
+from ticketflow.sources.fixtures import FEED_PAGE_SIZE
 from ticketflow.sources.lake import scan_partitioned, write_partitions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +29,49 @@ Query = Callable[[SparkSession, str], DataFrame]
 REPORT_CATEGORY = "STANDARD"
 
 
+# --- ingest ----------------------------------------------------------------------
+
+FEED_WINDOW = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
+FIXED_RUN = ("2024-01-31", "2024-02-01T00:00:00+00:00")  # run id, logical load time
+FEED_MAX_RECORDS = 5000
+
+
+def q_feed_pages(spark, root):
+    """Landed pages read with a declared schema: one summary row per page."""
+    p = inputs.pages(spark, root)
+    return p.select("poll_id", "page_offset",
+                    F.size("features").cast("long").alias("n_features"),
+                    F.array_min("features.properties.last_activity").alias("oldest"),
+                    F.array_max("features.properties.last_activity").alias("newest"))
+
+
+def q_page_until_boundary(spark, root):
+    p = inputs.pages(spark, root)
+    kept = feed.page_until_boundary(p, F.concat(F.col("poll_id"), F.lit(" 00:00:00")),
+                                    FEED_PAGE_SIZE, FEED_MAX_RECORDS)
+    keep = ("poll_id", "page_offset")
+    return flatten_features(feed.page_features(kept, keep), "feature", keep)
+
+
+def q_flatten_json(spark, root):
+    return inputs.feed_rows(spark, root)
+
+
+def q_window_filter(spark, root):
+    return window_filter(inputs.feed_rows(spark, root), *FEED_WINDOW)
+
+
+def q_stamp_load_metadata(spark, root):
+    return stamp_load_metadata(inputs.feed_rows(spark, root), FIXED_RUN[0],
+                               ingested_at=FIXED_RUN[1])
+
+
+def q_bronze_load(spark, root):
+    path = scratch_path(spark, "bronze-load")
+    load_bronze(inputs.pages(spark, root), path, FEED_PAGE_SIZE, FEED_MAX_RECORDS)
+    return spark.read.parquet(path)
+
+
 # --- silver ----------------------------------------------------------------------
 
 def q_dedup_latest(spark, root):
@@ -199,6 +245,12 @@ def q_median_resolution(spark, root):
 
 
 QUERIES: dict[str, Query] = {
+    "feed_pages": q_feed_pages,
+    "page_until_boundary": q_page_until_boundary,
+    "flatten_json": q_flatten_json,
+    "window_filter": q_window_filter,
+    "stamp_load_metadata": q_stamp_load_metadata,
+    "bronze_load": q_bronze_load,
     "dedup_latest": q_dedup_latest,
     "parse_timestamps": q_parse_timestamps,
     "bbox_filter": q_bbox_filter,

@@ -20,7 +20,8 @@ from ticketflow.operators.silver import silver_tickets
 from ticketflow.plans.gold_build import build_gold
 from ticketflow.plans.silver_publish import BRIDGE, TICKETS, publish_silver
 from ticketflow.session import configure, scratch_path
-from ticketflow.sources import fixtures
+from ticketflow.operators.bronze import flatten_features
+from ticketflow.sources import feed, fixtures
 from ticketflow.sources.lake import read_published, scan_partitioned, write_partitions
 
 _STAGED: dict[tuple, str] = {}
@@ -48,6 +49,23 @@ def bronze(spark: SparkSession, root: str) -> DataFrame:
     return scan_partitioned(spark, bronze_path(spark, root))
 
 
+def pages_path(spark: SparkSession, root: str) -> str:
+    """Landed feed pages (JSON, one record per page) derived from the events table."""
+    configure(spark)
+    return _staged(spark, root, "landed",
+                   lambda p: fixtures.feed_pages(spark, root).write.json(p))
+
+
+def pages(spark: SparkSession, root: str) -> DataFrame:
+    return feed.read_pages(spark, pages_path(spark, root))
+
+
+def feed_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Every landed feature, flattened, with its poll and page."""
+    keep = ("poll_id", "page_offset")
+    return flatten_features(feed.page_features(pages(spark, root), keep), "feature", keep)
+
+
 def silver_candidate(spark: SparkSession, root: str) -> DataFrame:
     """Silver tickets as a lazy plan over bronze (not yet gated or published)."""
     return silver_tickets(bronze(spark, root), tie_breakers=fixtures.SNAPSHOT_TIE_BREAKERS)

@@ -170,6 +170,45 @@ def _with(ctes: str, body: str) -> str:
 
 REPORT_CATEGORY = "STANDARD"
 
+FEED = f"""ev AS (SELECT *, CAST(ts AS DATE) AS day FROM events),
+tops AS (SELECT day AS poll_day, max(event_id) AS top FROM ev GROUP BY day),
+feed AS (
+  SELECT t.poll_day, t.top, e.* FROM ev e JOIN tops t ON e.day = t.poll_day
+  UNION ALL
+  SELECT t.poll_day, t.top, e.* FROM ev e JOIN tops t ON e.day + 1 = t.poll_day
+),
+feat AS (
+  SELECT strftime(poll_day, '%Y-%m-%d') AS poll_id,
+    CAST(floor((top - event_id) / 50) * 50 AS BIGINT) AS page_offset,
+    'U' || CAST(user_id AS VARCHAR) AS ticket_id,
+    strftime(ts, {TS_FMT}) AS last_activity,
+    event_type AS district, [event_type] AS problem_type_fondue,
+    CASE event_type WHEN 'signup' THEN 'start' WHEN 'view' THEN 'inprogress'
+      WHEN 'purchase' THEN 'finish' WHEN 'click' THEN 'forward'
+      WHEN 'error' THEN 'irrelevant' END AS state_type_latest,
+    CAST(json_extract_string(props, '$.k') AS BIGINT) AS view_count,
+    {_coord('100.25', 'user_id', 80)} AS lon,
+    {_coord('13.45', 'event_id', 60)} AS lat
+  FROM feed
+),
+pages AS (
+  SELECT poll_id, page_offset, count(*) AS n_features, min(last_activity) AS oldest,
+    max(last_activity) AS newest
+  FROM feat GROUP BY ALL
+),
+marks AS (
+  SELECT poll_id, page_offset,
+    coalesce(sum(n_features) OVER w, 0) AS before,
+    coalesce(bool_or(oldest < poll_id || ' 00:00:00' OR n_features = 0) OVER w, false)
+      AS stopped
+  FROM pages
+  WINDOW w AS (PARTITION BY poll_id ORDER BY page_offset
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+kept AS (SELECT poll_id, page_offset FROM marks WHERE before < 5000 AND NOT stopped)"""
+
+NEXT_DAY = "strftime(CAST(poll_id AS DATE) + 1, '%Y-%m-%d')"
+
 NOT_NULL_BRONZE = "ticket_id IS NULL OR district IS NULL OR lon IS NULL"
 
 
@@ -194,6 +233,18 @@ SELECT t.* FROM m, LATERAL (VALUES
 ) AS t(name, passed, detail)"""
 
 ORACLE: dict[str, str] = {
+    "feed_pages": _with(FEED, "SELECT * FROM pages"),
+    "page_until_boundary": _with(FEED, "SELECT f.* FROM feat f JOIN kept USING (poll_id, page_offset)"),
+    "flatten_json": _with(FEED, "SELECT * FROM feat"),
+    "window_filter": _with(FEED, """SELECT * FROM feat
+WHERE last_activity >= '2024-01-10 00:00:00' AND last_activity < '2024-01-20 00:00:00'"""),
+    "stamp_load_metadata": _with(FEED, """SELECT *, '2024-02-01T00:00:00+00:00' AS _ingested_at,
+  'feed' AS _source, '2024-01-31' AS _run_id FROM feat"""),
+    "bronze_load": _with(FEED, f"""SELECT f.* EXCLUDE (poll_id, page_offset),
+  {NEXT_DAY} || 'T00:00:00+00:00' AS _ingested_at, 'feed' AS _source, poll_id AS _run_id,
+  CAST(poll_id AS DATE) AS dt
+FROM feat f JOIN kept USING (poll_id, page_offset)
+WHERE last_activity >= poll_id || ' 00:00:00' AND last_activity < {NEXT_DAY} || ' 00:00:00'"""),
     "dedup_latest": _with(f"{TICKETS},\n{DEDUP}", "SELECT * FROM deduped"),
     "parse_timestamps": _with(TICKETS, f"SELECT * REPLACE ({PARSED}) FROM bronze"),
     "bbox_filter": _with(TICKETS, f"SELECT * FROM bronze WHERE {IN_BOX}"),

@@ -123,3 +123,54 @@ def bronze_snapshots(spark: SparkSession, root: str) -> DataFrame:
 
 
 SNAPSHOT_TIE_BREAKERS = ("view_count",)
+
+
+# --- landed feed pages from the events table ---------------------------------------
+#
+# Fixed fixture rules (shared with the SQL oracle): one poll per event day D; the
+# poll's newest-first feed lists the events of D and of D-1, ranked by event id from
+# the newest event of D; pages hold FEED_PAGE_SIZE features. A feature is
+# ticket_id 'U' || user_id, last_activity = ts as text, district = event_type,
+# categories = [event_type], view_count = props.k, coordinates
+# [100.25 + (user_id % 80) / 100, 13.45 + (event_id % 60) / 100], and the raw state
+# code by event type: signup -> start, view -> inprogress, purchase -> finish,
+# click -> forward, error -> irrelevant.
+FEED_PAGE_SIZE = 50
+EVENT_STATE_CODES = {"signup": "start", "view": "inprogress", "purchase": "finish",
+                     "click": "forward", "error": "irrelevant"}
+
+
+def feed_features(spark: SparkSession, root: str, page_size: int = FEED_PAGE_SIZE) -> DataFrame:
+    """(poll_id, page_offset, feature) rows of every poll's feed."""
+    ev = (read_table(spark, root, "events", ["event_id", "ts", "user_id", "event_type", "props"])
+          .withColumn("day", F.to_date("ts")))
+    # one row per day: bounded by the calendar, so the joins below broadcast it
+    tops = ev.groupBy(F.col("day").alias("poll_day")).agg(F.max("event_id").alias("top"))
+    same_day = ev.join(tops, F.col("day") == F.col("poll_day"))
+    day_before = ev.join(tops, F.date_add(F.col("day"), 1) == F.col("poll_day"))
+    feed = same_day.unionByName(day_before)
+    state = F.create_map(*[F.lit(x) for kv in EVENT_STATE_CODES.items() for x in kv])
+    feature = F.struct(
+        F.struct(F.lit("Point").alias("type"),
+                 F.array(_coord(100.25, "user_id", 80), _coord(13.45, "event_id", 60))
+                 .alias("coordinates")).alias("geometry"),
+        F.struct(
+            F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("ticket_id"),
+            format_ts("ts").alias("last_activity"),
+            F.col("event_type").alias("district"),
+            F.array("event_type").alias("problem_type_fondue"),
+            state[F.col("event_type")].alias("state_type_latest"),
+            F.get_json_object("props", "$.k").cast("long").alias("view_count"),
+        ).alias("properties"),
+    )
+    offset = F.floor((F.col("top") - F.col("event_id")) / page_size).cast("long") * page_size
+    return feed.select(F.date_format("poll_day", "yyyy-MM-dd").alias("poll_id"),
+                       offset.alias("page_offset"), feature.alias("feature"))
+
+
+def feed_pages(spark: SparkSession, root: str, page_size: int = FEED_PAGE_SIZE) -> DataFrame:
+    """Pages as landed by the fetcher: one row per (poll, offset); a page holds at most
+    ``page_size`` features, so the grouping is bounded."""
+    return (feed_features(spark, root, page_size)
+            .groupBy("poll_id", "page_offset")
+            .agg(F.collect_list("feature").alias("features")))

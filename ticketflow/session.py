@@ -21,8 +21,15 @@ RUNTIME_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the library assumes; returns the same session."""
-    for k, v in RUNTIME_CONF.items():
+    """Apply the runtime settings the library assumes; returns the same session.
+
+    Dated bronze folders are many; listing them is a Spark job with one task per
+    folder by default, so the listing job is sized to the cluster's cores instead.
+    """
+    conf = dict(RUNTIME_CONF)
+    conf["spark.sql.sources.parallelPartitionDiscovery.parallelism"] = str(
+        max(8, spark.sparkContext.defaultParallelism))
+    for k, v in conf.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
     return spark

@@ -14,6 +14,7 @@ import os
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ticketflow.operators import gold
 from ticketflow.operators.silver import silver_tickets
@@ -66,6 +67,13 @@ def feed_rows(spark: SparkSession, root: str) -> DataFrame:
     return flatten_features(feed.page_features(pages(spark, root), keep), "feature", keep)
 
 
+def events_by_day_path(spark: SparkSession, root: str) -> str:
+    """The events table landed as daily partitions (the streaming source)."""
+    configure(spark)
+    ev = fixtures.read_table(spark, root, "events").withColumn("day", F.to_date("ts"))
+    return _staged(spark, root, "events-by-day", lambda p: write_partitions(ev, p, "day"))
+
+
 def silver_candidate(spark: SparkSession, root: str) -> DataFrame:
     """Silver tickets as a lazy plan over bronze (not yet gated or published)."""
     return silver_tickets(bronze(spark, root), tie_breakers=fixtures.SNAPSHOT_TIE_BREAKERS)

@@ -232,6 +232,38 @@ SELECT t.* FROM m, LATERAL (VALUES
   ('geo_bounds', outside = 0, printf('%d rows outside the city bbox', outside)){delta}
 ) AS t(name, passed, detail)"""
 
+TOPSIS = """crit AS (
+  SELECT district,
+    CAST(count(*) FILTER (WHERE NOT is_resolved) AS DOUBLE) AS open_tickets,
+    CAST(coalesce(quantile_disc(CASE WHEN is_resolved THEN days_to_resolve END, 0.5), 0)
+      AS DOUBLE) AS median_days,
+    count(*) FILTER (WHERE is_reopened) / count(*) AS reopen_rate
+  FROM lifecycle WHERE district IS NOT NULL GROUP BY district
+),
+norms AS (
+  SELECT sqrt(sum(open_tickets * open_tickets)) AS n1, sqrt(sum(median_days * median_days)) AS n2,
+    sqrt(sum(reopen_rate * reopen_rate)) AS n3 FROM crit
+),
+w AS (
+  SELECT crit.*,
+    (CASE WHEN n1 > 0 THEN open_tickets / n1 ELSE 0.0 END) * CAST(0.4 AS DOUBLE) AS w1,
+    (CASE WHEN n2 > 0 THEN median_days / n2 ELSE 0.0 END) * CAST(0.4 AS DOUBLE) AS w2,
+    (CASE WHEN n3 > 0 THEN reopen_rate / n3 ELSE 0.0 END) * CAST(0.2 AS DOUBLE) AS w3
+  FROM crit, norms
+),
+ideal AS (SELECT max(w1) AS b1, max(w2) AS b2, max(w3) AS b3, min(w1) AS s1, min(w2) AS s2,
+  min(w3) AS s3 FROM w),
+dist AS (
+  SELECT w.*, sqrt(pow(w1 - b1, 2) + pow(w2 - b2, 2) + pow(w3 - b3, 2)) AS db,
+    sqrt(pow(w1 - s1, 2) + pow(w2 - s2, 2) + pow(w3 - s3, 2)) AS dw
+  FROM w, ideal
+)"""
+
+SEEDED = """seeded AS (
+  SELECT * REPLACE (CASE WHEN dt < DATE '1998-01-01' THEN NULL ELSE count_reopen END
+    AS count_reopen) FROM bronze
+)"""
+
 ORACLE: dict[str, str] = {
     "feed_pages": _with(FEED, "SELECT * FROM pages"),
     "page_until_boundary": _with(FEED, "SELECT f.* FROM feat f JOIN kept USING (poll_id, page_offset)"),
@@ -292,6 +324,31 @@ FROM (SELECT (SELECT count(*) FROM silver) AS n,
     "running_backlog": _with(GOLD, "SELECT * FROM daily"),
     "fact_daily": _with(GOLD, "SELECT * FROM daily"),
     "fact_daily_exact": _with(GOLD, "SELECT * FROM daily"),
+    "seed_reconcile": _with(f"{TICKETS},\n{SEEDED}", """SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY ticket_id
+    ORDER BY last_activity DESC NULLS LAST, view_count DESC NULLS LAST) AS rn FROM seeded)
+WHERE rn = 1"""),
+    "incremental_upsert": _with(SILVER, "SELECT * FROM silver"),
+    "stream_current": _with(SILVER, "SELECT * FROM silver"),
+    "dq_referential": _with(GOLD, """SELECT 'referential_district' AS name, count(*) = 0 AS passed,
+  printf('%d rows with district missing from the dimension', count(*)) AS detail
+FROM lifecycle WHERE district IS NOT NULL
+  AND district NOT IN (SELECT district FROM dim_district)"""),
+    "dq_freshness": _with(FEED + ",", f"""landed AS (
+  SELECT CAST(poll_id AS DATE) AS dt, CAST({NEXT_DAY} AS TIMESTAMP) AS landed_at
+  FROM feat f JOIN kept USING (poll_id, page_offset)
+  WHERE last_activity >= poll_id || ' 00:00:00' AND last_activity < {NEXT_DAY} || ' 00:00:00'
+)
+SELECT dt, max(landed_at) AS last_landed_at,
+  CAST(dt + 1 AS TIMESTAMP) + INTERVAL 6 HOUR AS deadline,
+  max(landed_at) <= CAST(dt + 1 AS TIMESTAMP) + INTERVAL 6 HOUR AS on_time
+FROM landed GROUP BY dt"""),
+    "topsis_rank": _with(f"{GOLD},\n{TOPSIS}", """SELECT district, open_tickets, median_days,
+  reopen_rate, round(CASE WHEN db + dw > 0 THEN dw / (db + dw) ELSE 0.0 END, 6) AS stress_score
+FROM dist"""),
+    "stream_daily_opened": """SELECT date_trunc('day', ts) AS window_start,
+  date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, event_type, count(*) AS n
+FROM events GROUP BY ALL""",
     "gold_build": _with(GOLD, """SELECT 'dim_district' AS table_name, count(*) AS "rows" FROM dim_district
 UNION ALL SELECT 'dim_category', count(*) FROM dim_category
 UNION ALL SELECT 'dim_date', count(*) FROM dim_date

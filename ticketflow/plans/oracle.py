@@ -329,6 +329,13 @@ FROM (SELECT (SELECT count(*) FROM silver) AS n,
     ORDER BY last_activity DESC NULLS LAST, view_count DESC NULLS LAST) AS rn FROM seeded)
 WHERE rn = 1"""),
     "incremental_upsert": _with(SILVER, "SELECT * FROM silver"),
+    "incremental_daily": _with(GOLD, "SELECT * FROM daily"),
+    "backfill": _with(FEED, f"""SELECT f.* EXCLUDE (poll_id, page_offset),
+  {NEXT_DAY} || 'T00:00:00+00:00' AS _ingested_at, 'feed' AS _source, poll_id AS _run_id,
+  CAST(poll_id AS DATE) AS dt
+FROM feat f JOIN kept USING (poll_id, page_offset)
+WHERE last_activity >= poll_id || ' 00:00:00' AND last_activity < {NEXT_DAY} || ' 00:00:00'
+  AND poll_id >= '2024-01-05' AND poll_id < '2024-01-15'"""),
     "stream_current": _with(SILVER, "SELECT * FROM silver"),
     "dq_referential": _with(GOLD, """SELECT 'referential_district' AS name, count(*) = 0 AS passed,
   printf('%d rows with district missing from the dimension', count(*)) AS detail

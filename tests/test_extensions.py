@@ -93,3 +93,23 @@ def test_stream_current_state_matches_batch_dedup(spark, tmp_path):
              for r in streams.read_current_state(spark, log).collect()}
     assert state == {"A": "finish", "B": "start"}
     assert spark.read.parquet(log).select(streams.BATCH).distinct().count() == 3
+
+
+def test_scd2_history_runs_reopen_and_same_day_collapse(spark):
+    snaps = spark.createDataFrame(
+        [("A", "2025-01-01 09:00:00", "North", "2025-01-01"),
+         ("A", "2025-01-02 09:00:00", "North", "2025-01-02"),
+         ("A", "2025-01-03 08:00:00", "South", "2025-01-03"),
+         ("A", "2025-01-03 18:00:00", "West", "2025-01-03"),   # same day: only the latest counts
+         ("A", "2025-01-05 09:00:00", "North", "2025-01-05"),
+         ("B", "2025-01-01 09:00:00", None, "2025-01-01"),
+         ("B", "2025-01-02 09:00:00", None, "2025-01-02")],
+        "ticket_id string, last_activity string, district string, dt string")
+    out = sorted((r["ticket_id"], r["district"], r["valid_from"], r["valid_to"], r["is_current"])
+                 for r in history.scd2_history(snaps).collect())
+    assert out == [
+        ("A", "North", "2025-01-01 09:00:00", "2025-01-03 18:00:00", False),
+        ("A", "North", "2025-01-05 09:00:00", None, True),
+        ("A", "West", "2025-01-03 18:00:00", "2025-01-05 09:00:00", False),
+        ("B", None, "2025-01-01 09:00:00", None, True),
+    ]

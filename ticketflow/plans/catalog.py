@@ -300,6 +300,12 @@ def q_backfill(spark, root):
     return spark.read.parquet(path)
 
 
+def q_scd2_history(spark, root):
+    """Type-2 history of the raw state code per ticket over the daily snapshots."""
+    return history.scd2_history(inputs.bronze(spark, root), "state_type_latest",
+                                tie_breakers=SNAPSHOT_TIE_BREAKERS)
+
+
 def q_dq_referential(spark, root):
     return quality.check_referential(inputs.gold_table(spark, root, "fact_ticket_lifecycle"),
                                      inputs.gold_table(spark, root, "dim_district"))
@@ -375,6 +381,7 @@ QUERIES: dict[str, Query] = {
     "seed_reconcile": q_seed_reconcile,
     "incremental_daily": q_incremental_daily,
     "backfill": q_backfill,
+    "scd2_history": q_scd2_history,
     "incremental_upsert": q_incremental_upsert,
     "dq_referential": q_dq_referential,
     "dq_freshness": q_dq_freshness,

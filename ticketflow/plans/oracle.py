@@ -329,6 +329,23 @@ FROM (SELECT (SELECT count(*) FROM silver) AS n,
     ORDER BY last_activity DESC NULLS LAST, view_count DESC NULLS LAST) AS rn FROM seeded)
 WHERE rn = 1"""),
     "incremental_upsert": _with(SILVER, "SELECT * FROM silver"),
+    "scd2_history": _with(TICKETS + ",", """per_day AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY ticket_id, dt
+      ORDER BY last_activity DESC NULLS LAST, view_count DESC NULLS LAST) AS rn FROM bronze)
+  WHERE rn = 1
+),
+marked AS (
+  SELECT ticket_id, state_type_latest, last_activity, view_count,
+    lag(state_type_latest) OVER w AS prev, row_number() OVER w AS n
+  FROM per_day
+  WINDOW w AS (PARTITION BY ticket_id ORDER BY last_activity NULLS FIRST, view_count NULLS FIRST)
+),
+runs AS (SELECT * FROM marked WHERE n = 1 OR prev IS DISTINCT FROM state_type_latest)
+SELECT ticket_id, state_type_latest, last_activity AS valid_from,
+  lead(last_activity) OVER w AS valid_to, lead(last_activity) OVER w IS NULL AS is_current
+FROM runs
+WINDOW w AS (PARTITION BY ticket_id ORDER BY last_activity NULLS FIRST, view_count NULLS FIRST)"""),
     "incremental_daily": _with(GOLD, "SELECT * FROM daily"),
     "backfill": _with(FEED, f"""SELECT f.* EXCLUDE (poll_id, page_offset),
   {NEXT_DAY} || 'T00:00:00+00:00' AS _ingested_at, 'feed' AS _source, poll_id AS _run_id,

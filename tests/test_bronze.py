@@ -147,3 +147,13 @@ def test_partition_sink_lands_replaces_one_day_and_skips_empty(spark, scratch):
     got = sorted((r["ticket_id"], str(r["dt"])) for r in spark.read.parquet(scratch).collect())
     assert got == [("A", "2025-03-04"), ("C", "2025-03-05")]
     assert partition_path("/lake", "feed", "2025-03-05") == "/lake/feed/dt=2025-03-05"
+
+
+def test_versioned_publish_pointer_keeps_history(spark, scratch):
+    from ticketflow.sources.lake import current_run, read_published, run_path, set_current
+
+    for run, n in (("r1", 1), ("r2", 2)):
+        spark.range(n).write.parquet(run_path(scratch, run, "t"))
+        set_current(spark, scratch, run)
+    assert current_run(spark, scratch) == "r2"
+    assert read_published(spark, scratch, "t").count() == 2

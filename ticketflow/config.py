@@ -22,6 +22,7 @@ from dataclasses import dataclass
 #   finish -> resolved
 #   forward -> forwarded
 #   irrelevant -> rejected
+# Column of the feed that holds a ticket's category array: problem_type_fondue
 # Minimum silver/bronze ratio of the row-count check: 0.5
 CITY_SOUTH, CITY_WEST, CITY_NORTH, CITY_EAST = 13.49, 100.32, 14.00, 100.94
 FEED_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -33,6 +34,7 @@ FEED_STATE_CODES = {
     "forward": "forwarded",
     "irrelevant": "rejected",
 }
+CATEGORY_ARRAY = "problem_type_fondue"
 MIN_SILVER_RATIO = 0.5
 FEED_SOURCE_TAG = "feed"  # load-metadata _source tag (not part of any result)
 # --- end of fixed values ----------------------------------------------------------
@@ -62,7 +64,7 @@ class TicketKeys:
     lat: str = "lat"
     state: str = "state_type_latest"
     status: str = "status"
-    categories: str = "problem_type_fondue"
+    categories: str = CATEGORY_ARRAY
 
 
 @dataclass(frozen=True)

@@ -10,7 +10,14 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketflow.config import CITY_BBOX, FEED_STATE_CODES, FEED_TS_COLUMNS, FEED_TS_FORMAT, BBox
+from ticketflow.config import (
+    CATEGORY_ARRAY,
+    CITY_BBOX,
+    FEED_STATE_CODES,
+    FEED_TS_COLUMNS,
+    FEED_TS_FORMAT,
+    BBox,
+)
 from ticketflow.functions.columns import in_bbox, lookup, parse_ts
 
 
@@ -50,7 +57,7 @@ def bbox_filter(df: DataFrame, lon: str = "lon", lat: str = "lat",
     return df.where(in_bbox(lon, lat, bbox))
 
 
-def explode_bridge(df: DataFrame, array_col: str = "problem_type_fondue",
+def explode_bridge(df: DataFrame, array_col: str = CATEGORY_ARRAY,
                    key: str = "ticket_id", out: str = "category") -> DataFrame:
     """(key, element) rows; null/empty arrays give none, duplicates inside an array stay."""
     return df.select(key, F.explode(array_col).alias(out))

@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ticketflow.config import CATEGORY_ARRAY
 from ticketflow.functions.columns import col
 
 PROPERTIES = T.StructType([
     T.StructField("ticket_id", T.StringType()),
     T.StructField("last_activity", T.StringType()),
     T.StructField("district", T.StringType()),
-    T.StructField("problem_type_fondue", T.ArrayType(T.StringType())),
+    T.StructField(CATEGORY_ARRAY, T.ArrayType(T.StringType())),
     T.StructField("state_type_latest", T.StringType()),
     T.StructField("view_count", T.LongType()),
 ])

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketflow.config import CATEGORY_ARRAY
+
 from ticketflow.functions.columns import format_ts
 from ticketflow.sources.tables import read_table
 
@@ -55,7 +57,7 @@ def tickets(spark: SparkSession, root: str) -> DataFrame:
             F.max(F.when(shipped & (F.col("o_orderstatus") == "F"), F.col("l_shipdate")))
             .alias("timestamp_finished"),
             F.count_if(F.col("l_returnflag") == "R").alias("count_reopen"),
-            F.array_sort(F.collect_set("p_type")).alias("problem_type_fondue"),
+            F.array_sort(F.collect_set("p_type")).alias(CATEGORY_ARRAY),
         )
     )
     district = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
@@ -72,7 +74,7 @@ def tickets(spark: SparkSession, root: str) -> DataFrame:
             .when(F.col("o_orderstatus") == "F", "finish")
             .otherwise("pending").alias("final_state"),
             "count_reopen",
-            "problem_type_fondue",
+            CATEGORY_ARRAY,
             _coord(100.25, "o_custkey", 80).alias("lon"),
             _coord(13.45, "o_orderkey", 60).alias("lat"),
         )
@@ -113,7 +115,7 @@ def bronze_snapshots(spark: SparkSession, root: str) -> DataFrame:
         format_ts("v.finished").alias("timestamp_finished"),
         F.col("v.state").alias("state_type_latest"),
         "district",
-        "problem_type_fondue",
+        CATEGORY_ARRAY,
         "count_reopen",
         F.col("v.version").cast("long").alias("view_count"),
         "lon",
@@ -158,7 +160,7 @@ def feed_features(spark: SparkSession, root: str, page_size: int = FEED_PAGE_SIZ
             F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("ticket_id"),
             format_ts("ts").alias("last_activity"),
             F.col("event_type").alias("district"),
-            F.array("event_type").alias("problem_type_fondue"),
+            F.array("event_type").alias(CATEGORY_ARRAY),
             state[F.col("event_type")].alias("state_type_latest"),
             F.get_json_object("props", "$.k").cast("long").alias("view_count"),
         ).alias("properties"),

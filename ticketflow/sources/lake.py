@@ -3,6 +3,7 @@ and versioned publishes. Paths are plain Hadoop paths (local, HDFS, object store
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 
 def partition_path(root: str, source: str, run_date: str, column: str = "dt") -> str:
-    """Deterministic folder of one dated partition, e.g. ``root/traffy/dt=2026-06-16``."""
+    """Deterministic folder of one dated partition, e.g. ``root/feed/dt=2026-06-16``."""
     return f"{root.rstrip('/')}/{source}/{column}={run_date}"
 
 
@@ -62,12 +63,15 @@ def run_path(root: str, run_id: str, table: str) -> str:
 
 
 def set_current(spark: SparkSession, root: str, run_id: str) -> None:
-    spark.createDataFrame([(run_id,)], "run_id string").coalesce(1) \
-        .write.mode("overwrite").json(f"{root.rstrip('/')}/_current")
+    """Append a pointer record; the newest record wins. Nothing is deleted, so a crash
+    while publishing leaves the previous pointer in force."""
+    spark.createDataFrame([(time.time_ns(), run_id)], "seq long, run_id string").coalesce(1) \
+        .write.mode("append").json(f"{root.rstrip('/')}/_current")
 
 
 def current_run(spark: SparkSession, root: str) -> str:
-    row = spark.read.schema("run_id string").json(f"{root.rstrip('/')}/_current").first()
+    pointers = spark.read.schema("seq long, run_id string").json(f"{root.rstrip('/')}/_current")
+    row = pointers.orderBy(F.col("seq").desc()).first()
     if row is None:
         raise FileNotFoundError(f"nothing published under {root}")
     return row["run_id"]

@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketflow.config import CATEGORY_ARRAY
-
 from ticketflow.functions.columns import format_ts
 from ticketflow.sources.tables import read_table
 

@@ -24,15 +24,23 @@ def write_partitions(df: DataFrame, path: str, column: str = "dt") -> Observatio
     Returns an Observation holding the written row count (no second job).
     """
     obs = Observation(f"written_{uuid.uuid4().hex[:8]}")
-    (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-       .hint("rebalance", column)
-       .write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy(column)
-       .parquet(path))
+    writer = (df.observe(obs, F.count(F.lit(1)).alias("rows"))
+              .hint("rebalance", column)
+              .write.partitionBy(column))
+    if path_exists(df.sparkSession, path):
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    else:  # a new table: no partition can be replaced, so skip the staged rename
+        writer.mode("errorifexists").parquet(path)
     return obs
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a (Hadoop) path exists, asked of its own filesystem."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def write_table(df: DataFrame, path: str) -> Observation:
     """Full overwrite of one table; file sizes balanced by AQE (no coalesce(1))."""
     obs = Observation(f"written_{uuid.uuid4().hex[:8]}")

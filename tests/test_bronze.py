@@ -157,3 +157,18 @@ def test_versioned_publish_pointer_keeps_history(spark, scratch):
         set_current(spark, scratch, run)
     assert current_run(spark, scratch) == "r2"
     assert read_published(spark, scratch, "t").count() == 2
+
+
+def test_page_scan_is_exact_across_blocks(spark, monkeypatch):
+    import ticketflow.sources.feed as feed_mod
+
+    stamps = [f"2025-03-04 {h:02d}:00:00" for h in range(23, 3, -1)] + ["2025-03-03 22:00:00"] * 5
+    feed = landed(spark, stamps, 2)
+    cases = [("2025-03-04 10:00:00", 5000), ("2025-03-04 00:00:00", 7), ("2025-02-01 00:00:00", 11)]
+    expected = [scanned(page_until_boundary(feed, b, page_size=2, max_records=m)) for b, m in cases]
+    for per_block in (1, 2, 3):
+        monkeypatch.setattr(feed_mod, "PAGES_PER_BLOCK", per_block)
+        got = [scanned(feed_mod.page_until_boundary(feed, b, page_size=2, max_records=m))
+               for b, m in cases]
+        assert got == expected
+    assert [len(e) for e in expected] == [16, 8, 12]

@@ -46,6 +46,9 @@ def page_features(pages: DataFrame, keep=("poll_id", "page_offset")) -> DataFram
     return pages.select(*keep, F.explode("features").alias("feature"))
 
 
+PAGES_PER_BLOCK = 1024
+
+
 def page_until_boundary(pages: DataFrame, boundary, page_size: int = 500,
                         max_records: int = 5000, poll: str = "poll_id",
                         offset: str = "page_offset",
@@ -55,29 +58,46 @@ def page_until_boundary(pages: DataFrame, boundary, page_size: int = 500,
     ends the scan; the row cap is checked before each page, so the last kept page
     may overshoot it.
 
-    The decision is made on one narrow summary row per page (offset, size, oldest
-    value) -- a window over page summaries of a poll, not over features -- and the
-    page rows are then kept by a semi-join on (poll, offset), so features are
-    shuffled by page, never gathered per poll. ``boundary`` is a literal or a
-    column of the page rows (per-poll bounds).
+    Each page needs two prefix values over the earlier pages of its poll: features
+    collected before it, and whether an earlier page already ended the scan. They are
+    computed on one narrow summary row per page, in two levels so that no task ever
+    holds a whole poll: pages are grouped into blocks of ``PAGES_PER_BLOCK``
+    consecutive offsets; block totals come from a group-by (map-side combined), a
+    window over the *blocks* of a poll gives each block's prefix, and a window
+    inside each block (at most ``PAGES_PER_BLOCK`` rows) finishes the page prefix.
+    Page rows are then kept with a semi-join on (poll, offset), so features are
+    shuffled by page, never gathered per poll. ``boundary`` is a literal or a column
+    of the page rows (per-poll bounds).
     """
-    del page_size  # offsets are absolute; kept for the feed's call signature
     bound = col(boundary) if not isinstance(boundary, str) else F.lit(boundary)
+    block = F.floor(F.col(offset) / F.lit(page_size * PAGES_PER_BLOCK)).alias("_block")
     summary = pages.select(
-        poll, offset,
+        poll, offset, block,
         F.size("features").alias("_n"),
-        F.array_min(F.col(f"features.properties.{order_field}")).alias("_oldest"),
-        bound.alias("_boundary"),
+        ((F.array_min(F.col(f"features.properties.{order_field}")) < bound)
+         | (F.size("features") == 0)).alias("_stop"),
+    )
+    by_block = Window.partitionBy(poll).orderBy("_block").rowsBetween(
+        Window.unboundedPreceding, -1)
+    blocks = (
+        summary.groupBy(poll, "_block")
+        .agg(F.sum("_n").alias("_bn"), F.max("_stop").alias("_bstop"))
+        .select(poll, "_block",
+                F.coalesce(F.sum("_bn").over(by_block), F.lit(0)).alias("_block_before"),
+                F.coalesce(F.max("_bstop").over(by_block), F.lit(False))
+                .alias("_block_stopped"))
     )
-    before = Window.partitionBy(poll).orderBy(offset).rowsBetween(Window.unboundedPreceding, -1)
-    stop = (F.col("_oldest") < F.col("_boundary")) | (F.col("_n") == 0)
+    in_block = Window.partitionBy(poll, "_block").orderBy(offset).rowsBetween(
+        Window.unboundedPreceding, -1)
     kept = (
         summary.select(
-            poll, offset,
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-            F.coalesce(F.max(stop).over(before), F.lit(False)).alias("_stopped"),
+            poll, offset, "_block",
+            F.coalesce(F.sum("_n").over(in_block), F.lit(0)).alias("_before"),
+            F.coalesce(F.max("_stop").over(in_block), F.lit(False)).alias("_stopped"),
         )
-        .where((F.col("_before") < max_records) & ~F.col("_stopped"))
+        .join(blocks, [poll, "_block"], "inner")
+        .where((F.col("_block_before") + F.col("_before") < max_records)
+               & ~(F.col("_block_stopped") | F.col("_stopped")))
         .select(poll, offset)
     )
     return pages.join(kept, [poll, offset], "left_semi")

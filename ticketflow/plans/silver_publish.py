@@ -1,9 +1,13 @@
-"""Gated silver publish: bronze -> staged candidate -> one-pass gate -> publish.
-
-The candidate is written once to the run's own folder, the gate aggregates the
-*written* table (so the dedup shuffle runs once, not once per check), the bridge is
-exploded from the same staged rows, and only then does the table pointer move.
-A failing gate raises and leaves the previous publish current.
+"""Gated silver publish: bronze -> current state -> candidate -> one-pass gate ->
+publish.
+
+The run first writes the *current state*: the latest, unfiltered, unparsed version
+per key (the only shuffle of bronze). Because that is one row per distinct key, its
+written row count is also the gate's distinct-bronze baseline -- no second shuffle of
+bronze. The candidate (parse -> box -> status of the state) is written once, the gate
+aggregates the written candidate in one pass, the bridge is exploded from the same
+rows, and only then does the table pointer move. A failing gate raises and leaves the
+previous publish current. The state table is what incremental upserts extend.
 """
 
 from __future__ import annotations
@@ -14,11 +18,12 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from ticketflow.config import GateConfig
-from ticketflow.operators.quality import assert_quality, bronze_baseline
-from ticketflow.operators.silver import explode_bridge, silver_tickets
+from ticketflow.operators.history import publish_state
+from ticketflow.operators.quality import assert_quality
+from ticketflow.operators.silver import dedup_latest, explode_bridge
 from ticketflow.sources.lake import run_path, set_current, write_table
 
-TICKETS, BRIDGE = "tickets", "ticket_category"
+TICKETS, BRIDGE, STATE = "tickets", "ticket_category", "state"
 
 
 def publish_silver(spark: SparkSession, bronze: DataFrame, out_root: str,
@@ -26,10 +31,13 @@ def publish_silver(spark: SparkSession, bronze: DataFrame, out_root: str,
                    tie_breakers: Iterable[str] = (), cfg: GateConfig = GateConfig(),
                    run_id: str | None = None, report=print) -> dict:
     run_id = run_id or uuid.uuid4().hex[:16]
+    state_path = run_path(out_root, run_id, STATE)
+    distinct_keys = write_table(dedup_latest(bronze, key, order, tuple(tie_breakers)),
+                                state_path).get["rows"]
     tickets_path = run_path(out_root, run_id, TICKETS)
-    write_table(silver_tickets(bronze, key, order, tuple(tie_breakers)), tickets_path)
+    write_table(publish_state(spark.read.parquet(state_path)), tickets_path)
     staged = spark.read.parquet(tickets_path)
-    results = assert_quality(staged, bronze_baseline(bronze, key), cfg, report=report)
+    results = assert_quality(staged, int(distinct_keys), cfg, report=report)
     bridge_obs = write_table(explode_bridge(staged), run_path(out_root, run_id, BRIDGE))
     set_current(spark, out_root, run_id)
     return {"run_id": run_id, "checks": results, "bridge_rows": bridge_obs.get["rows"]}

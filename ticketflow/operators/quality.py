@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 from ticketflow.config import GateConfig
 from ticketflow.functions.columns import any_null, in_bbox
 
-RESULT_SCHEMA = "name string, passed boolean, detail string"
-
-
 @dataclass(frozen=True)
 class CheckResult:
     name: str

@@ -13,16 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketflow.operators import gold, history, quality, ranking, reports, silver
-from ticketflow.streaming import current_state as streams
+from ticketflow.operators.bronze import flatten_features, stamp_load_metadata, window_filter
 from ticketflow.plans import inputs
+from ticketflow.plans.bronze_load import load_bronze
 from ticketflow.plans.gold_build import GOLD_TABLES
 from ticketflow.session import scratch_path
-from ticketflow.sources.fixtures import SNAPSHOT_TIE_BREAKERS
-from ticketflow.operators.bronze import flatten_features, stamp_load_metadata, window_filter
-from ticketflow.plans.bronze_load import load_bronze
 from ticketflow.sources import feed
-from ticketflow.sources.fixtures import FEED_PAGE_SIZE
+from ticketflow.sources.fixtures import FEED_PAGE_SIZE, SNAPSHOT_TIE_BREAKERS
 from ticketflow.sources.lake import scan_partitioned, write_partitions
+from ticketflow.streaming import current_state as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -4,8 +4,10 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.oracle_compare import compare, duck
+from ticketflow.plans.catalog import QUERIES
+from ticketflow.plans.oracle import ORACLE
 
 ROOT = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(ROOT), reason="driver tables not present")
@@ -16,13 +18,13 @@ def con():
     return duck(ROOT)
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
-    sql = oracle_sql().get(key)
+    sql = ORACLE.get(key)
     if sql is None:
-        assert queries()[key](spark, ROOT).count() >= 0
+        assert QUERIES[key](spark, ROOT).count() >= 0
         return
-    r = compare(spark, con, ROOT, queries()[key], sql)
+    r = compare(spark, con, ROOT, QUERIES[key], sql)
     assert r["columns"], r
     assert r["rows"], r
     assert r["hash"], r

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ticketflow.llm import (
+    ann,
     decontamination,
+    language_id,
     mixing,
     quality_classifier,
+    secret_scan,
     sharding,
     simhash_near_dedup,
+    warc,
 )
 from ticketflow.llm.common import table
 
@@ -27,6 +31,10 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return mixing.mix_documents(docs).selectExpr(
@@ -37,13 +45,28 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ann.usable(table(spark, sf_dir, "embeddings"))
+    return ann.search(rows, rows.where("vec_id % 20 = 0"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op3_quality_classifier, op4_benchmark_decontamination, op6_mixing,
-    op7_sharding)}
+    op1_simhash_near_dedup, op3_quality_classifier, op4_benchmark_decontamination, op5_secret_scan,
+    op6_mixing, op7_sharding, op8_language_id, op9_warc, op10_nearest_neighbours)}
 
 #: SQL for those that SQL can express; the others are tested against brute force.
 ORACLE = {
     "op4_benchmark_decontamination": decontamination.oracle_sql(),
+    "op5_secret_scan": secret_scan.oracle_sql(),
     "op6_mixing": mixing.oracle_sql(),
     "op7_sharding": sharding.oracle_sql(),
+    "op9_warc": warc.ORACLE_SQL,
 }

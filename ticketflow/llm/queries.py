@@ -8,6 +8,7 @@ from ticketflow.llm import (
     ann,
     decontamination,
     language_id,
+    lm_scoring,
     mixing,
     quality_classifier,
     secret_scan,
@@ -23,6 +24,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -59,8 +64,8 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op3_quality_classifier, op4_benchmark_decontamination, op5_secret_scan,
-    op6_mixing, op7_sharding, op8_language_id, op9_warc, op10_nearest_neighbours)}
+    op1_simhash_near_dedup, op2_lm_scoring, op3_quality_classifier, op4_benchmark_decontamination,
+    op5_secret_scan, op6_mixing, op7_sharding, op8_language_id, op9_warc, op10_nearest_neighbours)}
 
 #: SQL for those that SQL can express; the others are tested against brute force.
 ORACLE = {

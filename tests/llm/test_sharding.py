@@ -1,0 +1,63 @@
+import hashlib
+from collections import Counter
+
+import pytest
+
+from tests.llm.fixtures import awkward, documents, with_extras
+from ticketflow.llm import sharding as op
+
+
+def slow_table(names, size):
+    """Written from the rule: whole permutations, then turns."""
+    num = lambda t: int(hashlib.md5(t.encode()).hexdigest()[:15], 16)
+    wants = [[(num(f"{n}:offset") + j * (num(f"{n}:step") % (size - 1) + 1)) % size for j in range(size)] for n in names]
+    slots, turn = {}, 0
+    while len(slots) < size:
+        mine = next(s for s in wants[turn % len(names)] if s not in slots)
+        slots[mine] = turn % len(names)
+        turn += 1
+    return [slots[s] for s in range(size)]
+
+
+@pytest.mark.parametrize("shards", [1, 2, 7])
+def test_table_equals_brute_force(shards):
+    names = [f"shard-{k:05d}" for k in range(shards)]
+    size = op.table_size(shards)
+    assert op.lookup_table(names, size) == slow_table(names, size)
+
+
+def test_table_is_prime_even_and_stable():
+    size = op.table_size(16)
+    assert all(size % k for k in range(2, size)) and size >= 16 * op.SLOTS_PER_SHARD
+    names = [f"s{k}" for k in range(16)]
+    full = op.lookup_table(names, size)
+    assert max(Counter(full).values()) - min(Counter(full).values()) <= 1
+    fewer = op.lookup_table(names[:-1], size)
+    moved = sum(a != b for a, b in zip(full, fewer, strict=True) if a != 15)
+    assert moved < 0.25 * size
+    with pytest.raises(ValueError):
+        op.lookup_table(["a", "a"], 7)
+    with pytest.raises(ValueError):
+        op.lookup_table([], 7)
+
+
+def test_placement(spark):
+    docs = documents(spark, [(k, None) for k in range(2000)])
+    names = [f"shard-{k:05d}" for k in range(op.SHARDS)]
+    size = op.table_size(op.SHARDS)
+    table = slow_table(names, size)
+    got = op.place(docs).collect()
+    for r in got:
+        slot = int(hashlib.md5(str(r["doc_id"]).encode()).hexdigest()[:15], 16) % size
+        assert (r["slot"], r["shard"]) == (slot, table[slot])
+    assert len(got) == 2000 and max(Counter(r["shard"] for r in got).values()) < 190
+
+
+def test_awkward_rows(spark):
+    docs = with_extras(awkward(spark))
+    got = op.place(docs)
+    assert got.columns == [c for c in docs.columns if c not in ("slot", "shard")] + ["slot", "shard"]
+    rows = got.collect()
+    assert len(rows) == 13 and len({r["shard"] for r in rows if r["doc_id"] is None}) == 1
+    assert len({r["shard"] for r in rows if r["doc_id"] == 2}) == 1
+    assert op.place(documents(spark, [])).count() == 0

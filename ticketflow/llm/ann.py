@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketflow.llm.common import staged
+from ticketflow.llm.common import Shared, small_batches, staged
 
 K = 20
 BITS = 128
@@ -175,11 +175,11 @@ def learn_radius(rows: DataFrame, queries: DataFrame, codes: Codes, k: int = K)
     sample = queries.orderBy(F.xxhash64(F.lit("radius"), "vec_id"), "vec_id").limit(SAMPLE_QUERIES).collect()
     if not sample:
         return 0
-    shared = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in sample]),
+    shared = Shared(spark, (np.array([r["vec_id"] for r in sample]),
                                            np.array([r["v"] for r in sample]), codes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qid, q, codes = shared.value
+        qid, q, codes = shared.value()
         qc = codes.queries(q)
         best: list[list[tuple]] = [[] for _ in qid]
         for b in batches:
@@ -206,12 +206,13 @@ def learn_radius(rows: DataFrame, queries: DataFrame, codes: Codes, k: int = K)
 def search(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score) for the ``usable`` rows ``queries`` against all ``rows``."""
     spark = rows.sparkSession
+    small_batches(spark, 4_096)
     codes = learn_codes(rows)
     out = "query_id long, vec_id long, score double"
     if codes is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     radius = learn_radius(rows, queries, codes, k)
-    shared = spark.sparkContext.broadcast((codes, radius))
+    shared = Shared(spark, (codes, radius))
     blocks = lambda n, size: max(1, ceil(n / size))
     nb, nq = blocks(rows.count(), BLOCK_ROWS), blocks(queries.count(), QUERY_BLOCK_ROWS)
     own = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
@@ -220,7 +221,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     right = queries.select("vec_id", "v", every(nb).alias("block"), own(nq).alias("part"))
 
     def run(_key, index: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        codes, radius = shared.value
+        codes, radius = shared.value()
         asked_ids, near_ids, scores = [], [], []
         if len(index) and len(asked):
             index = index.sort_values("vec_id")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +39,16 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+class Shared:
+    """A value for the tasks, broadcast as bytes that need no code of this package to be read."""
+
+    def __init__(self, spark: SparkSession, value):
+        self._bytes = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def value(self):
+        return pickle.loads(self._bytes.value)
+
+
 def remainder(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text modulo ``parts``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts

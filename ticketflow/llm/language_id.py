@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketflow.llm.common import held_out, small_batches
+from ticketflow.llm.common import Shared, held_out, small_batches
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -156,14 +156,14 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[list[str], Byt
 def identify(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score (the mean probability of lang_pred)."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(train(docs))
+    shared = Shared(spark, train(docs))
     rows = docs.select("doc_id", held_out(F.col("doc_id"), HELD_OUT_PARTS).alias("held_out"),
                        F.when(F.col("text").rlike(r"\p{L}"), _lowered(docs)).alias("text"))
     schema = rows.select("doc_id", "held_out").withColumn("lang_pred", F.lit("")).withColumn("score", F.lit(0.0)).schema
     small_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = shared.value()
         for b in batches:
             langs, scores = [], []
             for text in b.column(2):

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketflow.llm.common import held_out, remainder, small_batches, staged
+from ticketflow.llm.common import Shared, held_out, remainder, small_batches, staged
 
 HELD_OUT_PARTS = 5
 #: Words whose counts are broadcast; the first ``NEURAL`` of them have slots of their own.
@@ -308,11 +308,11 @@ def train(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
     spark = docs.sparkSession
     theta = Network(vocabulary).theta
     for turn in range(ROUNDS):
-        shared = spark.sparkContext.broadcast((vocabulary, theta))
+        shared = Shared(spark, (vocabulary, theta))
         rows = docs.where(F.pmod(F.xxhash64(F.lit("round"), "doc_id"), F.lit(ROUNDS)) == turn)
 
         def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            vocabulary, theta = shared.value  # noqa: B023
+            vocabulary, theta = shared.value()  # noqa: B023
             net, opt, seen = Network(vocabulary, theta), {}, 0
             texts = (_slot_text(vocabulary, t.as_buffer().to_pybytes() if t.is_valid else None)
                      for b in batches for t in b.column(0))
@@ -398,7 +398,7 @@ def score(docs: DataFrame) -> DataFrame:
     counts = count_words(learned)
     vocabulary = vocabulary_of(counts, learned.select("doc_id").count())
     theta = train(learned, vocabulary)
-    shared = spark.sparkContext.broadcast((vocabulary, theta))
+    shared = Shared(spark, (vocabulary, theta))
     rows = docs.select("doc_id", held_out(F.col("doc_id"), HELD_OUT_PARTS).alias("held_out"),
                        F.col("text").cast("binary").alias("text"))
     schema = rows.select("doc_id", "held_out", *(F.lit(0).cast(kind).alias(name) for name, kind in (
@@ -406,7 +406,7 @@ def score(docs: DataFrame) -> DataFrame:
         F.array().cast("array<struct<word:binary,n:bigint>>").alias("rare")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, theta = shared.value
+        vocabulary, theta = shared.value()
         word_n = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
         for b in batches:
             got = _scored(vocabulary, theta, b.column(2).to_pylist())

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketflow.llm.common import broadcast_if_small, held_out, small_batches
+from ticketflow.llm.common import Shared, broadcast_if_small, held_out, small_batches
 
 DIM_BITS = 18
 SAMPLE_ROWS = 6_000
@@ -124,11 +124,11 @@ def with_scores(docs: DataFrame, weights: np.ndarray, name: str = "score") -> Da
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.drop(name)
-    shared = spark.sparkContext.broadcast(weights)
+    shared = Shared(spark, weights)
     schema = docs.withColumn(name, F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = shared.value.astype(np.float64)
+        w = shared.value().astype(np.float64)
         for b in batches:
             texts = b.column(b.schema.names.index("text"))
             z = np.empty(b.num_rows)

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketflow.llm.common import small_batches, staged
+from ticketflow.llm.common import Shared, small_batches, staged
 from ticketflow.session import scratch_path
 
 REVISIT_BYTES = 100
@@ -218,10 +218,10 @@ def write_archives(pages: DataFrame, folder: str, dictionary: bytes) -> DataFram
     revisits, refers_to) below ``folder``; the staged list (archive, records) of what was written."""
     spark = pages.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(dictionary)
+    shared = Shared(spark, dictionary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer = ArchiveWriter(folder, shared.value)
+        writer = ArchiveWriter(folder, shared.value())
         for b in batches:
             for r in b.to_pylist():
                 writer.write(build_record(r["page_id"], r["url"], r["payload"], r["payload_bytes"], r["payload_digest"],

@@ -24,6 +24,7 @@ from dataclasses import dataclass
 #   irrelevant -> rejected
 # Column of the feed that holds a ticket's category array: problem_type_fondue
 # Minimum silver/bronze ratio of the row-count check: 0.5
+# Time zone of the feed's wall clock: Asia/Bangkok
 CITY_SOUTH, CITY_WEST, CITY_NORTH, CITY_EAST = 13.49, 100.32, 14.00, 100.94
 FEED_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 FEED_TS_COLUMNS = ("timestamp", "last_activity", "timestamp_inprogress", "timestamp_finished")
@@ -37,6 +38,7 @@ FEED_STATE_CODES = {
 CATEGORY_ARRAY = "problem_type_fondue"
 MIN_SILVER_RATIO = 0.5
 FEED_SOURCE_TAG = "feed"  # load-metadata _source tag (not part of any result)
+FEED_ZONE = "Asia/Bangkok"  # the feed's wall clock
 # --- end of fixed values ----------------------------------------------------------
 
 
@@ -53,20 +55,6 @@ class BBox:
 CITY_BBOX = BBox(CITY_SOUTH, CITY_WEST, CITY_NORTH, CITY_EAST)
 
 
-@dataclass(frozen=True)
-class TicketKeys:
-    """Column roles of a ticket feed: identity, version order and tie-breakers."""
-
-    key: str = "ticket_id"
-    order: str = "last_activity"
-    tie_breakers: tuple[str, ...] = ()
-    lon: str = "lon"
-    lat: str = "lat"
-    state: str = "state_type_latest"
-    status: str = "status"
-    categories: str = CATEGORY_ARRAY
-
-
 @dataclass(frozen=True)
 class GateConfig:
     """What the silver quality gate checks."""

@@ -13,14 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-from ticketflow.operators.silver import (
-    bbox_filter,
-    dedup_latest,
-    normalize_state,
-    parse_timestamps,
-)
+from ticketflow.operators.silver import dedup_latest, publish_view
 
 
 def seed_reconcile(seed: DataFrame, daily: DataFrame, key: str = "ticket_id",
@@ -41,34 +37,27 @@ def upsert_current(current: DataFrame, changes: DataFrame, key: str = "ticket_id
                         tuple(tie_breakers))
 
 
-def publish_state(state: DataFrame) -> DataFrame:
-    """Silver view of a current-state table: parse -> box -> status (no dedup needed)."""
-    return state.transform(parse_timestamps).transform(bbox_filter).transform(normalize_state)
+#: Silver view of a current-state table, which needs no dedup.
+publish_state = publish_view
 
 
 def scd2_history(snapshots: DataFrame, attribute: str = "district", key: str = "ticket_id",
-                 order: str = "last_activity", day: str = "dt",
-                 tie_breakers: Iterable[str] = ()) -> DataFrame:
+                 order: str = "last_activity", tie_breakers: Iterable[str] = ()) -> DataFrame:
     """Type-2 history of one attribute per key: a row per run of equal values with
     ``valid_from`` (first version of the run), ``valid_to`` (first version of the next
     run, null while current) and ``is_current``.
 
-    Bronze holds one version per key per daily snapshot, so the versions are first
-    reduced to the latest per (key, day) with the map-side group limit; a key's
-    window then holds at most one row per day of the calendar -- a bound set by the
-    number of days, not by the data volume -- before ``lag``/``lead`` run.
+    Every version counts, those of one day too. One exchange on the key serves the run
+    starts and their successors; the windows look one row back or ahead, so a key with
+    very many versions is streamed (and spilled), never held.
     """
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
-
-    ties = tuple(tie_breakers)
-    daily = dedup_latest(snapshots, [key, day], order, ties)
-    w = Window.partitionBy(key).orderBy(F.col(order).asc_nulls_first(),
-                                        *[F.col(t).asc_nulls_first() for t in ties])
-    marked = daily.select(key, attribute, order, *ties,
-                          F.lag(attribute).over(w).alias("_prev"),
-                          F.row_number().over(w).alias("_n"))
-    runs = marked.where((F.col("_n") == 1) | ~F.col(attribute).eqNullSafe(F.col("_prev")))
-    nxt = F.lead(order).over(w)
+    newest_last = [F.col(c).asc_nulls_first() for c in (order, *tie_breakers)]
+    versions = Window.partitionBy(key).orderBy(*newest_last)
+    marked = snapshots.select(
+        key, attribute, order, *tie_breakers,
+        F.lag(F.struct(attribute)).over(versions).alias("_before"))
+    # a struct, so that a first version (no row before) differs from a null value before
+    runs = marked.where(~F.struct(attribute).eqNullSafe(F.col("_before")))
+    following = F.lead(F.struct(order)).over(versions)
     return runs.select(key, attribute, F.col(order).alias("valid_from"),
-                       nxt.alias("valid_to"), nxt.isNull().alias("is_current"))
+                       following[order].alias("valid_to"), following.isNull().alias("is_current"))

@@ -15,12 +15,18 @@ def latest_day(daily: DataFrame) -> DataFrame:
     return daily.agg(F.max("date").alias("latest_date"))
 
 
-def top_backlog(daily: DataFrame, category: str, k: int = 5) -> DataFrame:
-    """Top-k districts by backlog for one category on the latest day."""
-    latest = daily.agg(F.max("date")).scalar()
+def top_backlog(daily: DataFrame, category: str, k: int = 5,
+                calendar: DataFrame | None = None) -> DataFrame:
+    """Top-k districts by backlog for one category on the latest day.
+
+    With the ``calendar`` dimension the latest day comes from it, not from a scan of the
+    fact; a fact laid out by ``year`` is read for that day's year only."""
+    latest = (daily if calendar is None else calendar).agg(F.max("date")).scalar()
+    rows = daily.where((F.col("category") == category) & (F.col("date") == latest))
+    if "year" in daily.columns:
+        rows = rows.where(F.col("year") == F.year(latest))
     return (
-        daily.where((F.col("category") == category) & (F.col("date") == latest))
-        .select("district", "backlog")
+        rows.select("district", "backlog")
         .orderBy(F.col("backlog").desc_nulls_last(), F.col("district").asc_nulls_first())
         .limit(k)
     )

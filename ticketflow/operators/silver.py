@@ -18,70 +18,79 @@ from ticketflow.config import (
     FEED_TS_FORMAT,
     BBox,
 )
+from ticketflow.functions.columns import col as as_col
 from ticketflow.functions.columns import in_bbox, lookup, parse_ts
 
 
-def _desc(c: str | Column) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).desc_nulls_last()
+def latest_by(df: DataFrame, keys: Iterable[str], newest: Iterable[str | Column],
+              n: int = 1) -> DataFrame:
+    """The ``n`` newest rows of each key group; every ``newest`` column counts downwards,
+    nulls last, and null keys form a group of their own.
+
+    The rank filter becomes a group limit on each map partition *before* the shuffle, so a
+    key with a huge number of rows ships at most ``n`` of them per input partition.
+    """
+    ranking = Window.partitionBy(*keys).orderBy(*(as_col(c).desc_nulls_last() for c in newest))
+    ranked = df.select("*", F.row_number().over(ranking).alias(_RANK))
+    return ranked.where(F.col(_RANK) <= n).select(*df.columns)
+
+
+_RANK = "_rank_in_key"
 
 
 def dedup_latest(df: DataFrame, key: str | Iterable[str] = "ticket_id",
                  order: str = "last_activity", tie_breakers: Iterable[str] = ()) -> DataFrame:
-    """One row per key: the version with the greatest ``order`` value.
+    """One row per key: the version with the greatest ``order``, then the greatest
+    ``tie_breakers``."""
+    return latest_by(df, [key] if isinstance(key, str) else key, [order, *tie_breakers])
 
-    Null order values rank last; a null key is one group. ``tie_breakers`` (all
-    descending) make equal ``order`` values deterministic. Planned as
-    ``row_number() = 1``, which Spark turns into a group limit applied on each map
-    partition *before* the shuffle, so a key with a huge number of versions ships
-    at most one row per input partition.
-    """
-    keys = [key] if isinstance(key, str) else list(key)
-    w = Window.partitionBy(*keys).orderBy(_desc(order), *[_desc(t) for t in tie_breakers])
-    return (
-        df.withColumn("_version_rank", F.row_number().over(w))
-        .where(F.col("_version_rank") == 1)
-        .drop("_version_rank")
-    )
+
+def typed(ts_cols: Iterable[str], fmt: str, columns: Iterable[str]) -> dict[str, Column]:
+    """Parsed replacements for those text timestamp columns that exist; bad text -> null."""
+    names = set(columns)
+    return {c: parse_ts(c, fmt) for c in ts_cols if c in names}
 
 
 def parse_timestamps(df: DataFrame, cols: Iterable[str] = FEED_TS_COLUMNS,
                      fmt: str = FEED_TS_FORMAT) -> DataFrame:
-    """Text timestamp columns -> timestamps, only for columns that exist; bad text -> null."""
-    present = [c for c in cols if c in df.columns]
-    return df.withColumns({c: parse_ts(c, fmt) for c in present}) if present else df
+    found = typed(cols, fmt, df.columns)
+    return df.withColumns(found) if found else df
 
 
 def bbox_filter(df: DataFrame, lon: str = "lon", lat: str = "lat",
                 bbox: BBox = CITY_BBOX) -> DataFrame:
-    """Keep rows inside the inclusive box; null coordinates are dropped."""
+    """Rows inside the inclusive box; a null coordinate is outside."""
     return df.where(in_bbox(lon, lat, bbox))
 
 
-def explode_bridge(df: DataFrame, array_col: str = CATEGORY_ARRAY,
-                   key: str = "ticket_id", out: str = "category") -> DataFrame:
-    """(key, element) rows; null/empty arrays give none, duplicates inside an array stay."""
-    return df.select(key, F.explode(array_col).alias(out))
-
-
 def normalize_state(df: DataFrame, src: str = "state_type_latest", dst: str = "status",
                     mapping: Mapping[str, str] = FEED_STATE_CODES) -> DataFrame:
     """Add ``dst`` = canonical status of the raw code; the raw column is kept."""
-    return df.withColumn(dst, lookup(mapping, src))
+    return df.select("*", lookup(mapping, src).alias(dst))
+
+
+def publish_view(state: DataFrame, bbox: BBox = CITY_BBOX, ts_cols: Iterable[str] = FEED_TS_COLUMNS,
+                 fmt: str = FEED_TS_FORMAT, state_map: Mapping[str, str] = FEED_STATE_CODES,
+                 lon: str = "lon", lat: str = "lat", code: str = "state_type_latest",
+                 status: str = "status") -> DataFrame:
+    """Silver columns of deduplicated rows: one filter on the raw coordinates and one
+    projection that parses the timestamps and adds the status."""
+    new = typed(ts_cols, fmt, state.columns) | {status: lookup(state_map, code)}
+    return state.where(in_bbox(lon, lat, bbox)).withColumns(new)
 
 
 def silver_tickets(bronze: DataFrame, key: str = "ticket_id", order: str = "last_activity",
-                   tie_breakers: Iterable[str] = (), bbox: BBox = CITY_BBOX,
-                   ts_cols: Iterable[str] = FEED_TS_COLUMNS, fmt: str = FEED_TS_FORMAT,
-                   state_map: Mapping[str, str] = FEED_STATE_CODES) -> DataFrame:
-    """Dedup on the raw text order -> parse -> box -> status, in that order.
-
-    The dedup runs first, on the unparsed order column and before the box filter, so
-    a ticket whose newest version is out of bounds disappears even if an older one
-    was inside.
+                   tie_breakers: Iterable[str] = (), **view) -> DataFrame:
+    """The newest version of every key, then ``publish_view`` of those (its keyword
+    arguments pass through).
+
+    Versions are compared on the raw text and before the box filter, so a ticket whose
+    newest version is out of bounds disappears even if an older one was inside.
     """
-    return (
-        bronze.transform(dedup_latest, key, order, tie_breakers)
-        .transform(parse_timestamps, ts_cols, fmt)
-        .transform(bbox_filter, "lon", "lat", bbox)
-        .transform(normalize_state, "state_type_latest", "status", state_map)
-    )
+    return publish_view(dedup_latest(bronze, key, order, tie_breakers), **view)
+
+
+def explode_bridge(df: DataFrame, array_col: str = CATEGORY_ARRAY,
+                   key: str = "ticket_id", out: str = "category") -> DataFrame:
+    """(key, element) for every array element: none for null or empty arrays, repeats kept."""
+    return df.select(key, F.explode(array_col).alias(out))

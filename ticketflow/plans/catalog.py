@@ -11,16 +11,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticketflow.operators import gold, history, quality, ranking, reports, silver
 from ticketflow.operators.bronze import flatten_features, stamp_load_metadata, window_filter
 from ticketflow.plans import inputs
 from ticketflow.plans.bronze_load import load_bronze
-from ticketflow.plans.gold_build import GOLD_TABLES
+from ticketflow.plans.gold_build import GOLD_TABLES, build_gold, refresh_daily, write_daily
+from ticketflow.plans.silver_publish import BRIDGE, TICKETS, publish_silver
 from ticketflow.session import scratch_path
 from ticketflow.sources import feed
 from ticketflow.sources.fixtures import FEED_PAGE_SIZE, SNAPSHOT_TIE_BREAKERS
-from ticketflow.sources.lake import scan_partitioned, write_partitions
+from ticketflow.sources.lake import read_published, scan_partitioned, write_partitions
 from ticketflow.streaming import current_state as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,24 +35,37 @@ REPORT_CATEGORY = "STANDARD"
 
 FEED_WINDOW = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
 FIXED_RUN = ("2024-01-31", "2024-02-01T00:00:00+00:00")  # run id, logical load time
-FEED_MAX_RECORDS = 5000
+
+
+def _load_time():
+    """Logical load time of a poll, fixed so that a re-run lands the same bytes: the midnight
+    after its day, and for days 7, 14, 21 and 28 a load that came ten hours late."""
+    day = F.to_date("poll_id")
+    hour = F.when(F.dayofmonth(day) % 7 == 0, "10").otherwise("00")
+    return F.concat(F.date_format(F.date_add(day, 1), "yyyy-MM-dd"), F.lit("T"), hour, F.lit(":00:00+00:00"))
+
+
+def _landed(spark, path):
+    """A loaded bronze table; undeclared properties as JSON text."""
+    return spark.read.parquet(path).withColumn("extra", F.to_json("extra"))
 
 
 def q_feed_pages(spark, root):
     """Landed pages read with a declared schema: one summary row per page."""
     p = inputs.pages(spark, root)
+    times = F.transform("features", lambda f: f["properties"]["last_activity"])
     return p.select("poll_id", "page_offset",
                     F.size("features").cast("long").alias("n_features"),
-                    F.array_min("features.properties.last_activity").alias("oldest"),
-                    F.array_max("features.properties.last_activity").alias("newest"))
+                    F.array_min(times).alias("oldest"), F.array_max(times).alias("newest"))
 
 
 def q_page_until_boundary(spark, root):
     p = inputs.pages(spark, root)
     kept = feed.page_until_boundary(p, F.concat(F.col("poll_id"), F.lit(" 00:00:00")),
-                                    FEED_PAGE_SIZE, FEED_MAX_RECORDS)
+                                    FEED_PAGE_SIZE)
     keep = ("poll_id", "page_offset")
-    return flatten_features(feed.page_features(kept, keep), "feature", keep)
+    rows = flatten_features(feed.page_features(kept, keep), "feature", keep)
+    return rows.withColumn("extra", F.to_json("extra"))
 
 
 def q_flatten_json(spark, root):
@@ -68,8 +83,20 @@ def q_stamp_load_metadata(spark, root):
 
 def q_bronze_load(spark, root):
     path = scratch_path(spark, "bronze-load")
-    load_bronze(inputs.pages(spark, root), path, FEED_PAGE_SIZE, FEED_MAX_RECORDS)
-    return spark.read.parquet(path)
+    load_bronze(inputs.pages(spark, root), path, FEED_PAGE_SIZE, ingested_at=_load_time())
+    return _landed(spark, path)
+
+
+def q_feed_lifecycle(spark, root):
+    """The layers chained: landed pages -> bronze load -> silver publish -> gold build. One
+    property that is not declared by default is lifted by extending the schema."""
+    bronze, silver_at, gold_at = (scratch_path(spark, n) for n in ("feed-bronze", "feed-silver", "feed-gold"))
+    schema = T.StructType([*feed.PROPERTIES, T.StructField("event_id", T.LongType())])
+    load_bronze(inputs.pages(spark, root), bronze, FEED_PAGE_SIZE, ingested_at=_load_time(), schema=schema)
+    publish_silver(spark, spark.read.parquet(bronze), silver_at, tie_breakers=("event_id",),
+                   report=lambda _: None)
+    build_gold(spark, read_published(spark, silver_at, TICKETS), read_published(spark, silver_at, BRIDGE), gold_at)
+    return read_published(spark, gold_at, "fact_ticket_lifecycle")
 
 
 # --- silver ----------------------------------------------------------------------
@@ -175,40 +202,40 @@ def q_fact_lifecycle(spark, root):
     return inputs.lifecycle(spark, root)
 
 
-def _base(spark, root):
-    return gold.ticket_category_base(inputs.silver(spark, root), inputs.bridge(spark, root))
+def q_ticket_category_base(spark, root):
+    return gold.ticket_category_rows(inputs.silver(spark, root))
 
 
-def q_ticket_category_base(spark, root):
-    return _base(spark, root)
+def _activity(spark, root):
+    return gold.daily_activity(gold.ticket_category_rows(inputs.silver(spark, root)))
 
 
 def q_opened_daily(spark, root):
-    return gold.opened_daily(_base(spark, root))
+    return gold.opened_daily(_activity(spark, root))
 
 
 def q_closed_daily(spark, root):
-    return gold.closed_daily(_base(spark, root))
+    return gold.closed_daily(_activity(spark, root))
 
 
-def q_dense_grid(spark, root):
-    s, b = inputs.silver(spark, root), inputs.bridge(spark, root)
-    return gold.dense_grid(gold.dim_district(s), gold.dim_category(b), gold.dim_date(s))
+def _grid(spark, root):
+    dims = [inputs.gold_table(spark, root, t) for t in ("dim_district", "dim_category", "dim_date")]
+    return gold.dense_grid(*dims)
 
 
-def _two_join_cells(spark, root):
-    s, b = inputs.silver(spark, root), inputs.bridge(spark, root)
-    base = gold.ticket_category_base(s, b)
-    grid = gold.dense_grid(gold.dim_district(s), gold.dim_category(b), gold.dim_date(s))
-    return gold.densify(grid, gold.opened_daily(base), gold.closed_daily(base))
+def q_dense_grid(spark, root):
+    return _grid(spark, root)
 
 
 def q_densify(spark, root):
-    return _two_join_cells(spark, root)
+    return gold.densify(_grid(spark, root), _activity(spark, root))
 
 
 def q_running_backlog(spark, root):
-    return gold.running_backlog(_two_join_cells(spark, root)).select(*gold.DAILY_COLUMNS)
+    """Backlog over the category table kept apart from the tickets."""
+    s = gold.with_categories(inputs.silver(spark, root), inputs.bridge(spark, root))
+    activity = gold.daily_activity(gold.ticket_category_rows(s))
+    return gold.running_backlog(gold.densify(_grid(spark, root), activity)).select(*gold.DAILY_COLUMNS)
 
 
 def q_fact_daily(spark, root):
@@ -237,7 +264,7 @@ def q_latest_day(spark, root):
 
 def q_top_backlog(spark, root):
     return reports.top_backlog(inputs.gold_table(spark, root, "fact_district_daily"),
-                               REPORT_CATEGORY)
+                               REPORT_CATEGORY, calendar=inputs.gold_table(spark, root, "dim_date"))
 
 
 def q_median_resolution(spark, root):
@@ -274,17 +301,24 @@ def q_incremental_upsert(spark, root):
     return history.publish_state(spark.read.parquet(state1))
 
 
-def q_incremental_daily(spark, root):
-    """Daily fact of the seed-era state, written; then only the days touched by the
-    later loads are recomputed against the full state. Must equal the full rebuild."""
-    seed, daily = _seed_and_daily(spark, root)
+def seed_daily(spark, root, path):
+    """The daily fact of the seed-era state, written by year at ``path``, and that state."""
+    seed, _ = _seed_and_daily(spark, root)
     old = history.publish_state(
         silver.dedup_latest(seed, "ticket_id", "last_activity", SNAPSHOT_TIE_BREAKERS))
-    old_path = scratch_path(spark, "old-daily")
-    gold.fact_daily(old).write.parquet(old_path)
+    write_daily(gold.fact_daily(old), path)
+    return old
+
+
+def q_incremental_daily(spark, root):
+    """Daily fact of the seed-era state, written; then refreshed in place for the later loads:
+    only the years they touch are computed and written. Must equal the full rebuild."""
+    path = scratch_path(spark, "daily")
+    old = seed_daily(spark, root, path)
+    _, later = _seed_and_daily(spark, root)
     new = inputs.silver(spark, root)
-    since = gold.affected_since(old, new, daily.select("ticket_id").distinct())
-    return gold.incremental_daily(spark.read.parquet(old_path), new, since)
+    refresh_daily(path, new, gold.affected_since(old, new, later.select("ticket_id").distinct()))
+    return spark.read.parquet(path).select(*gold.DAILY_COLUMNS)
 
 
 BACKFILL_POLLS = ("2024-01-05", "2024-01-15")
@@ -295,24 +329,31 @@ def q_backfill(spark, root):
     path = scratch_path(spark, "backfill")
     p = inputs.pages(spark, root)
     in_range = (F.col("poll_id") >= BACKFILL_POLLS[0]) & (F.col("poll_id") < BACKFILL_POLLS[1])
-    load_bronze(p.where(in_range), path, FEED_PAGE_SIZE, FEED_MAX_RECORDS)
-    return spark.read.parquet(path)
+    load_bronze(p.where(in_range), path, FEED_PAGE_SIZE, ingested_at=_load_time())
+    return _landed(spark, path)
 
 
 def q_scd2_history(spark, root):
-    """Type-2 history of the raw state code per ticket over the daily snapshots."""
+    """Type-2 history of the raw state code per ticket over all snapshot versions."""
     return history.scd2_history(inputs.bronze(spark, root), "state_type_latest",
                                 tie_breakers=SNAPSHOT_TIE_BREAKERS)
 
 
+STALE_DISTRICTS_BEFORE = "C"  # a dimension that lacks every district from here on
+
+
 def q_dq_referential(spark, root):
-    return quality.check_referential(inputs.gold_table(spark, root, "fact_ticket_lifecycle"),
-                                     inputs.gold_table(spark, root, "dim_district"))
+    """The lifecycle fact against its published dimension, and against a stale one."""
+    fact = inputs.gold_table(spark, root, "fact_ticket_lifecycle")
+    dim = inputs.gold_table(spark, root, "dim_district")
+    stale = dim.where(F.col("district") < STALE_DISTRICTS_BEFORE)
+    return (quality.check_referential(fact, dim).withColumn("dimension", F.lit("published"))
+            .unionByName(quality.check_referential(fact, stale).withColumn("dimension", F.lit("stale"))))
 
 
 def q_dq_freshness(spark, root):
     path = scratch_path(spark, "bronze-load")
-    load_bronze(inputs.pages(spark, root), path, FEED_PAGE_SIZE, FEED_MAX_RECORDS)
+    load_bronze(inputs.pages(spark, root), path, FEED_PAGE_SIZE, ingested_at=_load_time())
     return quality.check_freshness(spark.read.parquet(path))
 
 
@@ -345,6 +386,7 @@ QUERIES: dict[str, Query] = {
     "window_filter": q_window_filter,
     "stamp_load_metadata": q_stamp_load_metadata,
     "bronze_load": q_bronze_load,
+    "feed_lifecycle": q_feed_lifecycle,
     "dedup_latest": q_dedup_latest,
     "parse_timestamps": q_parse_timestamps,
     "bbox_filter": q_bbox_filter,

@@ -8,29 +8,62 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ticketflow.operators import gold
-from ticketflow.sources.lake import run_path, set_current, write_table
+from ticketflow.session import scratch_path
+from ticketflow.sources.lake import drop_partitions, run_path, set_current, write_table
 
 GOLD_TABLES = ("dim_district", "dim_category", "dim_date", "fact_ticket_lifecycle",
                "fact_district_daily")
 
 
+def write_daily(daily: DataFrame, path: str) -> None:
+    """Write the daily fact by year, the range that reports and refreshes prune on."""
+    write_table(daily.withColumn("year", F.year("date")), path, "year")
+
+
 def build_gold(spark: SparkSession, tickets: DataFrame, bridge: DataFrame, out_root: str,
                end_date=None, run_id: str | None = None,
                exact_median: bool = False) -> dict[str, int]:
     run_id = run_id or uuid.uuid4().hex[:16]
     path = {t: run_path(out_root, run_id, t) for t in GOLD_TABLES}
-    obs = {
-        "dim_district": write_table(gold.dim_district(tickets), path["dim_district"]),
-        "dim_category": write_table(gold.dim_category(bridge), path["dim_category"]),
-        "dim_date": write_table(gold.dim_date(tickets, end_date), path["dim_date"]),
-        "fact_ticket_lifecycle": write_table(gold.fact_lifecycle(tickets),
-                                             path["fact_ticket_lifecycle"]),
-    }
+    write_table(gold.dim_district(tickets), path["dim_district"])
+    write_table(gold.dim_category(bridge), path["dim_category"])
+    write_table(gold.dim_date(tickets, end_date), path["dim_date"])
+    write_table(gold.fact_lifecycle(tickets), path["fact_ticket_lifecycle"])
     dims = [spark.read.parquet(path[t]) for t in ("dim_district", "dim_category", "dim_date")]
-    daily = gold.fact_daily(tickets, None, *dims, exact_median=exact_median)
-    obs["fact_district_daily"] = write_table(daily, path["fact_district_daily"])
+    write_daily(gold.fact_daily(tickets, None, *dims, exact_median=exact_median),
+                path["fact_district_daily"])
     set_current(spark, out_root, run_id)
-    return {t: int(obs[t].get["rows"]) for t in GOLD_TABLES}
+    return {t: spark.read.parquet(path[t]).count() for t in GOLD_TABLES}
+
+
+def refresh_daily(path: str, tickets: DataFrame, since: Column, exact_median: bool = False) -> int:
+    """Bring the daily fact at ``path`` up to date after tickets changed (``since`` as in
+    ``gold.incremental_daily``), writing only the years that it changes; returns how many rows
+    were written. The new rows are staged first, for they are computed from the old ones."""
+    spark = tickets.sparkSession
+    old = spark.read.parquet(path)
+    new = gold.incremental_daily(old, tickets, since, exact_median=exact_median).withColumn(
+        "year", F.year("date"))
+    now = gold.dense_cells(gold.dim_district(tickets),
+                           gold.dim_category(gold.ticket_category_rows(tickets)))
+    was = old.where(F.col("date") == old.agg(F.min("date")).scalar()).select(*gold.CELL)
+    span = gold.calendar_bounds(tickets).select(F.struct("start", "end")).first()[0]
+    until = old.agg(F.struct(F.min("date"), F.max("date"))).first()[0]
+    if until[0] is None or span[0] is None:  # nothing to keep, or nothing left
+        write_daily(gold.fact_daily(tickets, exact_median=exact_median), path)
+        return spark.read.parquet(path).count() if span[0] else 0
+    same_cells = now.exceptAll(was).isEmpty() and was.exceptAll(now).isEmpty()
+    if same_cells and span[0] == until[0]:  # else every year changes
+        new = new.where(F.col("year") >= F.year(F.coalesce(since, F.lit("9999-12-31").cast("date"))))
+    staged = scratch_path(spark, "daily-refresh")
+    new.write.parquet(staged)
+    rows = spark.read.schema(new.schema).parquet(staged)
+    (rows.write.partitionBy("year").mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").parquet(path))
+    if span[0].year > until[0].year or span[1].year < until[1].year:
+        drop_partitions(spark, path, "year", lambda y: not span[0].year <= int(y) <= span[1].year)
+    return rows.count()

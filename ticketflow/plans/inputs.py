@@ -62,9 +62,11 @@ def pages(spark: SparkSession, root: str) -> DataFrame:
 
 
 def feed_rows(spark: SparkSession, root: str) -> DataFrame:
-    """Every landed feature, flattened, with its poll and page."""
+    """Every landed feature, flattened, with its poll and page; undeclared properties as
+    JSON text."""
     keep = ("poll_id", "page_offset")
-    return flatten_features(feed.page_features(pages(spark, root), keep), "feature", keep)
+    rows = flatten_features(feed.page_features(pages(spark, root), keep), "feature", keep)
+    return rows.withColumn("extra", F.to_json("extra"))
 
 
 def events_by_day_path(spark: SparkSession, root: str) -> str:

@@ -187,9 +187,15 @@ feat AS (
       WHEN 'purchase' THEN 'finish' WHEN 'click' THEN 'forward'
       WHEN 'error' THEN 'irrelevant' END AS state_type_latest,
     CAST(json_extract_string(props, '$.k') AS BIGINT) AS view_count,
+    strftime(ts - to_days(CAST(user_id % 3 AS INTEGER)), {TS_FMT}) AS "timestamp",
+    CASE WHEN event_type IN ('view', 'purchase') THEN strftime(ts, {TS_FMT}) END AS timestamp_inprogress,
+    CASE WHEN event_type = 'purchase' THEN strftime(ts, {TS_FMT}) END AS timestamp_finished,
+    CAST(user_id % 2 AS BIGINT) AS count_reopen,
+    '{{"event_id":"' || event_id || '"}}' AS extra,
     {_coord('100.25', 'user_id', 80)} AS lon,
     {_coord('13.45', 'event_id', 60)} AS lat
   FROM feed
+  WHERE NOT (day(poll_day) % 10 = 0 AND floor((top - event_id) / 50) = 2)
 ),
 pages AS (
   SELECT poll_id, page_offset, count(*) AS n_features, min(last_activity) AS oldest,
@@ -198,15 +204,17 @@ pages AS (
 ),
 marks AS (
   SELECT poll_id, page_offset,
-    coalesce(sum(n_features) OVER w, 0) AS before,
+    count(*) OVER w AS pages_before,
     coalesce(bool_or(oldest < poll_id || ' 00:00:00' OR n_features = 0) OVER w, false)
       AS stopped
   FROM pages
   WINDOW w AS (PARTITION BY poll_id ORDER BY page_offset
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ),
-kept AS (SELECT poll_id, page_offset FROM marks WHERE before < 5000 AND NOT stopped)"""
+kept AS (SELECT poll_id, page_offset FROM marks WHERE pages_before * 50 = page_offset AND NOT stopped)"""
 
+LOADED = """strftime(CAST(poll_id AS DATE) + 1, '%Y-%m-%d')
+    || CASE WHEN day(CAST(poll_id AS DATE)) % 7 = 0 THEN 'T10:00:00' ELSE 'T00:00:00' END"""
 NEXT_DAY = "strftime(CAST(poll_id AS DATE) + 1, '%Y-%m-%d')"
 
 NOT_NULL_BRONZE = "ticket_id IS NULL OR district IS NULL OR lon IS NULL"
@@ -273,10 +281,22 @@ WHERE last_activity >= '2024-01-10 00:00:00' AND last_activity < '2024-01-20 00:
     "stamp_load_metadata": _with(FEED, """SELECT *, '2024-02-01T00:00:00+00:00' AS _ingested_at,
   'feed' AS _source, '2024-01-31' AS _run_id FROM feat"""),
     "bronze_load": _with(FEED, f"""SELECT f.* EXCLUDE (poll_id, page_offset),
-  {NEXT_DAY} || 'T00:00:00+00:00' AS _ingested_at, 'feed' AS _source, poll_id AS _run_id,
+  {LOADED} || '+00:00' AS _ingested_at, 'feed' AS _source, poll_id AS _run_id,
   CAST(poll_id AS DATE) AS dt
 FROM feat f JOIN kept USING (poll_id, page_offset)
 WHERE last_activity >= poll_id || ' 00:00:00' AND last_activity < {NEXT_DAY} || ' 00:00:00'"""),
+    "feed_lifecycle": _with(FEED + ",", f"""landed AS (
+  SELECT f.*, CAST(json_extract_string(extra, '$.event_id') AS BIGINT) AS event_id
+  FROM feat f JOIN kept USING (poll_id, page_offset)
+  WHERE last_activity >= poll_id || ' 00:00:00' AND last_activity < {NEXT_DAY} || ' 00:00:00'
+),
+newest AS (
+  SELECT * FROM landed
+  QUALIFY row_number() OVER (PARTITION BY ticket_id ORDER BY last_activity DESC, event_id DESC) = 1
+),
+silver AS (SELECT * REPLACE ({PARSED}), {STATUS} AS status FROM newest WHERE {IN_BOX}),
+{LIFECYCLE}
+SELECT * FROM lifecycle"""),
     "dedup_latest": _with(f"{TICKETS},\n{DEDUP}", "SELECT * FROM deduped"),
     "parse_timestamps": _with(TICKETS, f"SELECT * REPLACE ({PARSED}) FROM bronze"),
     "bbox_filter": _with(TICKETS, f"SELECT * FROM bronze WHERE {IN_BOX}"),
@@ -329,16 +349,10 @@ FROM (SELECT (SELECT count(*) FROM silver) AS n,
     ORDER BY last_activity DESC NULLS LAST, view_count DESC NULLS LAST) AS rn FROM seeded)
 WHERE rn = 1"""),
     "incremental_upsert": _with(SILVER, "SELECT * FROM silver"),
-    "scd2_history": _with(TICKETS + ",", """per_day AS (
-  SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY ticket_id, dt
-      ORDER BY last_activity DESC NULLS LAST, view_count DESC NULLS LAST) AS rn FROM bronze)
-  WHERE rn = 1
-),
-marked AS (
+    "scd2_history": _with(TICKETS + ",", """marked AS (
   SELECT ticket_id, state_type_latest, last_activity, view_count,
     lag(state_type_latest) OVER w AS prev, row_number() OVER w AS n
-  FROM per_day
+  FROM bronze
   WINDOW w AS (PARTITION BY ticket_id ORDER BY last_activity NULLS FIRST, view_count NULLS FIRST)
 ),
 runs AS (SELECT * FROM marked WHERE n = 1 OR prev IS DISTINCT FROM state_type_latest)
@@ -348,18 +362,21 @@ FROM runs
 WINDOW w AS (PARTITION BY ticket_id ORDER BY last_activity NULLS FIRST, view_count NULLS FIRST)"""),
     "incremental_daily": _with(GOLD, "SELECT * FROM daily"),
     "backfill": _with(FEED, f"""SELECT f.* EXCLUDE (poll_id, page_offset),
-  {NEXT_DAY} || 'T00:00:00+00:00' AS _ingested_at, 'feed' AS _source, poll_id AS _run_id,
+  {LOADED} || '+00:00' AS _ingested_at, 'feed' AS _source, poll_id AS _run_id,
   CAST(poll_id AS DATE) AS dt
 FROM feat f JOIN kept USING (poll_id, page_offset)
 WHERE last_activity >= poll_id || ' 00:00:00' AND last_activity < {NEXT_DAY} || ' 00:00:00'
   AND poll_id >= '2024-01-05' AND poll_id < '2024-01-15'"""),
     "stream_current": _with(SILVER, "SELECT * FROM silver"),
-    "dq_referential": _with(GOLD, """SELECT 'referential_district' AS name, count(*) = 0 AS passed,
-  printf('%d rows with district missing from the dimension', count(*)) AS detail
-FROM lifecycle WHERE district IS NOT NULL
-  AND district NOT IN (SELECT district FROM dim_district)"""),
+    "dq_referential": _with(GOLD, """SELECT 'referential_district' AS name, bad = 0 AS passed,
+  printf('%d rows with district missing from the dimension', bad) AS detail, dimension
+FROM (SELECT 'published' AS dimension, count(*) AS bad FROM lifecycle
+      WHERE district IS NOT NULL AND district NOT IN (SELECT district FROM dim_district)
+      UNION ALL
+      SELECT 'stale', count(*) FROM lifecycle WHERE district IS NOT NULL
+        AND district NOT IN (SELECT district FROM dim_district WHERE district < 'C'))"""),
     "dq_freshness": _with(FEED + ",", f"""landed AS (
-  SELECT CAST(poll_id AS DATE) AS dt, CAST({NEXT_DAY} AS TIMESTAMP) AS landed_at
+  SELECT CAST(poll_id AS DATE) AS dt, CAST({LOADED} AS TIMESTAMP) AS landed_at
   FROM feat f JOIN kept USING (poll_id, page_offset)
   WHERE last_activity >= poll_id || ' 00:00:00' AND last_activity < {NEXT_DAY} || ' 00:00:00'
 )

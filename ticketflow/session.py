@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
+import re
 import tempfile
 import uuid
 
@@ -57,14 +60,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only a local-mode session without one gets a temporary
-    folder of its own (tests). A cluster session without it is an error: a
+    Read from the session; only a session whose executors are threads of the driver gets a
+    temporary folder of its own (tests). A cluster session without it is an error: a
     machine-local folder would not survive a lost executor.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
         root = tempfile.mkdtemp(prefix="ticketflow-ckpt-")
         sc.setCheckpointDir(root)
@@ -73,5 +76,32 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared root for one run's staged tables."""
-    return os.path.join(shared_root(spark), "ticketflow", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique folder below the shared root for one run's staged tables. It is
+    deleted when the session's Python process ends, or by ``clear_scratch``."""
+    if not _SCRATCH:
+        atexit.register(_clear_at_exit)
+    path = os.path.join(shared_root(spark), "ticketflow", f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.append((spark, path))
+    return path
+
+
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this process made in ``spark``'s application; returns how
+    many. Results that read them can't be computed any more."""
+    mine = [x for x in _SCRATCH if x[0].sparkContext is spark.sparkContext]
+    jvm = spark.sparkContext._jvm
+    for entry in mine:
+        p = jvm.org.apache.hadoop.fs.Path(entry[1])
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        _SCRATCH.remove(entry)
+    return len(mine)
+
+
+def _clear_at_exit() -> None:
+    for spark in {id(s.sparkContext): s for s, _ in _SCRATCH}.values():
+        with contextlib.suppress(Exception):  # the session may have ended before
+            if not spark.sparkContext._jsc.sc().isStopped():
+                clear_scratch(spark)

@@ -14,12 +14,17 @@ from pyspark.sql import types as T
 from ticketflow.config import CATEGORY_ARRAY
 from ticketflow.functions.columns import col
 
+#: Properties lifted as typed columns; any other property of a feature goes to ``extra``.
 PROPERTIES = T.StructType([
     T.StructField("ticket_id", T.StringType()),
     T.StructField("last_activity", T.StringType()),
+    T.StructField("timestamp", T.StringType()),
+    T.StructField("timestamp_inprogress", T.StringType()),
+    T.StructField("timestamp_finished", T.StringType()),
     T.StructField("district", T.StringType()),
     T.StructField(CATEGORY_ARRAY, T.ArrayType(T.StringType())),
     T.StructField("state_type_latest", T.StringType()),
+    T.StructField("count_reopen", T.LongType()),
     T.StructField("view_count", T.LongType()),
 ])
 FEATURE = T.StructType([
@@ -27,7 +32,7 @@ FEATURE = T.StructType([
         T.StructField("type", T.StringType()),
         T.StructField("coordinates", T.ArrayType(T.DoubleType())),
     ])),
-    T.StructField("properties", PROPERTIES),
+    T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
 ])
 PAGE = T.StructType([
     T.StructField("poll_id", T.StringType()),
@@ -37,8 +42,11 @@ PAGE = T.StructType([
 
 
 def read_pages(spark: SparkSession, path: str, schema: T.StructType = PAGE) -> DataFrame:
-    """Landed pages with a declared schema (no inference pass over the files)."""
-    return spark.read.schema(schema).json(path)
+    """Landed pages with a declared schema (no inference pass over the files).
+
+    Properties are read as a map, so none is lost, whatever the source adds. A corrupt
+    page fails the read: a page that silently became empty would end its poll early."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def page_features(pages: DataFrame, keep=("poll_id", "page_offset")) -> DataFrame:
@@ -50,54 +58,60 @@ PAGES_PER_BLOCK = 1024
 
 
 def page_until_boundary(pages: DataFrame, boundary, page_size: int = 500,
-                        max_records: int = 5000, poll: str = "poll_id",
+                        max_records: int | None = None, poll: str = "poll_id",
                         offset: str = "page_offset",
                         order_field: str = "last_activity") -> DataFrame:
     """The pages a newest-first scan keeps: pages from offset 0 up to and including
-    the first one whose oldest ``order_field`` is below ``boundary``; an empty page
-    ends the scan; the row cap is checked before each page, so the last kept page
-    may overshoot it.
+    the first one whose oldest ``order_field`` is below ``boundary``. An empty page, or
+    an offset at which no page landed, ends the scan. ``max_records`` (none by default)
+    is checked before each page, so the last kept page may overshoot it. A page that
+    landed twice counts once, and both copies are kept.
 
-    Each page needs two prefix values over the earlier pages of its poll: features
-    collected before it, and whether an earlier page already ended the scan. They are
-    computed on one narrow summary row per page, in two levels so that no task ever
-    holds a whole poll: pages are grouped into blocks of ``PAGES_PER_BLOCK``
-    consecutive offsets; block totals come from a group-by (map-side combined), a
-    window over the *blocks* of a poll gives each block's prefix, and a window
-    inside each block (at most ``PAGES_PER_BLOCK`` rows) finishes the page prefix.
-    Page rows are then kept with a semi-join on (poll, offset), so features are
-    shuffled by page, never gathered per poll. ``boundary`` is a literal or a column
-    of the page rows (per-poll bounds).
+    Each page needs three prefix values over the earlier pages of its poll: how many
+    there are (fewer than its offset implies: a page is missing), features collected,
+    and whether one already ended the scan. They are computed on one narrow summary row
+    per page, in two levels so that no task ever holds a whole poll: pages are grouped
+    into blocks of ``PAGES_PER_BLOCK`` consecutive offsets; block totals come from a
+    group-by (map-side combined), a window over the *blocks* of a poll gives each
+    block's prefix, and a window inside each block (at most ``PAGES_PER_BLOCK`` rows)
+    finishes the page prefix. Page rows are then kept with a semi-join on (poll,
+    offset), so features are shuffled by page, never gathered per poll. ``boundary`` is
+    a literal or a column of the page rows (per-poll bounds).
     """
     bound = col(boundary) if not isinstance(boundary, str) else F.lit(boundary)
-    block = F.floor(F.col(offset) / F.lit(page_size * PAGES_PER_BLOCK)).alias("_block")
-    summary = pages.select(
-        poll, offset, block,
-        F.size("features").alias("_n"),
-        ((F.array_min(F.col(f"features.properties.{order_field}")) < bound)
-         | (F.size("features") == 0)).alias("_stop"),
+    oldest = F.array_min(F.transform("features", lambda f: f["properties"][order_field]))
+    summary = (
+        pages.select(poll, offset, F.size("features").alias("_n"),
+                     ((oldest < bound) | (F.size("features") == 0)).alias("_stop"))
+        .groupBy(poll, offset).agg(F.max("_n").alias("_n"), F.max("_stop").alias("_stop"))
+        .withColumn("_block", F.floor(F.col(offset) / F.lit(page_size * PAGES_PER_BLOCK)))
     )
     by_block = Window.partitionBy(poll).orderBy("_block").rowsBetween(
         Window.unboundedPreceding, -1)
     blocks = (
         summary.groupBy(poll, "_block")
-        .agg(F.sum("_n").alias("_bn"), F.max("_stop").alias("_bstop"))
+        .agg(F.sum("_n").alias("_bn"), F.max("_stop").alias("_bstop"),
+             F.count(F.lit(1)).alias("_bpages"))
         .select(poll, "_block",
                 F.coalesce(F.sum("_bn").over(by_block), F.lit(0)).alias("_block_before"),
+                F.coalesce(F.sum("_bpages").over(by_block), F.lit(0)).alias("_block_pages"),
                 F.coalesce(F.max("_bstop").over(by_block), F.lit(False))
                 .alias("_block_stopped"))
     )
-    in_block = Window.partitionBy(poll, "_block").orderBy(offset).rowsBetween(
-        Window.unboundedPreceding, -1)
+    ordered = Window.partitionBy(poll, "_block").orderBy(offset)
+    in_block = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    gapless = (F.col("_block_pages") + F.col("_rank")) * page_size == F.col(offset)
+    under_cap = (F.lit(True) if max_records is None
+                 else F.col("_block_before") + F.col("_before") < max_records)
     kept = (
         summary.select(
             poll, offset, "_block",
+            (F.row_number().over(ordered) - 1).alias("_rank"),
             F.coalesce(F.sum("_n").over(in_block), F.lit(0)).alias("_before"),
             F.coalesce(F.max("_stop").over(in_block), F.lit(False)).alias("_stopped"),
         )
         .join(blocks, [poll, "_block"], "inner")
-        .where((F.col("_block_before") + F.col("_before") < max_records)
-               & ~(F.col("_block_stopped") | F.col("_stopped")))
+        .where(gapless & under_cap & ~(F.col("_block_stopped") | F.col("_stopped")))
         .select(poll, offset)
     )
     return pages.join(kept, [poll, offset], "left_semi")

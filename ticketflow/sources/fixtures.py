@@ -135,7 +135,10 @@ SNAPSHOT_TIE_BREAKERS = ("view_count",)
 # categories = [event_type], view_count = props.k, coordinates
 # [100.25 + (user_id % 80) / 100, 13.45 + (event_id % 60) / 100], and the raw state
 # code by event type: signup -> start, view -> inprogress, purchase -> finish,
-# click -> forward, error -> irrelevant.
+# click -> forward, error -> irrelevant. Reported user_id % 3 days before the event; in
+# progress at the event for views and purchases; finished at it for purchases;
+# count_reopen = user_id % 2. The property event_id is not among the declared ones. Polls
+# of days 10, 20 and 30 lack the page at the third offset.
 FEED_PAGE_SIZE = 50
 EVENT_STATE_CODES = {"signup": "start", "view": "inprogress", "purchase": "finish",
                      "click": "forward", "error": "irrelevant"}
@@ -161,12 +164,20 @@ def feed_features(spark: SparkSession, root: str, page_size: int = FEED_PAGE_SIZ
             F.col("event_type").alias("district"),
             F.array("event_type").alias(CATEGORY_ARRAY),
             state[F.col("event_type")].alias("state_type_latest"),
+            format_ts(F.col("ts") - F.make_dt_interval(F.col("user_id") % 3)).alias("timestamp"),
+            F.when(F.col("event_type").isin("view", "purchase"), format_ts("ts"))
+            .alias("timestamp_inprogress"),
+            F.when(F.col("event_type") == "purchase", format_ts("ts")).alias("timestamp_finished"),
+            (F.col("user_id") % 2).alias("count_reopen"),
+            "event_id",
             F.get_json_object("props", "$.k").cast("long").alias("view_count"),
         ).alias("properties"),
     )
     offset = F.floor((F.col("top") - F.col("event_id")) / page_size).cast("long") * page_size
-    return feed.select(F.date_format("poll_day", "yyyy-MM-dd").alias("poll_id"),
-                       offset.alias("page_offset"), feature.alias("feature"))
+    missing = (F.dayofmonth("poll_day") % 10 == 0) & (F.col("page_offset") == 2 * page_size)
+    return (feed.select("poll_day", offset.alias("page_offset"), feature.alias("feature"))
+            .where(~missing)
+            .select(F.date_format("poll_day", "yyyy-MM-dd").alias("poll_id"), "page_offset", "feature"))
 
 
 def feed_pages(spark: SparkSession, root: str, page_size: int = FEED_PAGE_SIZE) -> DataFrame:

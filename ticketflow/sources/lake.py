@@ -3,7 +3,6 @@ and versioned publishes. Paths are plain Hadoop paths (local, HDFS, object store
 
 from __future__ import annotations
 
-import time
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -41,14 +40,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def write_table(df: DataFrame, path: str) -> Observation:
-    """Full overwrite of one table; file sizes balanced by AQE (no coalesce(1))."""
+def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> Observation:
+    """Full overwrite of one table, in the partitioning and order the plan already has: a
+    narrow result is written without a shuffle, files being as many as its tasks (adaptive
+    execution has coalesced small ones after any shuffle). ``partition_by`` lays the table
+    out by a column that later reads prune on."""
     obs = Observation(f"written_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).hint("rebalance") \
-      .write.mode("overwrite").parquet(path)
+    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return obs
 
 
+def drop_partitions(spark: SparkSession, path: str, column: str, gone) -> None:
+    """Delete the partitions whose value ``gone`` (a function of its text) says so."""
+    jvm = spark.sparkContext._jvm
+    for name in _names(spark, path):
+        if name.startswith(f"{column}=") and gone(name.partition("=")[2]):
+            p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}")
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scan_partitioned(spark: SparkSession, path: str, column: str = "dt",
                      start=None, end=None) -> DataFrame:
     """All partitions as one table; a ``[start, end)`` range prunes partitions."""
@@ -70,19 +81,38 @@ def run_path(root: str, run_id: str, table: str) -> str:
     return f"{root.rstrip('/')}/runs/{run_id}/{table}"
 
 
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+
+
+def _create(spark: SparkSession, path: str) -> bool:
+    """Create an empty file unless it exists; whether this call created it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).createNewFile(p)
+
+
 def set_current(spark: SparkSession, root: str, run_id: str) -> None:
-    """Append a pointer record; the newest record wins. Nothing is deleted, so a crash
-    while publishing leaves the previous pointer in force."""
-    spark.createDataFrame([(time.time_ns(), run_id)], "seq long, run_id string").coalesce(1) \
-        .write.mode("append").json(f"{root.rstrip('/')}/_current")
+    """Point ``root`` at a run. The pointer is the name of an empty file, led by a version
+    that the publisher has claimed by creating its claim file first: two publishers never
+    share one, and no clocks are compared. Nothing is deleted, so a crash while publishing
+    leaves the previous pointer in force."""
+    folder = f"{root.rstrip('/')}/_current"
+    while True:
+        version = max(map(int, _names(spark, f"{folder}/claims")), default=0) + 1
+        if _create(spark, f"{folder}/claims/{version:012d}"):
+            _create(spark, f"{folder}/runs/{version:012d}-{run_id}")
+            return
 
 
 def current_run(spark: SparkSession, root: str) -> str:
-    pointers = spark.read.schema("seq long, run_id string").json(f"{root.rstrip('/')}/_current")
-    row = pointers.orderBy(F.col("seq").desc()).first()
-    if row is None:
+    """The run of the highest version: one folder listing, no job."""
+    pointers = _names(spark, f"{root.rstrip('/')}/_current/runs")
+    if not pointers:
         raise FileNotFoundError(f"nothing published under {root}")
-    return row["run_id"]
+    return max(pointers).partition("-")[2]
 
 
 def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:

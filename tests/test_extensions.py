@@ -38,22 +38,6 @@ def test_upsert_then_publish_equals_full_rebuild(spark):
     assert key_rows(history.publish_state(state)) == key_rows(silver_tickets(a.unionByName(b)))
 
 
-def test_incremental_daily_equals_full_rebuild(spark):
-    schema = ("ticket_id string, district string, timestamp timestamp, timestamp_finished timestamp,"
-              " problem_type_fondue array<string>")
-    t = lambda s: dt.datetime.strptime(s, "%Y-%m-%d")
-    old = spark.createDataFrame([("A", "P", t("2025-05-01"), None, ["f"]),
-                                 ("B", "Q", t("2025-05-02"), None, ["f"])], schema)
-    new = spark.createDataFrame([("A", "P", t("2025-05-01"), None, ["f"]),
-                                 ("B", "Q", t("2025-05-02"), t("2025-05-04"), ["f"]),
-                                 ("C", "P", t("2025-05-05"), None, ["f"])], schema)
-    changed = spark.createDataFrame([("B",), ("C",)], "ticket_id string")
-    since = gold.affected_since(old, new, changed)
-    inc = gold.incremental_daily(gold.fact_daily(old), new, since)
-    cols = list(gold.DAILY_COLUMNS)
-    assert sorted(inc.select(cols).collect()) == sorted(gold.fact_daily(new).select(cols).collect())
-
-
 def test_referential_counts_only_non_null_orphans(spark):
     fact = spark.createDataFrame([("A", "P"), ("B", "X"), ("C", None)], "ticket_id string, district string")
     dim = spark.createDataFrame([("P",)], "district string")
@@ -95,21 +79,59 @@ def test_stream_current_state_matches_batch_dedup(spark, tmp_path):
     assert spark.read.parquet(log).select(streams.BATCH).distinct().count() == 3
 
 
-def test_scd2_history_runs_reopen_and_same_day_collapse(spark):
+def test_scd2_history_keeps_every_version(spark):
     snaps = spark.createDataFrame(
-        [("A", "2025-01-01 09:00:00", "North", "2025-01-01"),
-         ("A", "2025-01-02 09:00:00", "North", "2025-01-02"),
-         ("A", "2025-01-03 08:00:00", "South", "2025-01-03"),
-         ("A", "2025-01-03 18:00:00", "West", "2025-01-03"),   # same day: only the latest counts
-         ("A", "2025-01-05 09:00:00", "North", "2025-01-05"),
-         ("B", "2025-01-01 09:00:00", None, "2025-01-01"),
-         ("B", "2025-01-02 09:00:00", None, "2025-01-02")],
-        "ticket_id string, last_activity string, district string, dt string")
-    out = sorted((r["ticket_id"], r["district"], r["valid_from"], r["valid_to"], r["is_current"])
-                 for r in history.scd2_history(snaps).collect())
-    assert out == [
-        ("A", "North", "2025-01-01 09:00:00", "2025-01-03 18:00:00", False),
-        ("A", "North", "2025-01-05 09:00:00", None, True),
-        ("A", "West", "2025-01-03 18:00:00", "2025-01-05 09:00:00", False),
-        ("B", None, "2025-01-01 09:00:00", None, True),
-    ]
+        [("A", "2025-01-01 09:00:00", "North"), ("A", "2025-01-02 09:00:00", "North"),
+         ("A", "2025-01-03 08:00:00", "South"), ("A", "2025-01-03 18:00:00", "West"),  # twice in a day
+         ("A", "2025-01-05 09:00:00", "North"), ("A", "2025-01-06 09:00:00", None),
+         ("A", "2025-01-07 09:00:00", None), ("B", "2025-01-01 09:00:00", None),
+         ("B", "2025-01-02 09:00:00", None)], "ticket_id string, last_activity string, district string")
+    df = history.scd2_history(snaps)
+    assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    out = sorted(((r["ticket_id"], r["valid_from"], r["district"], r["valid_to"], r["is_current"])
+                  for r in df.collect()), key=str)
+    at = lambda d, h="09": f"2025-01-0{d} {h}:00:00"
+    assert out == [("A", at(1), "North", at(3, "08"), False), ("A", at(3, "08"), "South", at(3, 18), False),
+                   ("A", at(3, 18), "West", at(5), False), ("A", at(5), "North", at(6), False),
+                   ("A", at(6), None, None, True), ("B", at(1), None, None, True)]
+
+
+def events(spark, n=900, days=30):
+    start = dt.datetime(2025, 3, 1)
+    return spark.createDataFrame([(start + dt.timedelta(minutes=k * days * 1440 // n), "ab"[k % 2]) for k in range(n)],
+                                 "ts timestamp, event_type string")
+
+
+def by_day(df):
+    return {(r["window_start"], r["event_type"]): r["n"] for r in df.collect()}
+
+
+def test_stream_counts_are_exact_in_any_file_order(spark, tmp_path):
+    src, ev = str(tmp_path / "src"), events(spark)
+    # the newest day first, then the rest scattered over several tasks
+    ev.where("ts >= '2025-03-25'").coalesce(1).write.mode("append").parquet(src)
+    ev.where("ts < '2025-03-25'").repartition(5).write.mode("append").parquet(src)
+    log, ckpt = scratch_path(spark, "log"), scratch_path(spark, "ckpt")
+    streams.run_windowed_counts(spark, src, ev.schema, log, ckpt, max_files_per_trigger=1)
+    want = by_day(ev.groupBy(F.window("ts", "1 day").alias("w"), "event_type").count().select(
+        F.col("w.start").alias("window_start"), "event_type", F.col("count").alias("n")))
+    assert by_day(streams.read_windowed_counts(spark, log)) == want and sum(want.values()) == 900
+    # a batch that is replayed replaces its own counts
+    batch = sorted(tmp_path.joinpath("src").glob("*.parquet"), key=lambda p: p.stat().st_mtime)[0]
+    streams._counts(spark.read.parquet(str(batch)), "ts", "1 day", ("event_type",)).write.mode(
+        "overwrite").parquet(f"{log}/{streams.BATCH}=0")
+    assert by_day(streams.read_windowed_counts(spark, log)) == want
+    streams.run_windowed_counts(spark, src, ev.schema, log, ckpt)  # nothing new
+    assert by_day(streams.read_windowed_counts(spark, log)) == want
+
+
+def test_watermarked_counts_report_what_they_drop(spark, tmp_path):
+    src, ev = str(tmp_path / "src"), events(spark)
+    # newest first; a watermark drops rows from the batch after next on
+    for lo, hi in (("2025-03-20", "2025-04-01"), ("2025-03-10", "2025-03-20"), ("2025-03-01", "2025-03-10")):
+        ev.where(f"ts >= '{lo}' and ts < '{hi}'").coalesce(1).write.mode("append").parquet(src)
+    log, ckpt = scratch_path(spark, "log"), scratch_path(spark, "ckpt")
+    late = streams.run_watermarked_counts(spark, src, ev.schema, log, ckpt, "1 hour", max_files_per_trigger=1)
+    counted = sum(by_day(streams.read_watermarked_counts(spark, log)).values())
+    print("LATE", late, counted)
+    assert late > 0 and counted < 900

@@ -1,10 +1,13 @@
-"""Plan-level properties: builders run no Spark job, and the daily fact's densify and
-backlog window share one exchange."""
+"""Plan-level properties: builders run no Spark job, grid days are made after the exchange of
+the cells and by several tasks, narrow tables are written without a shuffle."""
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from ticketflow.operators import gold, reports
 from ticketflow.operators.quality import quality_gate
+from ticketflow.sources.lake import write_table
 
 
 def jobs_started(spark, fn):
@@ -35,8 +38,30 @@ def test_builders_run_no_job(spark):
     assert jobs_started(spark, lambda: quality_gate(cand)) == set()
 
 
-def test_densify_and_backlog_share_one_exchange(spark):
-    plan = gold.fact_daily(tickets(spark))._jdf.queryExecution().executedPlan().toString()
-    top = plan.split("Union")[0]  # operators above the grid/activity union
-    assert top.count("Exchange hashpartitioning(district") == 1
-    assert "Window [" in top
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_days_are_made_after_the_cell_exchange(spark):
+    plan = plan_of(gold.fact_daily(tickets(spark)))
+    top, rest = plan.split("Union", 1)
+    assert "Exchange" not in top and "Window [" in top  # densify and backlog reuse the cells' partitioning
+    grid = rest.split("Exchange hashpartitioning(district", 1)[0]
+    assert "Generate explode" in grid  # above the exchange of the cells
+
+
+def test_grid_rows_are_made_in_several_tasks(spark):
+    t = tickets(spark)
+    many = t.limit(0).unionByName(t.selectExpr("* except (district)", "explode(sequence(1, 60)) as n").selectExpr(
+        "* except (n)", "concat('D', n) as district"))
+    made = gold.cell_days(gold.dense_cells(gold.dim_district(many), gold.dim_category(gold.ticket_category_rows(many))),
+                          F.lit("2025-01-01").cast("date"), F.lit("2025-03-01").cast("date"))
+    parts = made.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(parts) > 1 and sum(r["count"] for r in parts) == 60 * 60
+
+
+def test_narrow_tables_are_written_without_a_shuffle(spark, scratch):
+    t = tickets(spark)
+    write_table(gold.fact_lifecycle(t), scratch)
+    assert "Exchange" not in plan_of(gold.fact_lifecycle(t))
+    assert len(spark.read.parquet(scratch).inputFiles()) <= max(1, t.rdd.getNumPartitions())

@@ -276,14 +276,14 @@ def q_median_resolution(spark, root):
 SEED_CUTOFF = "1998-01-01"
 
 
-def _seed_and_daily(spark, root):
+def seed_and_daily(spark, root):
     b = inputs.bronze(spark, root)
     return (b.where(F.col("dt") < F.lit(SEED_CUTOFF).cast("date")),
             b.where(F.col("dt") >= F.lit(SEED_CUTOFF).cast("date")))
 
 
 def q_seed_reconcile(spark, root):
-    seed, daily = _seed_and_daily(spark, root)
+    seed, daily = seed_and_daily(spark, root)
     return history.seed_reconcile(seed.drop("count_reopen"), daily,
                                   tie_breakers=SNAPSHOT_TIE_BREAKERS)
 
@@ -291,7 +291,7 @@ def q_seed_reconcile(spark, root):
 def q_incremental_upsert(spark, root):
     """Current state from the seed, written; then one upsert of the later loads,
     written; the published view must equal the full rebuild."""
-    seed, daily = _seed_and_daily(spark, root)
+    seed, daily = seed_and_daily(spark, root)
     state0 = scratch_path(spark, "state")
     silver.dedup_latest(seed, "ticket_id", "last_activity", SNAPSHOT_TIE_BREAKERS) \
         .write.parquet(state0)
@@ -303,7 +303,7 @@ def q_incremental_upsert(spark, root):
 
 def seed_daily(spark, root, path):
     """The daily fact of the seed-era state, written by year at ``path``, and that state."""
-    seed, _ = _seed_and_daily(spark, root)
+    seed, _ = seed_and_daily(spark, root)
     old = history.publish_state(
         silver.dedup_latest(seed, "ticket_id", "last_activity", SNAPSHOT_TIE_BREAKERS))
     write_daily(gold.fact_daily(old), path)
@@ -315,7 +315,7 @@ def q_incremental_daily(spark, root):
     only the years they touch are computed and written. Must equal the full rebuild."""
     path = scratch_path(spark, "daily")
     old = seed_daily(spark, root, path)
-    _, later = _seed_and_daily(spark, root)
+    _, later = seed_and_daily(spark, root)
     new = inputs.silver(spark, root)
     refresh_daily(path, new, gold.affected_since(old, new, later.select("ticket_id").distinct()))
     return spark.read.parquet(path).select(*gold.DAILY_COLUMNS)

@@ -60,9 +60,17 @@ def _start(at: Column, size: Column) -> Column:
 
 
 def _exploded(rows: DataFrame, key: str) -> DataFrame:
-    """(key, start, seed) for rows of (key, w)."""
-    return rows.select(key, F.size("w").alias("n"), F.posexplode(_seeds(F.col("w"))).alias("at", "seed")
-                       ).select(key, _start(F.col("at"), F.col("n")).alias("start"), "seed")
+    """(key, start, seed) for rows of (key, w), words or their hashes.
+
+    The seeds are a column of their own before they are exploded, and null ones are dropped
+    after: so they are computed once, and the explode itself is compiled."""
+    seeds = rows.select(key, F.size("w").alias("n"), _seeds(F.col("w")).alias("s"))
+    return seeds.select(key, "n", F.posexplode_outer("s").alias("at", "seed")).select(
+        key, _start(F.col("at"), F.col("n")).alias("start"), "seed").where("seed is not null")
+
+
+def _hashed(words_: Column) -> Column:
+    return F.transform(words_, lambda x: F.xxhash64(x))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -71,9 +79,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = staged(benchmark.select(row_key(F.col("item_id"), F.col("text")).alias("item_key"),
                                     "item_id", words(F.col("text")).alias("w"))
                    .where("w is not null").dropDuplicates(["item_key"]), "items")
-    seeds = staged(_exploded(items, "item_key").withColumnRenamed("start", "item_start"), "item_seeds")
+    seeds = staged(_exploded(items.select("item_key", _hashed(F.col("w")).alias("w")), "item_key")
+                   .withColumnRenamed("start", "item_start"), "item_seeds")
     rows = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("doc_key"),
-                       words(F.col("text")).alias("w"))
+                       _hashed(words(F.col("text"))).alias("w"))
     hits = staged(_exploded(rows, "doc_key").join(broadcast_if_small(seeds, BROADCAST_SEEDS), "seed")
                   .select("doc_key", "item_key", (F.col("start") - F.col("item_start")).alias("d"))
                   .distinct(), "hits")
@@ -91,7 +100,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     best = F.array_max(F.transform(
         F.sequence(F.lit(0), F.col("long") - F.col("window")),
         lambda s: F.aggregate(F.slice("equal", s + 1, F.col("window")), F.lit(0), lambda x, y: x + y)))
-    return (aligned.withColumn("equal", equal).withColumn("matched", best)
+    # written, as the windows below would compare the words anew for every start
+    compared = staged(aligned.select("doc_key", "doc_id", "item_id", "window", "long",
+                                     equal.alias("equal")), "aligned")
+    return (compared.withColumn("matched", best)
             .where(F.col("matched") >= F.col("window")
                    - F.floor(F.col("window") * SUBSTITUTIONS / WINDOW))
             .groupBy("doc_key", "doc_id", "item_id")

@@ -97,7 +97,8 @@ class Ledger:
         jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         fs = jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         if not fs.exists(jvm_path):
-            return self.spark.createDataFrame([], schema)
+            fields = (c.split() for c in schema.split(","))
+            return self.spark.range(0).select(*(F.lit(None).cast(kind).alias(n) for n, kind in fields))
         return self.spark.read.schema(schema).parquet(folder)
 
     def pairs(self) -> DataFrame:

@@ -64,7 +64,7 @@ class Codes:
         self.longest = longest or 1.0
         rng = np.random.default_rng(seed)
         x = self._lift(sample)
-        _, _, axes = np.linalg.svd(x, full_matrices=True)
+        axes = np.linalg.eigh(x.T @ x)[1].T[::-1]  # the leading directions first
         parts = []
         while (left := bits - sum(p.shape[1] for p in parts)) > 0:
             base = axes[:left].T  # the leading directions, or all of them

@@ -89,31 +89,39 @@ def test_gradient_is_that_of_the_loss():
 
 
 def test_state_is_carried_across_windows():
-    texts = [prose(700, 1), prose(33, 2), "", prose(op.STEPS, 4), prose(5, 6)]
-    v, counts = vocabulary(texts)
-    theta = op.Network(v).theta * 3
-    net = op.Network(v, theta)
-    got = op._scored(v, theta, [t.encode() for t in texts])
-    for t, row in zip(texts, got, strict=True):
-        slots = op._slot_text(v, t.encode())
+    texts = [prose(700, 1), prose(33, 2), "", prose(op.STEPS, 4), prose(5, 6), "unseen words here"]
+    v, counts = vocabulary(texts[:-1])
+    net = op.Network(v, op.Network(v).theta * 3)
+    coder = op.Coder(v)
+    n_tokens, known, base, model, rare = (c.to_pylist() for c in op._scored(v, net, coder, [t.encode() for t in texts]))
+    for k, t in enumerate(texts):
+        words = t.lower().encode().split()
+        slots = [v.end_slot, *(v.neural + op.tail_class(w) if w not in v.frequent[:v.neural] else v.frequent.index(w) for w in words), v.end_slot]
         state, total = np.zeros((1, op.HIDDEN), np.float32), 0.0
         for a, b in zip(slots[:-1], slots[1:], strict=True):  # a word at a time
-            states, _ = net.forward(np.array([[a]]), state)
-            state = states[-1]
+            state = net.forward(np.array([[a]]), state)[0][-1]
             total += float(net.log_probabilities(state, np.array([b]))[0][0]) / np.log(10)
-        for w in t.lower().encode().split():
-            if w not in v.slot:
-                total += v.tail_log[op.tail_class(w)] + log10(counts[w] + 0.5)
-        assert abs(total - row[3]) < 1e-3 * max(1, abs(total)) and row[4] == {}
-
-
-def test_training_lanes_hold_every_word_once():
-    texts = [np.arange(n + 2) + 100 * n for n in (0, 1, 5, 23, 24, 25, 80)]
-    pairs = Counter((a, b) for t in texts for a, b in zip(t[:-1].tolist(), t[1:].tolist(), strict=True))
-    seen = Counter()
-    for x, y, live, _ in op.lanes_of(iter(texts), 0, lanes=3):
-        seen.update(zip(x[live].tolist(), y[live].tolist(), strict=True))
-    assert seen == pairs
+        for w in words:
+            if w not in v.frequent[:v.neural]:
+                total += v.tail_log[op.tail_class(w)] + (log10(counts[w] + 0.5) if w in counts else 0)
+        assert abs(total - model[k]) < 1e-3 * max(1, abs(total))
+        assert n_tokens[k] == len(words) + 1 and known[k] == sum(w in counts for w in words) + 1
+        assert {r["word"]: r["n"] for r in rare[k]} == Counter(w for w in words if w not in counts)
+    assert coder.numbers.new == [] and len(coder.numbers) == len(v.frequent)
+
+
+def test_windows_hold_every_word_of_every_span_once():
+    sizes = np.array([0, 1, 5, 23, 24, 25, 80, 3])
+    starts = np.concatenate([[0], np.cumsum(sizes + 1)])
+    flat = np.arange(starts[-1] + 1, dtype=np.int32)
+    seen, before = [], {}
+    for x, y, live, carry, who in op.windows(flat, starts[:-1], starts[1:], lanes=3):
+        assert (y[live] == x[live] + 1).all()
+        for lane, (c, w) in enumerate(zip(carry, who, strict=True)):
+            assert x[0, lane] == (starts[w] if c < 0 else before[c][1] + 1) and (c < 0 or before[c][0] == w)
+        before = {lane: (w, x[-1, lane]) for lane, w in enumerate(who)}
+        seen += x[live].tolist()
+    assert sorted(seen) == list(range(starts[-1]))
 
 
 def test_awkward_rows_and_empty_table(spark):

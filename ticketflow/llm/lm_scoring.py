@@ -8,10 +8,12 @@ tail class the second is the smoothed count (c + 0.5) / (N + 0.5 (V + 1)) over t
 tokens N and distinct words V, with one unseen word.
 
 The network is a gated recurrent unit whose input weights are a table over word slots. Training
-runs through all training documents: each partition trains its own copy on its documents, laid
-end to end in parallel lanes, with backpropagation truncated to ``STEPS`` words, and the copies
-are averaged by words seen, group after group, in ``ROUNDS`` rounds over disjoint parts of the documents.
-Scoring carries the state across windows of ``STEPS`` words, so a document is scored whole.
+runs through all training documents: each partition trains its own copy on its documents, in
+parallel lanes, with backpropagation truncated to ``STEPS`` words and the state carried on (for
+``SEGMENT`` words, where a long text is cut for training), and the copies are averaged by words
+seen, group after group, in ``ROUNDS`` rounds over disjoint parts of the documents. Scoring
+carries the state across all windows (of ``SCORED_STEPS`` words) of a document, so it is scored
+whole.
 
 Counts cover all training tokens. Counts of tail words, whose number grows with the corpus, are
 joined in by a shuffle; only the ``FREQUENT`` most frequent words are broadcast.
@@ -38,16 +40,22 @@ from ticketflow.llm.common import Shared, held_out, remainder, small_batches, st
 
 HELD_OUT_PARTS = 5
 #: Words whose counts are broadcast; the first ``NEURAL`` of them have slots of their own.
-FREQUENT = 50_000
+FREQUENT = 100_000
 NEURAL = 1_024
-CLASS_WORDS = 32
+CLASS_WORDS = 64
 TAIL_CLASSES = 63
 HIDDEN = 16
 STEPS = 24
-LANES = 192
+SCORED_STEPS = 48
+LANES = 256
+SEGMENT = 960
 ROUNDS = 2
 RATE = 0.02
 CLIP = 1.0
+#: No parameter exceeds this, so no logit exceeds (HIDDEN + 1) times it and exp can't overflow.
+MOST = 4.0
+#: Tokens that a task holds at once, beside one batch.
+CHUNK_TOKENS = 4_000_000
 _FLUSH = 400_000
 _FAN_IN = 16
 
@@ -77,24 +85,68 @@ class Vocabulary:
         #: of a word of a tail class, less log10(c + 0.5)
         self.tail_log = np.array([-log10(n + 0.5 * (v + 1)) for n, v in rest.values()])
         self.base_log = -log10(tokens + 0.5 * (distinct + 1))
-        self._slots: dict[bytes, int] = {}
-
-    def slots_of(self, words: list[bytes]) -> np.ndarray:
-        """Slots of words; slots of tail words are remembered, up to a bound."""
-        known, out = self._slots, []
-        if not known or len(known) > 300_000:
-            known.clear()
-            known.update(self.slot)
-        for w in words:
-            s = known.get(w)
-            if s is None:
-                s = known[w] = self.neural + tail_class(w)
-            out.append(s)
-        return np.array(out, np.int32)
+        self.frequent = [w for w, _ in words]
+        #: by position among the frequent words, then of the end
+        self.logs = np.array([log10(c + 0.5) for _, c in words] + [log10(ends + 0.5)])
+
+
+class _Numbers(dict):
+    """Numbers of words; a word that has none gets the next, and is put down in ``new``."""
+
+    def __init__(self, words: list[bytes]):
+        super().__init__(zip(words, range(len(words)), strict=True))
+        self.first, self.new = len(words), []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = self.first + len(self.new)
+        self.new.append(word)
+        return n
+
+    def forget(self) -> None:
+        for w in self.new:
+            del self[w]
+        self.new = []
+
+
+class Coder:
+    """Texts as numbers of words, and numbers as slots."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.numbers, self.neural, self.end = _Numbers(vocabulary.frequent), vocabulary.neural, vocabulary.end_slot
+        self._frequent = self._slots_of(vocabulary.frequent)
+        self._frequent[:self.neural] = np.arange(self.neural)
+
+    def _slots_of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter((self.neural + tail_class(w) for w in words), np.int32, len(words))
+
+    def code(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all words, text after text, and how many each text has."""
+        number, parts = self.numbers.__getitem__, []
+        for t in texts:
+            words = (t or b"").lower().split()
+            parts.append(np.fromiter(map(number, words), np.int32, len(words)))
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        return (np.concatenate(parts) if parts else np.zeros(0, np.int32)), sizes
+
+    def slots(self, numbers: np.ndarray) -> np.ndarray:
+        return np.concatenate([self._frequent, self._slots_of(self.numbers.new)])[numbers]
+
+    def flat(self, slots: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Slots with an end before, between and after the texts, and where each text's end before
+        it is; a text's inputs run from there, its targets one further, to the next end."""
+        starts = np.concatenate([[0], np.cumsum(sizes + 1)])
+        out = np.full(starts[-1] + 1, self.end, np.int32)
+        is_word = np.ones(len(out), bool)
+        is_word[starts] = False
+        out[is_word] = slots
+        return out, starts
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 class Network:
@@ -129,9 +181,11 @@ class Network:
         for t in range(len(x)):
             a = states[t] @ self.rec
             a += self.rec_b
-            g = _sigmoid(inp[t, :, :2 * h] + a[:, :2 * h])
+            g = _sigmoid(np.clip(inp[t, :, :2 * h] + a[:, :2 * h], -30, 30))
             z, r, c = g[:, :h], g[:, h:], a[:, 2 * h:]
-            n = np.tanh(inp[t, :, 2 * h:] + r * c)
+            n = r * c
+            n += inp[t, :, 2 * h:]
+            np.tanh(n, out=n)
             states[t + 1] = n + z * (states[t] - n)
             if keep:
                 kept.append((z, r, c, n))
@@ -143,19 +197,17 @@ class Network:
         cls = self.slot_class[y]
         z = s @ self.cls
         z += self.cls_b
-        z -= z.max(axis=1, keepdims=True)
         rows = np.arange(len(y))
         at = z[rows, cls]
         np.exp(z, out=z)
-        total = z.sum(axis=1)
+        total = z @ np.ones(z.shape[1], np.float32)
         out = at - np.log(total)
         back = None
         if grads is not None:
-            z /= total[:, None]
-            z[rows, cls] -= 1
-            z *= weight[:, None]
+            z *= (weight / total)[:, None]
+            z[rows, cls] -= weight
             grads["cls"] += s.T @ z
-            grads["cls_b"] += z.sum(axis=0)
+            grads["cls_b"] += np.ones(len(z), np.float32) @ z
             back = z @ self.cls.T
         frequent = np.flatnonzero(cls < self.frequent_classes)
         order = frequent[np.argsort(cls[frequent], kind="stable")]
@@ -165,7 +217,6 @@ class Network:
             if not len(mine):
                 continue
             w = s[mine] @ self.word[k] + self.word_b[k]
-            w -= w.max(axis=1, keepdims=True)
             inside, i = y[mine] - k * CLASS_WORDS, np.arange(len(mine))
             at = w[i, inside]
             np.exp(w, out=w)
@@ -189,22 +240,25 @@ class Network:
         weight = (live / max(1, live.sum())).astype(np.float32).ravel()
         _, back = self.log_probabilities(states[1:].reshape(-1, h), y.ravel(), grads, weight)
         back = back.reshape(steps, lanes, h)
-        d_inp = np.empty((steps, lanes, 3 * h), np.float32)
+        da = np.empty((steps, lanes, 3 * h), np.float32)  # of what the recurrent weights give
+        dn = np.empty((steps, lanes, h), np.float32)
         d = np.zeros((lanes, h), np.float32)
         for t in range(steps - 1, -1, -1):
             z, r, c, n = kept[t]
-            d = d + back[t]
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (states[t] - n) * z * (1 - z)
-            dr = dn * c * r * (1 - r)
-            da = np.concatenate([dz, dr, dn * r], axis=1)
-            d_inp[t, :, :h], d_inp[t, :, h:2 * h], d_inp[t, :, 2 * h:] = dz, dr, dn
-            grads["rec"] += states[t].T @ da
-            grads["rec_b"] += da.sum(axis=0)
-            d = d * z + da @ self.rec.T
+            d += back[t]
+            np.multiply(d * (1 - z), 1 - n * n, out=dn[t])
+            np.multiply(d * (states[t] - n), z * (1 - z), out=da[t, :, :h])
+            np.multiply(dn[t], r, out=da[t, :, 2 * h:])
+            np.multiply(da[t, :, 2 * h:], c * (1 - r), out=da[t, :, h:2 * h])
+            d *= z
+            d += da[t] @ self.rec.T
+        flat_da = da.reshape(-1, 3 * h)
+        grads["rec"] += states[:-1].reshape(-1, h).T @ flat_da
+        grads["rec_b"] += np.ones(len(flat_da), np.float32) @ flat_da
+        da[:, :, 2 * h:] = dn  # the inputs reach the candidate past the reset gate
         order = np.argsort(x.ravel(), kind="stable")
         slots, starts = np.unique(x.ravel()[order], return_index=True)
-        grads["inp"][slots] = np.add.reduceat(d_inp.reshape(-1, 3 * h)[order], starts)
+        grads["inp"][slots] = np.add.reduceat(flat_da[order], starts)
         norm = float(np.sqrt(flat @ flat))
         if norm > CLIP:
             flat *= CLIP / norm
@@ -213,49 +267,59 @@ class Network:
         m += 0.1 * (flat - m)
         v += 0.01 * (flat * flat - v)
         self.theta -= RATE / (1 + t / 2000) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+        np.clip(self.theta, -MOST, MOST, out=self.theta)
         return states[-1]
 
 
-def lanes_of(texts: Iterator[np.ndarray], end: int, lanes: int = LANES, steps: int = STEPS):
-    """Windows (inputs, targets, live, fresh) of texts laid end to end in lanes. ``fresh`` marks the
-    lanes whose text starts at the window's first step with a blank state; a text starts a window,
-    and what is left of a lane's last window is not live."""
-    held: list[np.ndarray | None] = [None] * lanes
-    done = False
-    while True:
-        fresh = np.zeros(lanes, bool)
-        for k in range(lanes):
-            if held[k] is None and not done:
-                got = next(texts, None)
-                if got is None:
-                    done = True
-                else:
-                    held[k], fresh[k] = got, True
-        if all(t is None for t in held):
-            return
-        x = np.full((steps, lanes), end, np.int32)
-        y = np.full((steps, lanes), end, np.int32)
-        live = np.zeros((steps, lanes), bool)
-        who = np.zeros(lanes, bool)
-        for k, t in enumerate(held):
-            if t is None:
-                continue
-            n = min(steps, len(t) - 1)
-            x[:n, k], y[:n, k], live[:n, k] = t[:n], t[1:n + 1], True
-            who[k] = len(t) - 1 > steps
-            held[k] = t[n:] if who[k] else None
-        yield x, y, live, fresh
-
-
-def _slot_text(vocabulary: Vocabulary, text: bytes | None) -> np.ndarray:
-    """A text's slots between two ends: the first is the first input, the last the last target."""
-    words = (text or b"").lower().split()
-    out = np.empty(len(words) + 2, np.int32)
-    out[0] = out[-1] = vocabulary.end_slot
-    out[1:-1] = vocabulary.slots_of(words)
+def windows(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, lanes: int = LANES, steps: int = STEPS):
+    """Windows over spans of ``flat``, each span in one lane from its first to its last window, in
+    order of the spans: (inputs, targets, live, carry, who). ``who`` is the span of each lane,
+    ``carry`` the lane of the window before whose state it goes on with, or -1 for a new span; what
+    is left of a span's last window is not live."""
+    n = min(lanes, len(starts))
+    who, queue = np.arange(n), n
+    at, carry = starts[:n].copy(), np.full(n, -1)
+    step = np.arange(steps)[:, None]
+    while len(who):
+        here = at + step
+        live = here < ends[who]
+        np.minimum(here, len(flat) - 2, out=here)
+        yield flat[here], flat[here + 1], live, carry, who
+        at = at + steps
+        carry = np.arange(len(who))
+        done = np.flatnonzero(at >= ends[who])
+        take = min(len(done), len(starts) - queue)
+        new = done[:take]
+        who, queue = who.copy(), queue + take
+        who[new] = np.arange(queue - take, queue)
+        at[new], carry[new] = starts[who[new]], -1
+        if take < len(done):
+            kept = np.ones(len(who), bool)
+            kept[done[take:]] = False
+            who, at, carry = who[kept], at[kept], carry[kept]
+
+
+def carried(state: np.ndarray | None, carry: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(carry), HIDDEN), np.float32)
+    if state is not None:
+        out[carry >= 0] = state[carry[carry >= 0]]
     return out
 
 
+def _chunks(batches: Iterator[pa.RecordBatch], column: int):
+    """Batches gathered to about ``CHUNK_TOKENS``, told by their bytes: (batches, texts)."""
+    held, texts, size = [], [], 0
+    for b in batches:
+        held.append(b)
+        texts += b.column(column).to_pylist()
+        size += b.column(column).nbytes
+        if size > 6 * CHUNK_TOKENS:
+            yield held, texts
+            held, texts, size = [], [], 0
+    if texts:
+        yield held, texts
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, c) over all tokens of ``docs`` (text); ends are not among them. Staged."""
     small_batches(docs.sparkSession)
@@ -283,7 +347,10 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 def vocabulary_of(counts: DataFrame, ends: int) -> Vocabulary:
     """Bounded: the frequent words, and totals for each tail class."""
-    top = (counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect())
+    powers = [1 << k for k in range(48)]
+    at_least = counts.agg(*(F.count_if(F.col("c") >= p).alias(f"p{p}") for p in powers)).first()
+    bound = next(p for p in powers if at_least[f"p{p}"] <= 8 * FREQUENT)  # few rows left to order
+    top = counts.where(F.col("c") >= bound).orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
     words = [(bytes(r["word"]), r["c"]) for r in top]
     neural = {w for w, _ in words[:min(NEURAL, len(words)) // CLASS_WORDS * CLASS_WORDS]}
     cls = F.crc32(F.substring("word", 1, 2)) % TAIL_CLASSES
@@ -313,14 +380,20 @@ def train(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
 
         def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             vocabulary, theta = shared.value()  # noqa: B023
-            net, opt, seen = Network(vocabulary, theta), {}, 0
-            texts = (_slot_text(vocabulary, t.as_buffer().to_pybytes() if t.is_valid else None)
-                     for b in batches for t in b.column(0))
-            state = np.zeros((LANES, HIDDEN), np.float32)
-            for x, y, live, fresh in lanes_of(texts, vocabulary.end_slot):
-                state[fresh] = 0
-                state = net.learn(x, y, live, state, opt)
-                seen += int(live.sum())
+            net, coder, opt, seen = Network(vocabulary, theta), Coder(vocabulary), {}, 0
+            for _, texts in _chunks(batches, 0):
+                numbers, sizes = coder.code(texts)
+                flat, starts = coder.flat(coder.slots(numbers), sizes)
+                coder.numbers.forget()
+                cuts = -(-(sizes + 1) // SEGMENT)  # segments of each text
+                first = np.repeat(starts[:-1], cuts) + SEGMENT * (
+                    np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts))
+                last = np.minimum(first + SEGMENT, np.repeat(starts[1:], cuts))
+                order = np.random.default_rng(len(flat)).permutation(len(first))
+                state = None
+                for x, y, live, carry, _who in windows(flat, first[order], last[order]):
+                    state = net.learn(x, y, live, carried(state, carry), opt)
+                seen += int((sizes + 1).sum())
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array([crc32(net.theta.tobytes()) & 0xFFFF], pa.int32()), pa.array([seen], pa.int64()),
                                                   pa.array([net.theta.tobytes()], pa.binary())], ["part", "n", "theta"])
@@ -339,56 +412,49 @@ def train(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
     return theta
 
 
-def _scored(vocabulary: Vocabulary, theta: np.ndarray, texts: list[bytes | None]):
-    """Per text: tokens, known frequent words, base and model logs without tail counts' shares, and
-    the words whose counts are not broadcast, with how often they occur."""
-    net = Network(vocabulary, theta)
-    rows, coded = [], []
-    for t in texts:
-        words = (t or b"").lower().split()
-        known, base, model, rare = 0, 0.0, 0.0, {}
-        for w, n in Counter(words).items():
-            c = vocabulary.counts.get(w)
-            if c is None:
-                rare[w] = n
-            else:
-                known += n
-                base += n * log10(c + 0.5)
-                if w not in vocabulary.slot:
-                    model += n * log10(c + 0.5)
-        c = vocabulary.ends
-        known += c > 0
-        base += log10(c + 0.5) + (len(words) + 1) * vocabulary.base_log
-        out = np.empty(len(words) + 2, np.int32)
-        out[0] = out[-1] = vocabulary.end_slot
-        out[1:-1] = vocabulary.slots_of(words)
-        tails = out[1:-1][out[1:-1] >= vocabulary.neural] - vocabulary.neural
-        model += float(vocabulary.tail_log[tails].sum())
-        rows.append([len(words) + 1, known, base, model, rare])
-        coded.append(out)
-    # long texts first, so that lanes of a window are of similar length; each text in a lane of its own
-    order = sorted(range(len(coded)), key=lambda k: -len(coded[k]))
-    for at in range(0, len(order), LANES):
-        group = order[at:at + LANES]
-        state = np.zeros((len(group), HIDDEN), np.float32)
-        total = np.zeros(len(group))
-        longest = len(coded[group[0]]) - 1
-        for s in range(0, longest, STEPS):
-            n = sum(len(coded[k]) - 1 > s for k in group)  # lanes that still run: a prefix of the group
-            steps = min(STEPS, longest - s)
-            x = np.full((steps, n), vocabulary.end_slot, np.int32)
-            y, live = x.copy(), np.zeros((steps, n), bool)
-            for lane, k in enumerate(group[:n]):
-                part = coded[k][s:s + steps + 1]
-                m = len(part) - 1
-                x[:m, lane], y[:m, lane], live[:m, lane] = part[:-1], part[1:], True
-            states, _ = net.forward(x, state[:n])
-            state = states[-1]
-            logs, _ = net.log_probabilities(states[1:].reshape(-1, HIDDEN), y.ravel())
-            total[:n] += np.where(live.ravel(), logs, 0).reshape(steps, n).sum(axis=0, dtype=np.float64)
-        for lane, k in enumerate(group):
-            rows[k][3] += total[lane] / np.log(10)
-    return rows
+def _network_logs(net: Network, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Per text: the log10 probability of its classes, and of its frequent words in theirs."""
+    sizes = np.diff(starts)
+    order = np.argsort(-sizes, kind="stable")  # the longest first, so that lanes end together
+    out, state = np.zeros(len(sizes)), None
+    for x, y, live, carry, who in windows(flat, starts[:-1][order], starts[1:][order], steps=SCORED_STEPS):
+        states, _ = net.forward(x, carried(state, carry))
+        state = states[-1]
+        logs, _ = net.log_probabilities(states[1:].reshape(-1, HIDDEN), y.ravel())
+        out[order[who]] += np.where(live, logs.reshape(live.shape), 0).sum(axis=0, dtype=np.float64)
+    return out / np.log(10)
+
+
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of ``values``; a run may be empty."""
+    upto = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
+    ends = np.cumsum(sizes)
+    return upto[ends] - upto[ends - sizes]
+
+
+def _scored(vocabulary: Vocabulary, net: Network, coder: Coder, texts: list[bytes | None]):
+    """Columns of a chunk: tokens, known frequent words, base and model logs without the shares of
+    words whose counts are not broadcast, and those words with how often they occur."""
+    v = vocabulary
+    numbers, sizes = coder.code(texts)
+    slots, rare_words = coder.slots(numbers), coder.numbers.new
+    coder.numbers.forget()
+    frequent = len(v.frequent)
+    is_rare, tail = numbers >= frequent, slots >= v.neural
+    logs = np.where(is_rare, 0.0, v.logs[np.where(is_rare, 0, numbers)])
+    known = _sums(~is_rare, sizes).astype(np.int64) + (v.ends > 0)
+    base = _sums(logs, sizes) + v.logs[-1] + (sizes + 1) * v.base_log
+    beyond = np.where(tail, logs + v.tail_log[np.where(tail, slots - v.neural, 0)], 0.0)
+    flat, starts = coder.flat(slots, sizes)
+    model = _sums(beyond, sizes) + _network_logs(net, flat, starts)
+    # rare words of each text, once each
+    text_of = np.repeat(np.arange(len(sizes)), sizes)[is_rare]
+    key, n = np.unique(text_of * (len(rare_words) + 1) + (numbers[is_rare] - frequent), return_counts=True)
+    offsets = np.searchsorted(key // (len(rare_words) + 1), np.arange(len(sizes) + 1))
+    words = pa.array(rare_words, pa.binary()).take(pa.array(key % (len(rare_words) + 1)))
+    rare = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
+        [words, pa.array(n, pa.int64())], ["word", "n"]))
+    return pa.array(sizes + 1), pa.array(known), pa.array(base), pa.array(model), rare
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -407,17 +473,15 @@ def score(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, theta = shared.value()
-        word_n = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
-        for b in batches:
-            got = _scored(vocabulary, theta, b.column(2).to_pylist())
-            cols = list(zip(*got, strict=True)) if got else [[]] * 5
-            rare = [[{"word": w, "n": n} for w, n in r.items()] for r in cols[4]]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:2], pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64()),
-                 pa.array(cols[3], pa.float64()), pa.array(rare, word_n)],
-                ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"])
-
-    small_batches(spark, 2 * LANES)
+        net, coder = Network(vocabulary, theta), Coder(vocabulary)
+        for held, texts in _chunks(batches, 2):
+            columns, at = _scored(vocabulary, net, coder, texts), 0
+            for b in held:
+                yield pa.RecordBatch.from_arrays([*b.columns[:2], *(c.slice(at, b.num_rows) for c in columns)],
+                                                 ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"])
+                at += b.num_rows
+
+    small_batches(spark)
     scored = staged(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "lm_scores")
     # words beyond the broadcast ones: their counts come by a shuffle; a missing count is zero
     rare = scored.select("row", F.explode("rare").alias("w")).select("row", "w.word", "w.n")

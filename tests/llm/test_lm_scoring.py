@@ -107,6 +107,10 @@ def test_state_is_carried_across_windows():
         assert abs(total - model[k]) < 1e-3 * max(1, abs(total))
         assert n_tokens[k] == len(words) + 1 and known[k] == sum(w in counts for w in words) + 1
         assert {r["word"]: r["n"] for r in rare[k]} == Counter(w for w in words if w not in counts)
+    numbers, sizes = coder.code([t.encode() for t in texts])
+    slots, again = coder.code_slots([t.encode() for t in texts])
+    assert np.array_equal(coder.slots(numbers), slots) and np.array_equal(sizes, again)
+    coder.numbers.forget()
     assert coder.numbers.new == [] and len(coder.numbers) == len(v.frequent)
 
 

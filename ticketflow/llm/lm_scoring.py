@@ -52,7 +52,7 @@ SEGMENT = 960
 ROUNDS = 2
 RATE = 0.02
 CLIP = 1.0
-#: No parameter exceeds this, so no logit exceeds (HIDDEN + 1) times it and exp can't overflow.
+#: No parameter exceeds this, so nothing exceeds (HIDDEN + 2) times it and exp can't overflow.
 MOST = 4.0
 #: Tokens that a task holds at once, beside one batch.
 CHUNK_TOKENS = 4_000_000
@@ -108,25 +108,47 @@ class _Numbers(dict):
         self.new = []
 
 
+class _Slots(dict):
+    """Slots of words; one that isn't frequent has the slot of its tail class."""
+
+    neural = 0
+
+    def __missing__(self, word: bytes) -> int:
+        return self.neural + crc32(word[:2]) % TAIL_CLASSES
+
+
+def _mapped(texts: list[bytes | None], number) -> tuple[np.ndarray, np.ndarray]:
+    """``number`` of every word, text after text, and how many words each text has."""
+    parts = []
+    for t in texts:
+        words = (t or b"").lower().split()
+        parts.append(np.fromiter(map(number, words), np.int32, len(words)))
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    return (np.concatenate(parts) if parts else np.zeros(0, np.int32)), sizes
+
+
 class Coder:
-    """Texts as numbers of words, and numbers as slots."""
+    """Texts as numbers of words or as slots, and numbers as slots."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.numbers, self.neural, self.end = _Numbers(vocabulary.frequent), vocabulary.neural, vocabulary.end_slot
         self._frequent = self._slots_of(vocabulary.frequent)
         self._frequent[:self.neural] = np.arange(self.neural)
+        self._words, self._direct = vocabulary.frequent, _Slots()
 
     def _slots_of(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter((self.neural + tail_class(w) for w in words), np.int32, len(words))
 
     def code(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all words, text after text, and how many each text has."""
-        number, parts = self.numbers.__getitem__, []
-        for t in texts:
-            words = (t or b"").lower().split()
-            parts.append(np.fromiter(map(number, words), np.int32, len(words)))
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        return (np.concatenate(parts) if parts else np.zeros(0, np.int32)), sizes
+        return _mapped(texts, self.numbers.__getitem__)
+
+    def code_slots(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``code``, straight to slots: words that aren't frequent get no numbers."""
+        if not self._direct:
+            self._direct.neural = self.neural
+            self._direct.update(zip(self._words, self._frequent.tolist(), strict=True))
+        return _mapped(texts, self._direct.__getitem__)
 
     def slots(self, numbers: np.ndarray) -> np.ndarray:
         return np.concatenate([self._frequent, self._slots_of(self.numbers.new)])[numbers]
@@ -181,7 +203,7 @@ class Network:
         for t in range(len(x)):
             a = states[t] @ self.rec
             a += self.rec_b
-            g = _sigmoid(np.clip(inp[t, :, :2 * h] + a[:, :2 * h], -30, 30))
+            g = _sigmoid(inp[t, :, :2 * h] + a[:, :2 * h])
             z, r, c = g[:, :h], g[:, h:], a[:, 2 * h:]
             n = r * c
             n += inp[t, :, 2 * h:]
@@ -382,9 +404,8 @@ def train(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
             vocabulary, theta = shared.value()  # noqa: B023
             net, coder, opt, seen = Network(vocabulary, theta), Coder(vocabulary), {}, 0
             for _, texts in _chunks(batches, 0):
-                numbers, sizes = coder.code(texts)
-                flat, starts = coder.flat(coder.slots(numbers), sizes)
-                coder.numbers.forget()
+                flat, starts = coder.flat(*coder.code_slots(texts))
+                sizes = np.diff(starts) - 1
                 cuts = -(-(sizes + 1) // SEGMENT)  # segments of each text
                 first = np.repeat(starts[:-1], cuts) + SEGMENT * (
                     np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts))

@@ -42,28 +42,39 @@ def build_gold(spark: SparkSession, tickets: DataFrame, bridge: DataFrame, out_r
 
 def refresh_daily(path: str, tickets: DataFrame, since: Column, exact_median: bool = False) -> int:
     """Bring the daily fact at ``path`` up to date after tickets changed (``since`` as in
-    ``gold.incremental_daily``), writing only the years that it changes; returns how many rows
-    were written. The new rows are staged first, for they are computed from the old ones."""
+    ``gold.incremental_daily``); returns how many rows were written.
+
+    Only the years from ``since`` on are computed and written; they are staged first, for they
+    are computed from the old ones. Where that is every year (a change in the first one, new
+    or vanished cells, another start of the calendar), the fact is rebuilt."""
     spark = tickets.sparkSession
+    day = spark.range(1).select(since.alias("d")).first()["d"]
+    if day is None:  # nothing changed
+        return 0
     old = spark.read.parquet(path)
-    new = gold.incremental_daily(old, tickets, since, exact_median=exact_median).withColumn(
-        "year", F.year("date"))
-    now = gold.dense_cells(gold.dim_district(tickets),
-                           gold.dim_category(gold.ticket_category_rows(tickets)))
-    was = old.where(F.col("date") == old.agg(F.min("date")).scalar()).select(*gold.CELL)
-    span = gold.calendar_bounds(tickets).select(F.struct("start", "end")).first()[0]
-    until = old.agg(F.struct(F.min("date"), F.max("date"))).first()[0]
-    if until[0] is None or span[0] is None:  # nothing to keep, or nothing left
-        write_daily(gold.fact_daily(tickets, exact_median=exact_median), path)
-        return spark.read.parquet(path).count() if span[0] else 0
-    same_cells = now.exceptAll(was).isEmpty() and was.exceptAll(now).isEmpty()
-    if same_cells and span[0] == until[0]:  # else every year changes
-        new = new.where(F.col("year") >= F.year(F.coalesce(since, F.lit("9999-12-31").cast("date"))))
+    first, last = gold.calendar_bounds(tickets).first()
+    was_first, was_last = old.agg(F.min("date"), F.max("date")).first()
+    now = gold.dense_cells(gold.dim_district(tickets), gold.dim_category(gold.ticket_category_rows(tickets)))
+    # every cell has a row on every day, so one day tells which cells there were
+    was = old.where(F.col("date") == F.lit(was_first)).select(*gold.CELL)
+    if first is None or first != was_first or day.year <= first.year or not _same(now, was):
+        daily = gold.fact_daily(tickets, exact_median=exact_median)
+        write_daily(daily, path)
+        return 0 if first is None else spark.read.schema(old.schema).parquet(path).count()
+    new = gold.incremental_daily(old, tickets, F.lit(day), exact_median=exact_median).withColumn(
+        "year", F.year("date")).where(F.col("year") >= day.year)
     staged = scratch_path(spark, "daily-refresh")
     new.write.parquet(staged)
     rows = spark.read.schema(new.schema).parquet(staged)
     (rows.write.partitionBy("year").mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").parquet(path))
-    if span[0].year > until[0].year or span[1].year < until[1].year:
-        drop_partitions(spark, path, "year", lambda y: not span[0].year <= int(y) <= span[1].year)
+    if last.year < was_last.year:
+        drop_partitions(spark, path, "year", lambda y: int(y) > last.year)
     return rows.count()
+
+
+def _same(a: DataFrame, b: DataFrame) -> bool:
+    """Whether two tables of distinct rows hold the same rows."""
+    sign = lambda df, n: df.withColumn("_n", F.lit(n))
+    both = sign(a, 1).unionByName(sign(b, -1))
+    return both.groupBy(*a.columns).agg(F.sum("_n").alias("n")).where("n <> 0").isEmpty()

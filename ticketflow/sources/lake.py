@@ -46,7 +46,8 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> Ob
     execution has coalesced small ones after any shuffle). ``partition_by`` lays the table
     out by a column that later reads prune on."""
     obs = Observation(f"written_{uuid.uuid4().hex[:8]}")
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    writer = (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+              .option("partitionOverwriteMode", "static"))  # all of it, also partitions without rows
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return obs
 

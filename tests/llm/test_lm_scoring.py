@@ -136,3 +136,24 @@ def test_awkward_rows_and_empty_table(spark):
     assert op.score(documents(spark, [])).count() == 0
     one = op.score(documents(spark, [(1, "no training text")])).collect()
     assert np.isfinite(one[0]["score"])
+
+
+def test_slots_grow_with_the_counts(spark):
+    often, rare = [f"w{k}" for k in range(3_000)], [f"r{k}" for k in range(500)]
+    docs = documents(spark, [(k, " ".join(often)) for k in range(12)] + [(99, " ".join(rare))])
+    v = op.vocabulary_of(op.count_words(docs), 13)
+    assert v.neural == 3_000 // v.class_words * v.class_words > op.NEURAL
+    assert set(v.frequent[:v.neural]) <= {w.encode() for w in often}
+    assert v.frequent_classes * v.class_words == v.neural and v.slots == v.neural + op.TAIL_CLASSES + 1
+    left = Counter(op.tail_class(w) for w in v.frequent[v.neural:])
+    tokens = Counter()
+    for w in v.frequent[v.neural:]:
+        tokens[op.tail_class(w)] += v.counts[w]
+    assert np.allclose(v.tail_log, [-log10(tokens[k] + 0.5 * (left[k] + 1)) for k in range(op.TAIL_CLASSES)])
+    net = op.Network(v)
+    s = np.random.default_rng(0).normal(size=(1, op.HIDDEN)).astype(np.float32)
+    total = sum(float(np.exp(net.log_probabilities(s, np.array([k]))[0][0])) for k in range(v.slots))
+    assert abs(total - 1) < 1e-4
+    assert op.softmax_count(4_000_000) > op.softmax_count(400_000) >= op.SLOT_COUNT
+    many = op.Vocabulary([(b"%d" % k, 20) for k in range(20_000)], {}, 0, 400_000, 20_000)
+    assert many.class_words > op.CLASS_WORDS and many.neural > 19_000

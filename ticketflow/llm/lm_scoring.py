@@ -1,13 +1,16 @@
 """Language-model scoring with a gated recurrent network and a class-factored softmax.
 
-Every word belongs to a class: frequent words to frequency classes of ``CLASS_WORDS`` words, the
-others (unseen ones too) to one of ``TAIL_CLASSES`` classes by a hash of their first bytes, and
-the end of a text to a class of its own. A word's probability is that of its class times that of
+Every word belongs to a class: frequent words to frequency classes of about the square root of
+their number (``CLASS_WORDS`` words at least), the others (unseen ones too) to one of
+``TAIL_CLASSES`` classes by a hash of their first bytes, and the end of a text to a class of its
+own. Frequent are the ``NEURAL`` first words and all that occur ``softmax_count`` times in training;
+their number grows with the corpus. A word's probability is that of its class times that of
 the word in its class; the network gives the first, and for frequent classes the second; in a
 tail class the second is the smoothed count (c + 0.5) / (N + 0.5 (V + 1)) over the class's training
 tokens N and distinct words V, with one unseen word.
 
-The network is a gated recurrent unit whose input weights are a table over word slots. Training
+The network is a gated recurrent unit whose input weights are a table over word slots. A step of
+training changes the slots and classes that occur in its window, and the recurrent part. Training
 runs through all training documents: each partition trains its own copy on its documents, in
 parallel lanes, with backpropagation truncated to ``STEPS`` words and the state carried on (for
 ``SEGMENT`` words, where a long text is cut for training), and the copies are averaged by words
@@ -16,7 +19,8 @@ carries the state across all windows (of ``SCORED_STEPS`` words) of a document,
 whole.
 
 Counts cover all training tokens. Counts of tail words, whose number grows with the corpus, are
-joined in by a shuffle; only the ``FREQUENT`` most frequent words are broadcast.
+joined in by a shuffle; only the ``FREQUENT`` most frequent words (or all that have slots) are
+broadcast.
 
 Defined results: a null text is empty and scores its end alone; repeated rows are rows; with no
 training document every score is uniform over the classes and the counts are zero.
@@ -27,7 +31,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
-from math import log10
+from math import ceil, log10, sqrt
 from zlib import crc32
 
 import numpy as np
@@ -39,9 +43,12 @@ from pyspark.sql import functions as F
 from ticketflow.llm.common import Shared, held_out, remainder, small_batches, staged
 
 HELD_OUT_PARTS = 5
-#: Words whose counts are broadcast; the first ``NEURAL`` of them have slots of their own.
+#: Words whose counts are broadcast; the first ``NEURAL`` of them, at least, have slots of their own.
 FREQUENT = 100_000
 NEURAL = 1_024
+#: A word has a slot if it occurs so often, and more than this share of the root of all tokens.
+SLOT_COUNT = 10
+SLOT_ROOT_SHARE = 1 / 64
 CLASS_WORDS = 64
 TAIL_CLASSES = 63
 HIDDEN = 16
@@ -58,6 +65,8 @@ MOST = 4.0
 CHUNK_TOKENS = 4_000_000
 _FLUSH = 400_000
 _FAN_IN = 16
+#: Parameters in a row of a copy.
+_SLICE = 1 << 18
 
 #: The end of a text, as a word that no text holds.
 END = b" "
@@ -67,6 +76,18 @@ def tail_class(word: bytes) -> int:
     return crc32(word[:2]) % TAIL_CLASSES
 
 
+def softmax_count(tokens: int) -> int:
+    """How often a word has to occur among ``tokens`` for a slot of its own."""
+    return max(SLOT_COUNT, ceil(sqrt(tokens) * SLOT_ROOT_SHARE))
+
+
+def layout(counted: int, above: int) -> tuple[int, int]:
+    """(words with slots, words of a class) for ``counted`` words, ``above`` of them that often."""
+    n = min(max(NEURAL, above), counted)
+    width = CLASS_WORDS * max(1, ceil(sqrt(n) / CLASS_WORDS))
+    return n // width * width, width
+
+
 class Vocabulary:
     """Counts of frequent words, and classes. Slots: frequent words, then tail classes, then the end.
     Classes: frequency classes, then tail classes, then the end."""
@@ -75,8 +96,9 @@ class Vocabulary:
                  tokens: int, distinct: int):
         self.counts = dict(words)
         self.tokens, self.distinct, self.ends = tokens, distinct, ends
-        self.neural = min(NEURAL, len(words)) // CLASS_WORDS * CLASS_WORDS
-        self.frequent_classes = self.neural // CLASS_WORDS
+        bar = softmax_count(tokens)
+        self.neural, self.class_words = layout(len(words), sum(c >= bar for _, c in words))
+        self.frequent_classes = self.neural // self.class_words
         self.slot = {w: k for k, (w, _) in enumerate(words[:self.neural])}
         self.slots = self.neural + TAIL_CLASSES + 1
         self.classes = self.frequent_classes + TAIL_CLASSES + 1
@@ -175,10 +197,10 @@ class Network:
     """Parameters are one float32 vector; the arrays are views into it."""
 
     def __init__(self, vocabulary: Vocabulary, theta: np.ndarray | None = None, seed: int = 7):
-        v, h = vocabulary, HIDDEN
+        v, h, self.class_words = vocabulary, HIDDEN, vocabulary.class_words
         shapes = {"inp": (v.slots, 3 * h), "rec": (h, 3 * h), "rec_b": (3 * h,), "cls": (h, v.classes),
-                  "cls_b": (v.classes,), "word": (max(1, v.frequent_classes), h, CLASS_WORDS),
-                  "word_b": (max(1, v.frequent_classes), CLASS_WORDS)}
+                  "cls_b": (v.classes,), "word": (max(1, v.frequent_classes), h, v.class_words),
+                  "word_b": (max(1, v.frequent_classes), v.class_words)}
         size = sum(int(np.prod(s)) for s in shapes.values())
         self.frequent_classes = v.frequent_classes
         if theta is None:
@@ -191,9 +213,12 @@ class Network:
             setattr(self, name, self.theta[at:at + n].reshape(shape))
             at += n
         # a slot's class: frequency class, tail class or end
-        self.slot_class = np.concatenate([np.arange(v.neural) // CLASS_WORDS,
+        self.slot_class = np.concatenate([np.arange(v.neural) // v.class_words,
                                           v.frequent_classes + np.arange(TAIL_CLASSES + 1)]).astype(np.int32)
 
+    def parts(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        return {n: flat[a:b].reshape(self.shapes[n]) for n, (a, b) in self.views.items()}
+
     def forward(self, x: np.ndarray, state: np.ndarray, keep: bool = False):
         """States after each step for slots ``x`` (steps, lanes); with ``keep``, what training needs."""
         h, inp = HIDDEN, self.inp[x]
@@ -234,12 +259,10 @@ class Network:
         frequent = np.flatnonzero(cls < self.frequent_classes)
         order = frequent[np.argsort(cls[frequent], kind="stable")]
         bounds = np.searchsorted(cls[order], np.arange(self.frequent_classes + 1))
-        for k in range(self.frequent_classes):  # the words of one class together
+        for k in np.flatnonzero(np.diff(bounds)):  # the words of one class together
             mine = order[bounds[k]:bounds[k + 1]]
-            if not len(mine):
-                continue
             w = s[mine] @ self.word[k] + self.word_b[k]
-            inside, i = y[mine] - k * CLASS_WORDS, np.arange(len(mine))
+            inside, i = y[mine] - k * self.class_words, np.arange(len(mine))
             at = w[i, inside]
             np.exp(w, out=w)
             total = w.sum(axis=1)
@@ -257,8 +280,9 @@ class Network:
         """One step of truncated backpropagation over a window (steps, lanes); the state after it."""
         h, (steps, lanes) = HIDDEN, x.shape
         states, kept = self.forward(x, state, keep=True)
-        flat = np.zeros_like(self.theta)
-        grads = {n: flat[a:b].reshape(self.shapes[n]) for n, (a, b) in self.views.items()}
+        if not opt:
+            opt.update({n: np.zeros_like(self.theta) for n in "gmv"}, t=0)
+        grads = self.parts(opt["g"])  # all zero
         weight = (live / max(1, live.sum())).astype(np.float32).ravel()
         _, back = self.log_probabilities(states[1:].reshape(-1, h), y.ravel(), grads, weight)
         back = back.reshape(steps, lanes, h)
@@ -281,15 +305,32 @@ class Network:
         order = np.argsort(x.ravel(), kind="stable")
         slots, starts = np.unique(x.ravel()[order], return_index=True)
         grads["inp"][slots] = np.add.reduceat(flat_da[order], starts)
-        norm = float(np.sqrt(flat @ flat))
-        if norm > CLIP:
-            flat *= CLIP / norm
-        opt["t"] = t = opt.get("t", 0) + 1
-        m, v = opt.setdefault("m", np.zeros_like(flat)), opt.setdefault("v", np.zeros_like(flat))
-        m += 0.1 * (flat - m)
-        v += 0.01 * (flat * flat - v)
-        self.theta -= RATE / (1 + t / 2000) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-        np.clip(self.theta, -MOST, MOST, out=self.theta)
+        # what this window does not read has no gradient and stays as it is
+        classes = np.unique(self.slot_class[y.ravel()])
+        classes = classes[classes < self.frequent_classes]
+        touched = {n: slots if n == "inp" else classes if n.startswith("word") else slice(None) for n in grads}
+        found = {n: grads[n][rows] for n, rows in touched.items()}
+        norm = float(np.sqrt(sum(float(g.ravel() @ g.ravel()) for g in found.values())))
+        opt["t"] = t = opt["t"] + 1
+        first, second, own = self.parts(opt["m"]), self.parts(opt["v"]), self.parts(self.theta)
+        rate, root = RATE / (1 + t / 2000) / (1 - 0.9**t), 1 / np.sqrt(1 - 0.99**t)
+        for n, rows in touched.items():
+            g, m, v, p = found[n], first[n][rows], second[n][rows], own[n][rows]
+            if norm > CLIP:
+                g *= np.float32(CLIP / norm)
+            m += np.float32(0.1) * (g - m)
+            np.multiply(g, g, out=g)
+            g -= v
+            g *= np.float32(0.01)
+            v += g
+            np.sqrt(v, out=g)
+            g *= np.float32(root)
+            g += np.float32(1e-8)
+            np.divide(m, g, out=g)
+            g *= np.float32(rate)
+            p -= g
+            np.clip(p, -MOST, MOST, out=p)
+            first[n][rows], second[n][rows], own[n][rows], grads[n][rows] = m, v, p, 0
         return states[-1]
 
 
@@ -372,9 +413,13 @@ def vocabulary_of(counts: DataFrame, ends: int) -> Vocabulary:
     powers = [1 << k for k in range(48)]
     at_least = counts.agg(*(F.count_if(F.col("c") >= p).alias(f"p{p}") for p in powers)).first()
     bound = next(p for p in powers if at_least[f"p{p}"] <= 8 * FREQUENT)  # few rows left to order
-    top = counts.where(F.col("c") >= bound).orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
+    sums = counts.agg(F.sum("c").alias("n")).first()
+    bar = softmax_count((sums["n"] or 0) + ends)
+    above = counts.where(F.col("c") >= bar).count()
+    most = max(FREQUENT, above) if above > NEURAL else FREQUENT
+    top = counts.where(F.col("c") >= min(bound, bar)).orderBy(F.desc("c"), "word").limit(most).collect()
     words = [(bytes(r["word"]), r["c"]) for r in top]
-    neural = {w for w, _ in words[:min(NEURAL, len(words)) // CLASS_WORDS * CLASS_WORDS]}
+    neural = {w for w, _ in words[:layout(len(words), above)[0]]}
     cls = F.crc32(F.substring("word", 1, 2)) % TAIL_CLASSES
     tail = {r["k"]: [r["n"], r["v"]] for r in counts.groupBy(cls.alias("k")).agg(
         F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
@@ -389,7 +434,7 @@ def vocabulary_of(counts: DataFrame, ends: int) -> Vocabulary:
 def _average(pdf: pd.DataFrame) -> pd.DataFrame:
     n = pdf["n"].to_numpy(float)
     theta = reduce(np.add, (np.frombuffer(t, np.float32) * (k / n.sum()) for t, k in zip(pdf["theta"], n, strict=True)))
-    return pd.DataFrame({"part": [0], "n": [int(n.sum())], "theta": [theta.astype(np.float32).tobytes()]})
+    return pd.DataFrame({"part": [0], "slice": [pdf["slice"].iloc[0]], "n": [int(n.sum())], "theta": [theta.astype(np.float32).tobytes()]})
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
@@ -416,20 +461,24 @@ def train(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
                     state = net.learn(x, y, live, carried(state, carry), opt)
                 seen += int((sizes + 1).sum())
             if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([crc32(net.theta.tobytes()) & 0xFFFF], pa.int32()), pa.array([seen], pa.int64()),
-                                                  pa.array([net.theta.tobytes()], pa.binary())], ["part", "n", "theta"])
-
-        schema = "part int, n long, theta binary"
-        copies = staged(rows.select(F.col("text").cast("binary")).mapInArrow(fit, schema), "lm_copies")
-        groups = copies.count()
-        while groups > 1:  # a tree of averages, ``_FAN_IN`` copies a group
+                part = crc32(net.theta.tobytes()) & 0xFFFF
+                for k, at in enumerate(range(0, len(net.theta), _SLICE)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([part], pa.int32()), pa.array([k], pa.int32()), pa.array([seen], pa.int64()),
+                         pa.array([net.theta[at:at + _SLICE].tobytes()], pa.binary())], ["part", "slice", "n", "theta"])
+
+        schema, slices = "part int, slice int, n long, theta binary", -(-len(theta) // _SLICE)
+        texts = rows.select(F.col("text").cast("binary"))
+        groups = texts.rdd.getNumPartitions()  # the copies go straight to their first averages
+        copies = texts.mapInArrow(fit, schema)
+        while groups > 1:  # a tree of averages of each slice, ``_FAN_IN`` copies a group
             groups = -(-groups // _FAN_IN)
-            copies = staged(copies.withColumn("part", F.col("part") % groups).groupBy("part")
+            copies = staged(copies.withColumn("part", F.col("part") % groups).groupBy("part", "slice")
                             .applyInPandas(_average, schema)
                             .withColumn("part", (F.rand(1) * 65536).cast("int")), "lm_copies")
-            groups = copies.count()
-        one = copies.first()
-        theta = np.frombuffer(one["theta"], np.float32) if one else theta
+            groups = -(-copies.count() // slices)
+        whole = sorted(copies.collect(), key=lambda r: r["slice"])
+        theta = np.concatenate([np.frombuffer(r["theta"], np.float32) for r in whole]) if whole else theta
     return theta
 
 

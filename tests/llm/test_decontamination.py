@@ -66,3 +66,21 @@ def test_shuffled_joins_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(op, "BROADCAST_SEEDS", 0)
     monkeypatch.setattr(op, "BROADCAST_HITS", 0)
     assert sorted(op.contaminated(docs, bench).collect()) == sorted(want) and len(want) == 2
+
+
+def test_items_of_every_length_are_found_at_every_position(spark):
+    items, docs, want = [], [], set()
+    for n in range(1, op.WINDOW + 1):
+        text = " ".join(f"w{n}x{k}" for k in range(n))
+        items.append((n, text))
+        allowed = n * op.SUBSTITUTIONS // op.WINDOW
+        for bad in [c for m in range(min(n, allowed + 1) + 1) for c in combinations(range(n), m)]:
+            docs.append((len(docs), f"before {changed(text, bad)} behind"))
+            if len(bad) <= allowed:
+                want.add((docs[-1][0], n, n - len(bad)))
+    items.append((99, "\u4f60\u597d\u4e16\u754c\u3002\u518d\u89c1"))
+    docs.append((len(docs), "\u524d\u3002\u4f60\u597d\u4e16\u754c\u3002\u518d\u89c1\u3002"))
+    want.add((docs[-1][0], 99, 2))
+    got = op.contaminated(documents(spark, docs), benchmark(spark, items)).collect()
+    assert {(r["doc_id"], r["item_id"], r["matched"]) for r in got} == want and len(got) == len(want)
+    assert op.SHORT == tuple(range(1, 10))

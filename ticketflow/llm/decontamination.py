@@ -6,17 +6,22 @@ seeds of the documents in an equality join; around each hit the words are then c
 its diagonal. A document is contaminated by an item if somewhere on that diagonal ``WINDOW``
 words in a row (the whole item, if shorter) hold ``SUBSTITUTIONS`` differing ones at most, in
 proportion for shorter items. Any such full window holds a seed of the masks below (a test
-goes through all cases).
+goes through all cases), and so does any such run of an item of 10 words or more. For shorter
+items the whole item is a seed, without each choice of the words that may differ; it meets the
+runs of its length in the documents.
 
 Words are lower-cased runs of letters and digits. Only DataFrame functions are used.
 
-Defined results: null and empty texts, and items or documents with fewer words than a mask
-spans, hold no seed and match nothing; repeated documents are judged alike and reported once
+Defined results: null and empty texts, and documents with fewer words than the window, match
+nothing; an item of up to 6 words has to occur word for word; in a script without spaces, a clause
+counts as one word; repeated documents are judged alike and reported once
 for each doc_id and item_id (either may be null); an empty benchmark contaminates nothing.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +35,21 @@ SUBSTITUTIONS = 2
 BROADCAST_SEEDS = 500_000
 BROADCAST_HITS = 100_000
 
+
+def _allowed(n: int) -> int:
+    """How many words of an item of ``n`` words may differ."""
+    return n * SUBSTITUTIONS // WINDOW
+
+
+def _seeded(n: int) -> bool:
+    """Whether any copy of ``n`` words that differs in the allowed number holds a seed."""
+    return all(any(not {s + k for k in mask} & set(bad) for mask in MASKS for s in range(n - mask[-1]))
+               for bad in combinations(range(n), _allowed(n)))
+
+
+#: Lengths of items that the masks alone would miss.
+SHORT = tuple(n for n in range(1, WINDOW) if not _seeded(n))
+
 _SPLIT = r"[^\p{L}\p{N}]+"
 
 
@@ -69,6 +89,23 @@ def _exploded(rows: DataFrame, key: str) -> DataFrame:
         key, _start(F.col("at"), F.col("n")).alias("start"), "seed").where("seed is not null")
 
 
+def _runs(rows: DataFrame, key: str, lengths: list[int], whole: bool = False) -> DataFrame:
+    """(key, start, seed) for runs of the given short lengths, each without every choice of the
+    words that may differ; with ``whole``, for rows that are such a run."""
+    w = F.col("w")
+
+    def of(n: int, left_out: tuple[int, ...]) -> Column:
+        fits = F.size(w) == n if whole else F.size(w) >= n
+        starts = F.when(fits, F.sequence(F.lit(0), F.size(w) - n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.struct(i.alias("start"), F.xxhash64(
+            F.lit(f"{n} {left_out}"), *(w[i + F.lit(k)] for k in range(n) if k not in left_out)).alias("seed")))
+
+    runs = F.concat(*(of(n, out) for n in lengths for out in combinations(range(n), _allowed(n))))
+    # as in ``_exploded``: a plain explode would have its filter compute the words anew for every start
+    return (rows.select(key, runs.alias("s")).select(key, F.explode_outer("s").alias("s"))
+            .select(key, "s.start", "s.seed").where("seed is not null"))
+
+
 def _hashed(words_: Column) -> Column:
     return F.transform(words_, lambda x: F.xxhash64(x))
 
@@ -79,11 +116,17 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = staged(benchmark.select(row_key(F.col("item_id"), F.col("text")).alias("item_key"),
                                     "item_id", words(F.col("text")).alias("w"))
                    .where("w is not null").dropDuplicates(["item_key"]), "items")
-    seeds = staged(_exploded(items.select("item_key", _hashed(F.col("w")).alias("w")), "item_key")
-                   .withColumnRenamed("start", "item_start"), "item_seeds")
+    short = sorted(r["n"] for r in items.select(F.size("w").alias("n")).where(F.col("n").isin(*SHORT))
+                   .distinct().collect())
+    item_words = items.select("item_key", _hashed(F.col("w")).alias("w"))
     rows = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("doc_key"),
                        _hashed(words(F.col("text"))).alias("w"))
-    hits = staged(_exploded(rows, "doc_key").join(broadcast_if_small(seeds, BROADCAST_SEEDS), "seed")
+    item_seeds, doc_seeds = _exploded(item_words, "item_key"), _exploded(rows, "doc_key")
+    if short:
+        item_seeds = item_seeds.unionByName(_runs(item_words, "item_key", short, whole=True))
+        doc_seeds = doc_seeds.unionByName(_runs(rows, "doc_key", short))
+    seeds = staged(item_seeds.withColumnRenamed("start", "item_start"), "item_seeds")
+    hits = staged(doc_seeds.join(broadcast_if_small(seeds, BROADCAST_SEEDS), "seed")
                   .select("doc_key", "item_key", (F.col("start") - F.col("item_start")).alias("d"))
                   .distinct(), "hits")
     keyed = docs.select("doc_id", "text", row_key(F.col("doc_id"), F.col("text")).alias("doc_key"))

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ticketflow.llm import (
     ann,
+    chat_format,
+    collocations,
     decontamination,
+    filter_audit,
     language_id,
     lm_scoring,
     mixing,
@@ -63,9 +66,23 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(rows, rows.where("vec_id % 20 = 0"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.format_conversations(rows.unionByName(chat_format.planted(spark)))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_lm_scoring, op3_quality_classifier, op4_benchmark_decontamination,
-    op5_secret_scan, op6_mixing, op7_sharding, op8_language_id, op9_warc, op10_nearest_neighbours)}
+    op5_secret_scan, op6_mixing, op7_sharding, op8_language_id, op9_warc, op10_nearest_neighbours,
+    op11_collocations, op12_chat_format, op13_filter_audit)}
 
 #: SQL for those that SQL can express; the others are tested against brute force.
 ORACLE = {
@@ -74,4 +91,7 @@ ORACLE = {
     "op6_mixing": mixing.oracle_sql(),
     "op7_sharding": sharding.oracle_sql(),
     "op9_warc": warc.ORACLE_SQL,
+    "op11_collocations": collocations.oracle_sql(),
+    "op12_chat_format": chat_format.oracle_sql(),
+    "op13_filter_audit": filter_audit.oracle_sql(),
 }

@@ -3,6 +3,11 @@
 Each check is a metric column of a single-row aggregate; the gate unpivots them into
 ``(name, passed, detail)`` rows. Only the few result rows ever reach the driver
 (``assert_quality``), never data.
+
+Fixed values, which other systems match on: the names of the checks (``non_empty``, ``not_null``,
+``unique_<key>``, ``geo_bounds``, ``rowcount_delta``) and the wording of their details
+(``<n> rows``, ``<n> rows null in [<columns>]``, ``<n> duplicate <key>``,
+``<n> rows outside the city bbox``, ``silver=<n> vs bronze_distinct=<n> (min_ratio=<r>)``).
 """
 
 from __future__ import annotations
@@ -165,13 +170,44 @@ def check_referential(fact: DataFrame, dim: DataFrame, fk: str = "district",
                     .alias("detail"))
 
 
-def check_freshness(landed: DataFrame, partition: str = "dt",
-                    ingested_at: str = "_ingested_at", deadline_hours: int = 6) -> DataFrame:
-    """Per dated partition: was it landed by the next day's deadline (UTC)?"""
+def check_referentials(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """``check_referential`` for several foreign keys in one pass over the fact: each key's values are
+    counted (summed before the shuffle), and only the distinct ones meet the dimensions, in which a key
+    has its own name."""
+    keys = list(dims)
+    text = lambda c: F.col(c).cast("string").alias("value")
+    values = fact.select(F.explode(F.array(*(F.struct(F.lit(k).alias("fk"), text(k)) for k in keys))).alias("v"))
+    counted = (values.select("v.*").where("value is not null").groupBy("fk", "value")
+               .agg(F.count(F.lit(1)).alias("n")))
+    known = None
+    for k, dim in dims.items():
+        rows = dim.select(F.lit(k).alias("fk"), text(k))
+        known = rows if known is None else known.unionByName(rows)
+    bad = counted.join(known, ["fk", "value"], "left_anti").groupBy("fk").agg(F.sum("n").alias("n"))
+    bad = bad.agg(F.map_from_entries(F.collect_list(F.struct("fk", "n"))).alias("bad"))  # an entry a key
+    rows = bad.select("bad", F.posexplode(F.array(*map(F.lit, keys))).alias("k", "fk"))
+    n = F.coalesce(F.try_element_at("bad", F.col("fk")), F.lit(0).cast("long"))
+    return rows.select(F.concat(F.lit("referential_"), F.col("fk")).alias("name"), (n == 0).alias("passed"),
+                       F.format_string("%d rows with %s missing from the dimension", n, F.col("fk")).alias("detail"))
+
+
+def expected_days(spark, first: str, last: str, partition: str = "dt") -> DataFrame:
+    """The days ``first..last`` that a source should have landed."""
+    day = lambda d: F.lit(d).cast("date")
+    return spark.range(1).select(F.explode(F.sequence(day(first), day(last))).alias(partition))
+
+
+def check_freshness(landed: DataFrame, partition: str = "dt", ingested_at: str = "_ingested_at",
+                    deadline_hours: int = 6, expected: DataFrame | None = None) -> DataFrame:
+    """Per dated partition: was it landed by the next day's deadline (UTC)? With ``expected`` (the days
+    that should be there, see ``expected_days``) a day that never landed is a row too, not on time and
+    without a landing time."""
     landed_at = F.to_timestamp(F.substring(F.col(ingested_at), 1, 19),
                                "yyyy-MM-dd'T'HH:mm:ss")
     per_day = landed.groupBy(partition).agg(F.max(landed_at).alias("last_landed_at"))
+    if expected is not None:
+        per_day = expected.select(partition).distinct().join(per_day, partition, "full")
     deadline = (F.to_timestamp(F.date_add(F.col(partition), 1))
                 + F.make_dt_interval(F.lit(0), F.lit(deadline_hours)))
     return per_day.select(partition, "last_landed_at", deadline.alias("deadline"),
-                          (F.col("last_landed_at") <= deadline).alias("on_time"))
+                          F.coalesce(F.col("last_landed_at") <= deadline, F.lit(False)).alias("on_time"))

@@ -49,6 +49,15 @@ def _wall_clock(instant: Column, zone: str) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit(zone), instant.cast("timestamp_ntz"))
 
 
+def window_rows(kept: DataFrame, source: str, b: dict[str, Column], poll: str = "poll_id",
+                ingested_at: str | Column | None = None, schema: T.StructType = PROPERTIES) -> DataFrame:
+    """The bronze rows in pages that are kept: flattened, within their poll's window, stamped, dated."""
+    rows = flatten_features(page_features(kept, keep=(poll,)), "feature", (poll,), schema)
+    rows = window_filter(rows, b["start"], b["end"])
+    rows = stamp_load_metadata(rows, b["run_id"], source, ingested_at)
+    return rows.withColumn("dt", b["dt"]).drop(poll)
+
+
 def landed_rows(pages: DataFrame, page_size: int = 500, max_records: int | None = None,
                 source: str = FEED_SOURCE_TAG, bounds: dict[str, Column] | None = None,
                 poll: str = "poll_id", ingested_at: str | Column | None = None,
@@ -57,10 +66,7 @@ def landed_rows(pages: DataFrame, page_size: int = 500, max_records: int | None
     load time; ``schema`` names the properties that become typed columns."""
     b = bounds or poll_day_bounds(poll)
     kept = page_until_boundary(pages, b["start"], page_size, max_records, poll=poll)
-    rows = flatten_features(page_features(kept, keep=(poll,)), "feature", (poll,), schema)
-    rows = window_filter(rows, b["start"], b["end"])
-    rows = stamp_load_metadata(rows, b["run_id"], source, ingested_at)
-    return rows.withColumn("dt", b["dt"]).drop(poll)
+    return window_rows(kept, source, b, poll, ingested_at, schema)
 
 
 def load_bronze(pages: DataFrame, out_path: str, page_size: int = 500,

@@ -13,17 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticketflow.operators import gold, history, quality, ranking, reports, silver
+from ticketflow.operators import gold, history, quality, ranking, reports, rollup, silver
 from ticketflow.operators.bronze import flatten_features, stamp_load_metadata, window_filter
-from ticketflow.plans import inputs
+from ticketflow.plans import backfill, daily_ledger, inputs
 from ticketflow.plans.bronze_load import load_bronze
 from ticketflow.plans.gold_build import GOLD_TABLES, build_gold, refresh_daily, write_daily
 from ticketflow.plans.silver_publish import BRIDGE, TICKETS, publish_silver
 from ticketflow.session import scratch_path
-from ticketflow.sources import feed
+from ticketflow.sources import buckets, compaction, feed, key_sketches, quarantine, schema_log
 from ticketflow.sources.fixtures import FEED_PAGE_SIZE, SNAPSHOT_TIE_BREAKERS
 from ticketflow.sources.lake import read_published, scan_partitioned, write_partitions
+from ticketflow.streaming import change_log
 from ticketflow.streaming import current_state as streams
+from ticketflow.streaming import pages as page_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -379,6 +381,218 @@ def q_stream_daily_opened(spark, root):
     return streams.read_windowed_counts(spark, log)
 
 
+REPLAY_DAYS, REPLAY_DELAY = 7, "8 days"
+
+
+def q_stream_pages(spark, root):
+    """Feed pages streamed as they land, week by week, with the pages of each week's end landed once
+    more a week later; the stream is stopped after the second week and resumed when all have landed."""
+    src, log, ckpt = (scratch_path(spark, n) for n in ("stream-landed", "stream-pages", "stream-ckpt"))
+    p = inputs.pages(spark, root)
+    poll = F.to_date("poll_id")
+    first, last = p.agg(F.min(poll), F.max(poll)).first()
+    weeks = range(0, (last - first).days + 1, REPLAY_DAYS) if first else ()
+    for n, start in enumerate(weeks):
+        day = F.datediff(poll, F.lit(first))
+        p.where((day >= start - REPLAY_DAYS // 2) & (day < start + REPLAY_DAYS)).write.mode("append").json(src)
+        if n == 1 or start + REPLAY_DAYS > (last - first).days:
+            page_stream.run_pages(spark, src, log, ckpt, REPLAY_DELAY, ingested_at=_load_time(), max_files_per_trigger=8)
+    return page_stream.read_pages_log(spark, log).withColumn("extra", F.to_json("extra"))
+
+
+def seed_ledger(spark, root, path):
+    """The daily ledger of the seed-era state, published at ``path``; and that state."""
+    seed, _ = seed_and_daily(spark, root)
+    state = scratch_path(spark, "seed-silver")
+    history.publish_state(silver.dedup_latest(seed, "ticket_id", "last_activity", SNAPSHOT_TIE_BREAKERS)).write.parquet(state)
+    old = spark.read.parquet(state)
+    daily_ledger.refresh_daily_ledger(spark, path, old)
+    return old
+
+
+def changed_since_seed(spark, root, old):
+    """The tickets of the later loads, as they are now and as they were in ``old``."""
+    _, later = seed_and_daily(spark, root)
+    keys = later.select("ticket_id").distinct()
+    return (inputs.silver(spark, root).join(keys, "ticket_id", "left_semi"), old.join(keys, "ticket_id", "left_semi"))
+
+
+def q_daily_ledger(spark, root):
+    """The daily fact of the seed-era state, then refreshed by the deltas of the tickets that later loads
+    touch. Must equal the full rebuild."""
+    path = scratch_path(spark, "daily-ledger")
+    new, was = changed_since_seed(spark, root, seed_ledger(spark, root, path))
+    daily_ledger.refresh_daily_ledger(spark, path, new, was)
+    return daily_ledger.read_daily(spark, path)
+
+
+ERAS = ("1994-01-01", "1996-01-01")
+
+
+def q_schema_evolution(spark, root):
+    """Snapshots landed in three eras: first without a column and with a narrower number, then whole, then
+    with a column more; and a load whose types do not fit, which is refused."""
+    b, path = inputs.bronze(spark, root), scratch_path(spark, "evolving")
+    dt, (second, third) = F.col("dt"), (F.lit(d).cast("date") for d in ERAS)
+    land = schema_log.land_evolving
+    land(b.where(dt < second).drop("count_reopen").withColumn("view_count", F.col("view_count").cast("int")), path)
+    land(b.where((dt >= second) & (dt < third)), path)
+    land(b.where(dt >= third).withColumn("is_finished", F.col("timestamp_finished").isNotNull()), path)
+    try:
+        land(b.where(dt >= third).withColumn("view_count", F.col("view_count").cast("string")), path)
+    except schema_log.SchemaDrift:
+        return schema_log.read_evolving(spark, path)
+    raise AssertionError("a load with other types was landed")
+
+
+def q_upsert_bucketed(spark, root):
+    """``incremental_upsert`` on a state laid out by hash bucket, in place."""
+    seed, daily = seed_and_daily(spark, root)
+    path = scratch_path(spark, "state-buckets")
+    buckets.write_buckets(silver.dedup_latest(seed, "ticket_id", "last_activity", SNAPSHOT_TIE_BREAKERS), path, buckets=16)
+    buckets.upsert_buckets(spark, path, daily, tie_breakers=SNAPSHOT_TIE_BREAKERS)
+    return history.publish_state(buckets.read_buckets(spark, path).drop(buckets.BUCKET))
+
+
+def q_stream_compacted(spark, root):
+    """The snapshots streamed into a change log whose closed batches are folded into its base as it grows."""
+    src = inputs.bronze_path(spark, root)
+    log = change_log.ChangeLog(spark, scratch_path(spark, "stream-log"),
+                               change_log.latest_versions(tie_breakers=SNAPSHOT_TIE_BREAKERS))
+    change_log.run_change_log(spark, src, spark.read.parquet(src).schema, log, scratch_path(spark, "stream-ckpt"),
+                              compact_every=2, max_files_per_trigger=500)
+    return history.publish_state(log.read())
+
+
+def q_median_rollup(spark, root):
+    """Medians by district and month, and by category and week, from the stored sketches of cell-days."""
+    path = scratch_path(spark, "sketches")
+    rollup.sketches_of(inputs.silver(spark, root)).write.parquet(path)
+    sketches = spark.read.parquet(path)
+    parts = [rollup.rollup_medians(sketches, (by,), period).select(
+        F.lit(f"{by} {period}").alias("grain"), F.col(by).alias("value"), "period_start", "closed", "median_days")
+        for by, period in (("district", "month"), ("category", "week"))]
+    return parts[0].unionByName(parts[1])
+
+
+#: Days that the gap planner's lake lacks, days of which it has two pages only, and all expected ones.
+UNLANDED, CUT_SHORT, EXPECTED = ("2024-01-12", "2024-01-17"), ("2024-01-20", "2024-01-23"), ("2024-01-01", "2024-02-02")
+
+
+def _gappy_lake(spark, root):
+    """A lake that was landed with gaps: its path."""
+    p, path = inputs.pages(spark, root), scratch_path(spark, "gappy")
+    within = lambda days: (F.col("poll_id") >= days[0]) & (F.col("poll_id") < days[1])
+    load_bronze(p.where(~within(UNLANDED) & ~within(CUT_SHORT)), path, FEED_PAGE_SIZE, ingested_at=_load_time())
+    load_bronze(p.where(within(CUT_SHORT)), path, FEED_PAGE_SIZE, max_records=2 * FEED_PAGE_SIZE, ingested_at=_load_time())
+    return path
+
+
+def _gap_plan(spark, root, path):
+    findings = backfill.day_findings(spark.read.parquet(path), backfill.held_rows(inputs.pages(spark, root), FEED_PAGE_SIZE),
+                                     quality.expected_days(spark, *EXPECTED))
+    return backfill.backfill_plan(findings)
+
+
+def q_backfill_plan(spark, root):
+    """Ranges of days to land again: missing, partial, late."""
+    return _gap_plan(spark, root, _gappy_lake(spark, root))
+
+
+def q_backfill_planned(spark, root):
+    """The lake after its plan's ranges were landed again: equal to the full load."""
+    path = _gappy_lake(spark, root)
+    plan = _gap_plan(spark, root, path)
+    backfill.reland(inputs.pages(spark, root), plan, path, FEED_PAGE_SIZE, ingested_at=_load_time())
+    return _landed(spark, path)
+
+
+def q_dq_freshness_expected(spark, root):
+    """Freshness of all expected days, those that never landed too."""
+    return quality.check_freshness(spark.read.parquet(_gappy_lake(spark, root)),
+                                   expected=quality.expected_days(spark, *EXPECTED))
+
+
+#: Polls whose second page arrives cut short, and one whose last page arrives as something else.
+TORN, GARBLED = ("2024-01-08", "2024-01-11"), "2024-01-15"
+
+
+def _spoiled_pages(spark, root):
+    """The landed pages with some of them spoiled on the way: their path."""
+    path = scratch_path(spark, "spoiled")
+    lines = spark.read.text(inputs.pages_path(spark, root))
+    poll = F.get_json_object("value", "$.poll_id")
+    offset = F.get_json_object("value", "$.page_offset").cast("long")
+    torn = (poll >= TORN[0]) & (poll < TORN[1]) & (offset == FEED_PAGE_SIZE)
+    last = lines.where(poll == GARBLED).agg(F.max(offset)).scalar()
+    text = F.when(torn, F.substring("value", 1, 80)).when((poll == GARBLED) & (offset == last), "<html>busy</html>")
+    lines.select(F.coalesce(text, F.col("value")).alias("value")).write.text(path)
+    return path
+
+
+def _quarantined(spark, root):
+    out, dead = scratch_path(spark, "quarantine-bronze"), scratch_path(spark, "dead-letters")
+    quarantine.load_with_quarantine(spark, _spoiled_pages(spark, root), out, dead, FEED_PAGE_SIZE, most_bad=0.2,
+                                    ingested_at=_load_time())
+    return out, dead
+
+
+def q_quarantine_load(spark, root):
+    """The rows of all readable pages, with some pages spoiled."""
+    return _landed(spark, _quarantined(spark, root)[0])
+
+
+def q_dead_letters(spark, root):
+    """The pages that could not be read, and why."""
+    return spark.read.parquet(_quarantined(spark, root)[1]).select("poll_id", "page_offset", "reason")
+
+
+def q_scd2_merge(spark, root):
+    """``scd2_history`` of all versions from that of the seed era and the versions that came later."""
+    seed, later = seed_and_daily(spark, root)
+    names = ("state_type_latest", "ticket_id", "last_activity", SNAPSHOT_TIE_BREAKERS)
+    path = scratch_path(spark, "history")
+    history.scd2_bounds(seed, *names).write.parquet(path)
+    merged = history.scd2_merge(spark.read.parquet(path), later, inputs.bronze(spark, root), *names)
+    return merged.drop("first_seen", "last_seen")
+
+
+AS_OF_DAYS = 30
+
+
+def q_as_of_state(spark, root):
+    """The raw state that each ticket had a month after it was reported, from the history of states."""
+    h = history.scd2_history(inputs.bronze(spark, root), "state_type_latest", tie_breakers=SNAPSHOT_TIE_BREAKERS)
+    facts = inputs.silver(spark, root).select("ticket_id", (F.col("timestamp") + F.make_dt_interval(F.lit(AS_OF_DAYS))).alias("at"))
+    return history.as_of(facts, h, "at", "state_type_latest", name="state_then")
+
+
+def q_dq_rowcount_estimated(spark, root):
+    """The row-count check of the published silver against merged sketches of bronze's partitions."""
+    path = scratch_path(spark, "key-sketches")
+    key_sketches.refresh_sketches(inputs.bronze(spark, root), path)
+    return key_sketches.check_rowcount_delta_estimated(
+        inputs.silver(spark, root), key_sketches.read_sketches(spark, path)).select("name", "passed")
+
+
+def q_compact_partitions(spark, root):
+    """Events landed by day in many small files, then compacted: the same rows in a file a day."""
+    path = scratch_path(spark, "small-files")
+    events = inputs.events_by_day_path(spark, root)
+    spark.read.parquet(events).repartition(6).write.partitionBy("day").parquet(path)
+    return compaction.compacted(spark, path, "day")
+
+
+def q_dq_referential_all(spark, root):
+    """The daily fact's three keys against their published dimensions and against stale ones, one pass each."""
+    fact = inputs.gold_table(spark, root, "fact_district_daily")
+    dims = {k: inputs.gold_table(spark, root, f"dim_{k}") for k in ("district", "category", "date")}
+    stale = {"district": dims["district"].where(F.col("district") < STALE_DISTRICTS_BEFORE), "category": dims["category"],
+             "date": dims["date"].where(F.col("date") < F.lit(SEED_CUTOFF).cast("date"))}
+    return (quality.check_referentials(fact, dims).withColumn("dimensions", F.lit("published"))
+            .unionByName(quality.check_referentials(fact, stale).withColumn("dimensions", F.lit("stale"))))
+
+
 QUERIES: dict[str, Query] = {
     "feed_pages": q_feed_pages,
     "page_until_boundary": q_page_until_boundary,
@@ -429,4 +643,20 @@ QUERIES: dict[str, Query] = {
     "topsis_rank": q_topsis_rank,
     "stream_current": q_stream_current,
     "stream_daily_opened": q_stream_daily_opened,
+    "stream_pages": q_stream_pages,
+    "daily_ledger": q_daily_ledger,
+    "schema_evolution": q_schema_evolution,
+    "upsert_bucketed": q_upsert_bucketed,
+    "stream_compacted": q_stream_compacted,
+    "median_rollup": q_median_rollup,
+    "backfill_plan": q_backfill_plan,
+    "backfill_planned": q_backfill_planned,
+    "dq_freshness_expected": q_dq_freshness_expected,
+    "quarantine_load": q_quarantine_load,
+    "dead_letters": q_dead_letters,
+    "scd2_merge": q_scd2_merge,
+    "as_of_state": q_as_of_state,
+    "dq_rowcount_estimated": q_dq_rowcount_estimated,
+    "compact_partitions": q_compact_partitions,
+    "dq_referential_all": q_dq_referential_all,
 }

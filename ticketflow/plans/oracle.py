@@ -195,7 +195,6 @@ feat AS (
     {_coord('100.25', 'user_id', 80)} AS lon,
     {_coord('13.45', 'event_id', 60)} AS lat
   FROM feed
-  WHERE NOT (day(poll_day) % 10 = 0 AND floor((top - event_id) / 50) = 2)
 ),
 pages AS (
   SELECT poll_id, page_offset, count(*) AS n_features, min(last_activity) AS oldest,
@@ -217,6 +216,34 @@ LOADED = """strftime(CAST(poll_id AS DATE) + 1, '%Y-%m-%d')
     || CASE WHEN day(CAST(poll_id AS DATE)) % 7 = 0 THEN 'T10:00:00' ELSE 'T00:00:00' END"""
 NEXT_DAY = "strftime(CAST(poll_id AS DATE) + 1, '%Y-%m-%d')"
 
+# A lake that lacks the days 12 to 16, has two pages of the polls of days 20 to 22, and is looked at from
+# January 1 to February 2.
+GAPPY = f"""capped AS (
+  SELECT poll_id, page_offset, coalesce(sum(n_features) OVER (PARTITION BY poll_id ORDER BY page_offset
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS collected
+  FROM pages
+),
+counted AS (
+  SELECT CAST(poll_id AS DATE) AS dt, count(*) AS held,
+    count(*) FILTER (WHERE collected < 100) AS first_pages, max(CAST({LOADED} AS TIMESTAMP)) AS landed_at
+  FROM feat f JOIN kept USING (poll_id, page_offset) JOIN capped USING (poll_id, page_offset)
+  WHERE last_activity >= poll_id || ' 00:00:00' AND last_activity < {NEXT_DAY} || ' 00:00:00'
+  GROUP BY 1
+),
+days AS (
+  SELECT CAST(g AS DATE) AS dt, coalesce(held, 0) AS held, landed_at,
+    CASE WHEN g >= '2024-01-12' AND g < '2024-01-17' THEN 0
+      WHEN g >= '2024-01-20' AND g < '2024-01-23' THEN coalesce(first_pages, 0) ELSE coalesce(held, 0) END AS n,
+    g + INTERVAL 30 HOUR AS deadline
+  FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-02', INTERVAL 1 DAY) AS t(g)
+  LEFT JOIN counted ON dt = CAST(g AS DATE)
+),
+findings AS (
+  SELECT *, CASE WHEN n < held THEN CASE WHEN n = 0 THEN 'missing' ELSE 'partial' END
+    WHEN n > 0 AND landed_at > deadline THEN 'late' ELSE 'complete' END AS finding
+  FROM days
+)"""
+
 NOT_NULL_BRONZE = "ticket_id IS NULL OR district IS NULL OR lon IS NULL"
 
 
@@ -284,6 +311,11 @@ WHERE last_activity >= '2024-01-10 00:00:00' AND last_activity < '2024-01-20 00:
   {LOADED} || '+00:00' AS _ingested_at, 'feed' AS _source, poll_id AS _run_id,
   CAST(poll_id AS DATE) AS dt
 FROM feat f JOIN kept USING (poll_id, page_offset)
+WHERE last_activity >= poll_id || ' 00:00:00' AND last_activity < {NEXT_DAY} || ' 00:00:00'"""),
+    "stream_pages": _with(FEED, f"""SELECT f.* EXCLUDE (poll_id, page_offset),
+  {LOADED} || '+00:00' AS _ingested_at, 'feed' AS _source, poll_id AS _run_id,
+  CAST(poll_id AS DATE) AS dt
+FROM feat f
 WHERE last_activity >= poll_id || ' 00:00:00' AND last_activity < {NEXT_DAY} || ' 00:00:00'"""),
     "feed_lifecycle": _with(FEED + ",", f"""landed AS (
   SELECT f.*, CAST(json_extract_string(extra, '$.event_id') AS BIGINT) AS event_id
@@ -368,6 +400,63 @@ FROM feat f JOIN kept USING (poll_id, page_offset)
 WHERE last_activity >= poll_id || ' 00:00:00' AND last_activity < {NEXT_DAY} || ' 00:00:00'
   AND poll_id >= '2024-01-05' AND poll_id < '2024-01-15'"""),
     "stream_current": _with(SILVER, "SELECT * FROM silver"),
+    "daily_ledger": _with(GOLD, "SELECT * FROM daily"),
+    "schema_evolution": _with(TICKETS, """SELECT * REPLACE (
+  CASE WHEN dt >= DATE '1994-01-01' THEN count_reopen END AS count_reopen),
+  CASE WHEN dt >= DATE '1996-01-01' THEN timestamp_finished IS NOT NULL END AS is_finished
+FROM bronze"""),
+    "upsert_bucketed": _with(SILVER, "SELECT * FROM silver"),
+    "stream_compacted": _with(SILVER, "SELECT * FROM silver"),
+    "median_rollup": _with(GOLD, """SELECT 'district month' AS grain, district AS value,
+  CAST(date_trunc('month', finished_date) AS DATE) AS period_start, count(*) AS closed,
+  CAST(quantile_disc(days_to_resolve, 0.5) AS BIGINT) AS median_days
+FROM base WHERE finished_date IS NOT NULL AND days_to_resolve IS NOT NULL GROUP BY ALL
+UNION ALL
+SELECT 'category week', category, CAST(date_trunc('week', finished_date) AS DATE), count(*),
+  CAST(quantile_disc(days_to_resolve, 0.5) AS BIGINT)
+FROM base WHERE finished_date IS NOT NULL AND days_to_resolve IS NOT NULL GROUP BY ALL"""),
+    "backfill_plan": _with(FEED + ",", f"""{GAPPY},
+marked AS (SELECT *, dt - CAST(row_number() OVER (PARTITION BY finding ORDER BY dt) AS INTEGER) AS island
+  FROM findings WHERE finding <> 'complete')
+SELECT finding, min(dt) AS first_day, max(dt) AS last_day, count(*) AS days,
+  CAST(sum(held - n) AS BIGINT) AS missing_rows
+FROM marked GROUP BY finding, island"""),
+    "backfill_planned": _with(FEED, f"""SELECT f.* EXCLUDE (poll_id, page_offset),
+  {LOADED} || '+00:00' AS _ingested_at, 'feed' AS _source, poll_id AS _run_id,
+  CAST(poll_id AS DATE) AS dt
+FROM feat f JOIN kept USING (poll_id, page_offset)
+WHERE last_activity >= poll_id || ' 00:00:00' AND last_activity < {NEXT_DAY} || ' 00:00:00'"""),
+    "dq_freshness_expected": _with(FEED + ",", f"""{GAPPY}
+SELECT dt, CASE WHEN n > 0 THEN landed_at END AS last_landed_at, deadline,
+  n > 0 AND landed_at <= deadline AS on_time FROM days"""),
+    "quarantine_load": _with(FEED, f"""SELECT f.* EXCLUDE (poll_id, page_offset),
+  {LOADED} || '+00:00' AS _ingested_at, 'feed' AS _source, poll_id AS _run_id,
+  CAST(poll_id AS DATE) AS dt
+FROM feat f
+WHERE last_activity >= poll_id || ' 00:00:00' AND last_activity < {NEXT_DAY} || ' 00:00:00'
+  AND NOT (poll_id >= '2024-01-08' AND poll_id < '2024-01-11' AND page_offset = 50)
+  AND NOT (poll_id = '2024-01-15' AND page_offset = (SELECT max(page_offset) FROM pages WHERE poll_id = '2024-01-15'))"""),
+    "dead_letters": _with(FEED, """SELECT poll_id, page_offset, 'not a page' AS reason FROM pages
+WHERE poll_id >= '2024-01-08' AND poll_id < '2024-01-11' AND page_offset = 50
+UNION ALL SELECT NULL, NULL, 'not a page' FROM pages WHERE poll_id = '2024-01-15'
+  AND page_offset = (SELECT max(page_offset) FROM pages WHERE poll_id = '2024-01-15')"""),
+    "as_of_state": _with(SILVER + ",", """facts AS (SELECT ticket_id, "timestamp" + INTERVAL 30 DAY AS at FROM silver),
+seen AS (SELECT *, try_strptime(last_activity, '%Y-%m-%d %H:%M:%S') AS v_at FROM bronze)
+SELECT f.ticket_id, f.at, arg_max(v.state_type_latest, (v.v_at, v.view_count)) AS state_then
+FROM facts f LEFT JOIN seen v ON v.ticket_id = f.ticket_id AND v.v_at <= f.at
+GROUP BY f.ticket_id, f.at"""),
+    "dq_rowcount_estimated": _with(SILVER, """SELECT 'rowcount_delta' AS name,
+  coalesce(b > 0 AND n <= b AND n >= b * 0.5, false) AS passed
+FROM (SELECT (SELECT count(*) FROM silver) AS n,
+  (SELECT count(DISTINCT ticket_id) + max(CAST(ticket_id IS NULL AS INTEGER)) FROM bronze) AS b)"""),
+    "compact_partitions": "SELECT *, CAST(ts AS DATE) AS day FROM events",
+    "dq_referential_all": _with(GOLD, " UNION ALL ".join(f"""
+SELECT 'referential_{k}' AS name, count(*) = 0 AS passed,
+  printf('%d rows with {k} missing from the dimension', count(*)) AS detail, '{label}' AS dimensions
+FROM daily WHERE {k} IS NOT NULL AND {k} NOT IN (SELECT {k} FROM dim_{k} WHERE {rule})"""
+                              for label, rules in (("published", ("true", "true", "true")),
+                                                   ("stale", ("district < 'C'", "true", "date < DATE '1998-01-01'")))
+                              for k, rule in zip(("district", "category", "date"), rules, strict=True))),
     "dq_referential": _with(GOLD, """SELECT 'referential_district' AS name, bad = 0 AS passed,
   printf('%d rows with district missing from the dimension', bad) AS detail, dimension
 FROM (SELECT 'published' AS dimension, count(*) AS bad FROM lifecycle
@@ -404,3 +493,5 @@ ORDER BY backlog DESC NULLS LAST, district ASC NULLS FIRST LIMIT 5"""),
 FROM lifecycle WHERE is_resolved GROUP BY district
 ORDER BY median_days DESC NULLS LAST, district ASC NULLS FIRST LIMIT 5"""),
 }
+
+ORACLE["scd2_merge"] = ORACLE["scd2_history"]

@@ -60,12 +60,14 @@ PAGES_PER_BLOCK = 1024
 def page_until_boundary(pages: DataFrame, boundary, page_size: int = 500,
                         max_records: int | None = None, poll: str = "poll_id",
                         offset: str = "page_offset",
-                        order_field: str = "last_activity") -> DataFrame:
+                        order_field: str = "last_activity",
+                        placeholders: DataFrame | None = None) -> DataFrame:
     """The pages a newest-first scan keeps: pages from offset 0 up to and including
     the first one whose oldest ``order_field`` is below ``boundary``. An empty page, or
     an offset at which no page landed, ends the scan. ``max_records`` (none by default)
     is checked before each page, so the last kept page may overshoot it. A page that
-    landed twice counts once, and both copies are kept.
+    landed twice counts once, and both copies are kept. ``placeholders`` (poll, offset) are
+    pages that landed but can't be read: they hold their place and decide nothing.
 
     Each page needs three prefix values over the earlier pages of its poll: how many
     there are (fewer than its offset implies: a page is missing), features collected,
@@ -80,10 +82,13 @@ def page_until_boundary(pages: DataFrame, boundary, page_size: int = 500,
     """
     bound = col(boundary) if not isinstance(boundary, str) else F.lit(boundary)
     oldest = F.array_min(F.transform("features", lambda f: f["properties"][order_field]))
+    marks = pages.select(poll, offset, F.size("features").alias("_n"),
+                         ((oldest < bound) | (F.size("features") == 0)).alias("_stop"))
+    if placeholders is not None:
+        marks = marks.unionByName(placeholders.select(
+            poll, offset, F.lit(0).alias("_n"), F.lit(False).alias("_stop")))
     summary = (
-        pages.select(poll, offset, F.size("features").alias("_n"),
-                     ((oldest < bound) | (F.size("features") == 0)).alias("_stop"))
-        .groupBy(poll, offset).agg(F.max("_n").alias("_n"), F.max("_stop").alias("_stop"))
+        marks.groupBy(poll, offset).agg(F.max("_n").alias("_n"), F.max("_stop").alias("_stop"))
         .withColumn("_block", F.floor(F.col(offset) / F.lit(page_size * PAGES_PER_BLOCK)))
     )
     by_block = Window.partitionBy(poll).orderBy("_block").rowsBetween(

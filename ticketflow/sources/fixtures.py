@@ -137,8 +137,7 @@ SNAPSHOT_TIE_BREAKERS = ("view_count",)
 # code by event type: signup -> start, view -> inprogress, purchase -> finish,
 # click -> forward, error -> irrelevant. Reported user_id % 3 days before the event; in
 # progress at the event for views and purchases; finished at it for purchases;
-# count_reopen = user_id % 2. The property event_id is not among the declared ones. Polls
-# of days 10, 20 and 30 lack the page at the third offset.
+# count_reopen = user_id % 2. The property event_id is not among the declared ones.
 FEED_PAGE_SIZE = 50
 EVENT_STATE_CODES = {"signup": "start", "view": "inprogress", "purchase": "finish",
                      "click": "forward", "error": "irrelevant"}
@@ -174,10 +173,8 @@ def feed_features(spark: SparkSession, root: str, page_size: int = FEED_PAGE_SIZ
         ).alias("properties"),
     )
     offset = F.floor((F.col("top") - F.col("event_id")) / page_size).cast("long") * page_size
-    missing = (F.dayofmonth("poll_day") % 10 == 0) & (F.col("page_offset") == 2 * page_size)
-    return (feed.select("poll_day", offset.alias("page_offset"), feature.alias("feature"))
-            .where(~missing)
-            .select(F.date_format("poll_day", "yyyy-MM-dd").alias("poll_id"), "page_offset", "feature"))
+    return feed.select(F.date_format("poll_day", "yyyy-MM-dd").alias("poll_id"), offset.alias("page_offset"),
+                       feature.alias("feature"))
 
 
 def feed_pages(spark: SparkSession, root: str, page_size: int = FEED_PAGE_SIZE) -> DataFrame:

@@ -23,8 +23,9 @@ def write_partitions(df: DataFrame, path: str, column: str = "dt") -> Observatio
     Returns an Observation holding the written row count (no second job).
     """
     obs = Observation(f"written_{uuid.uuid4().hex[:8]}")
-    writer = (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-              .hint("rebalance", column)
+    # observed after the exchange: a task of the writing stage counts once, however often it ran
+    writer = (df.hint("rebalance", column)
+              .observe(obs, F.count(F.lit(1)).alias("rows"))
               .write.partitionBy(column))
     if path_exists(df.sparkSession, path):
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
@@ -55,12 +56,17 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> Ob
 def drop_partitions(spark: SparkSession, path: str, column: str, gone) -> None:
     """Delete the partitions whose value ``gone`` (a function of its text) says so."""
     jvm = spark.sparkContext._jvm
-    for name in _names(spark, path):
+    for name in names_in(spark, path):
         if name.startswith(f"{column}=") and gone(name.partition("=")[2]):
             p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}")
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scan_partitioned(spark: SparkSession, path: str, column: str = "dt",
                      start=None, end=None) -> DataFrame:
     """All partitions as one table; a ``[start, end)`` range prunes partitions."""
@@ -72,6 +78,30 @@ def scan_partitioned(spark: SparkSession, path: str, column: str = "dt",
     return df
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of its own, complete once it is there: written aside, then renamed."""
+    jvm = spark.sparkContext._jvm
+    aside, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path}.{uuid.uuid4().hex[:8]}.tmp", path))
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(aside, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    if not fs.rename(aside, target):
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 # --- versioned publish -------------------------------------------------------------
 #
 # A publish writes every table of a run under ``root/runs/<run_id>/`` and, only when
@@ -82,7 +112,8 @@ def run_path(root: str, run_id: str, table: str) -> str:
     return f"{root.rstrip('/')}/runs/{run_id}/{table}"
 
 
-def _names(spark: SparkSession, folder: str) -> list[str]:
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder, none if it is not there."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -95,25 +126,38 @@ def _create(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).createNewFile(p)
 
 
-def set_current(spark: SparkSession, root: str, run_id: str) -> None:
+class Outrun(RuntimeError):
+    """Another publisher has published since this one read what it builds on."""
+
+
+def set_current(spark: SparkSession, root: str, run_id: str, onto: str | None = None) -> None:
     """Point ``root`` at a run. The pointer is the name of an empty file, led by a version
     that the publisher has claimed by creating its claim file first: two publishers never
     share one, and no clocks are compared. Nothing is deleted, so a crash while publishing
-    leaves the previous pointer in force."""
+    leaves the previous pointer in force. With ``onto``, the run this one was derived from
+    ('' for none), the publish is refused with ``Outrun`` unless that is still current."""
     folder = f"{root.rstrip('/')}/_current"
     while True:
-        version = max(map(int, _names(spark, f"{folder}/claims")), default=0) + 1
+        version = max(map(int, names_in(spark, f"{folder}/claims")), default=0) + 1
+        if onto is not None and onto != _pointed(spark, root):
+            raise Outrun(f"{root} is not at {onto or 'nothing'} any more")
         if _create(spark, f"{folder}/claims/{version:012d}"):
+            if onto is not None and onto != _pointed(spark, root):
+                continue  # published between the look and the claim; the next look will tell
             _create(spark, f"{folder}/runs/{version:012d}-{run_id}")
             return
 
 
+def _pointed(spark: SparkSession, root: str) -> str:
+    return max(names_in(spark, f"{root.rstrip('/')}/_current/runs"), default="").partition("-")[2]
+
+
 def current_run(spark: SparkSession, root: str) -> str:
     """The run of the highest version: one folder listing, no job."""
-    pointers = _names(spark, f"{root.rstrip('/')}/_current/runs")
-    if not pointers:
+    run = _pointed(spark, root)
+    if not run:
         raise FileNotFoundError(f"nothing published under {root}")
-    return max(pointers).partition("-")[2]
+    return run
 
 
 def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:

@@ -12,7 +12,7 @@ from ticketflow.llm import queries
 def vocabulary(texts):
     counts = Counter(w for t in texts for w in t.lower().encode().split())
     words = sorted(counts.items(), key=lambda x: (-x[1], x[0]))
-    neural = {w for w, _ in words[:min(op.NEURAL, len(words)) // op.CLASS_WORDS * op.CLASS_WORDS]}
+    neural = {w for w, _ in words[:op.NEURAL]}
     tail = {}
     for w, c in words:
         if w not in neural:
@@ -69,10 +69,11 @@ def test_gradient_is_that_of_the_loss():
     x, y = rng.integers(0, v.slots, (4, 3)).astype(np.int32), rng.integers(0, v.slots, (4, 3)).astype(np.int32)
     live = np.ones((4, 3), bool)
     state = rng.normal(size=(3, op.HIDDEN)).astype(np.float32)
-    start, opt = net.theta.copy(), {}
-    net.learn(x, y, live, state, opt)
-    grad = opt["m"] * 10  # the first moment after one step
-    net.theta[:] = start
+    grads = {n: np.zeros(s, np.float32) for n, s in net.shapes.items()}
+    _, slots = net.gradients(x, y, live, state, grads)
+    table = np.zeros_like(net.inp)
+    table[slots] = grads["inp"]
+    grad = np.concatenate([(table if n == "inp" else grads[n]).ravel() for n in net.shapes])
 
     def loss():
         states, _ = net.forward(x, state)
@@ -142,9 +143,10 @@ def test_slots_grow_with_the_counts(spark):
     often, rare = [f"w{k}" for k in range(3_000)], [f"r{k}" for k in range(500)]
     docs = documents(spark, [(k, " ".join(often)) for k in range(12)] + [(99, " ".join(rare))])
     v = op.vocabulary_of(op.count_words(docs), 13)
-    assert v.neural == 3_000 // v.class_words * v.class_words > op.NEURAL
+    assert v.neural == 3_000 > op.NEURAL
     assert set(v.frequent[:v.neural]) <= {w.encode() for w in often}
-    assert v.frequent_classes * v.class_words == v.neural and v.slots == v.neural + op.TAIL_CLASSES + 1
+    assert v.bounds[0] == 0 and v.bounds[-1] == v.neural and len(v.bounds) == v.frequent_classes + 1
+    assert v.slots == v.neural + op.TAIL_CLASSES + 1
     left = Counter(op.tail_class(w) for w in v.frequent[v.neural:])
     tokens = Counter()
     for w in v.frequent[v.neural:]:
@@ -156,4 +158,16 @@ def test_slots_grow_with_the_counts(spark):
     assert abs(total - 1) < 1e-4
     assert op.softmax_count(4_000_000) > op.softmax_count(400_000) >= op.SLOT_COUNT
     many = op.Vocabulary([(b"%d" % k, 20) for k in range(20_000)], {}, 0, 400_000, 20_000)
-    assert many.class_words > op.CLASS_WORDS and many.neural > 19_000
+    assert max(np.diff(many.bounds)) > op.CLASS_WORDS and many.neural == 20_000
+
+
+def test_classes_cost_about_the_same():
+    counts = [10_000_000 // (k + 10) for k in range(30_000)]
+    tokens = sum(counts) + 7
+    bounds = op.layout(counts, tokens)
+    widths = np.diff(bounds)
+    costs = [sum(counts[a:b]) * (b - a) / tokens for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert bounds[-1] == sum(c >= op.softmax_count(tokens) for c in counts) and widths[0] == op.CLASS_WORDS
+    assert (np.diff(widths[:-1]) >= 0).all() and widths[-2] > 10 * widths[0]
+    assert all(c >= 1 for c in costs[:-1]) and max(costs) < 2
+    assert op.layout([], 0) == [0] and op.layout([3, 2], 5) == [0, 2]

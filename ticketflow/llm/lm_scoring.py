@@ -1,7 +1,7 @@
 """Language-model scoring with a gated recurrent network and a class-factored softmax.
 
-Every word belongs to a class: frequent words to frequency classes of about the square root of
-their number (``CLASS_WORDS`` words at least), the others (unseen ones too) to one of
+Every word belongs to a class: frequent words to classes of neighbours in frequency, the rarer the
+larger (see ``layout``), the others (unseen ones too) to one of
 ``TAIL_CLASSES`` classes by a hash of their first bytes, and the end of a text to a class of its
 own. Frequent are the ``NEURAL`` first words and all that occur ``softmax_count`` times in training;
 their number grows with the corpus. A word's probability is that of its class times that of
@@ -49,28 +49,29 @@ NEURAL = 1_024
 #: A word has a slot if it occurs so often, and more than this share of the root of all tokens.
 SLOT_COUNT = 10
 SLOT_ROOT_SHARE = 1 / 64
-CLASS_WORDS = 64
+#: Words of a class, at least.
+CLASS_WORDS = 16
 TAIL_CLASSES = 63
 HIDDEN = 16
 STEPS = 24
 SCORED_STEPS = 48
-LANES = 256
+LANES = 512
 SEGMENT = 960
 ROUNDS = 2
 RATE = 0.02
+#: Of the tables of words.
+TABLE_RATE = 0.1
 CLIP = 1.0
 #: No parameter exceeds this, so nothing exceeds (HIDDEN + 2) times it and exp can't overflow.
 MOST = 4.0
 #: Tokens that a task holds at once, beside one batch.
-CHUNK_TOKENS = 4_000_000
+CHUNK_TOKENS = 2_000_000
 _FLUSH = 400_000
+_BLOCK = 256
 _FAN_IN = 16
 #: Parameters in a row of a copy.
 _SLICE = 1 << 18
 
-#: The end of a text, as a word that no text holds.
-END = b" "
-
 
 def tail_class(word: bytes) -> int:
     return crc32(word[:2]) % TAIL_CLASSES
@@ -81,11 +82,21 @@ def softmax_count(tokens: int) -> int:
     return max(SLOT_COUNT, ceil(sqrt(tokens) * SLOT_ROOT_SHARE))
 
 
-def layout(counted: int, above: int) -> tuple[int, int]:
-    """(words with slots, words of a class) for ``counted`` words, ``above`` of them that often."""
-    n = min(max(NEURAL, above), counted)
-    width = CLASS_WORDS * max(1, ceil(sqrt(n) / CLASS_WORDS))
-    return n // width * width, width
+def layout(counts: list[int], tokens: int) -> list[int]:
+    """Where classes of words with slots start, and where the last one ends, for the counts of the most
+    frequent words, falling. A class is closed once it has ``CLASS_WORDS`` words and the share of the
+    tokens that it has, times its words, reaches one: so all classes cost about the same, and as much as a
+    class costs in the softmax over classes."""
+    bar = softmax_count(tokens)
+    n = min(max(NEURAL, sum(c >= bar for c in counts)), len(counts))
+    bounds, held = [0], 0
+    for k in range(n):
+        held += counts[k]
+        words = k + 1 - bounds[-1]
+        if words >= CLASS_WORDS and held * words >= tokens:
+            bounds.append(k + 1)
+            held = 0
+    return bounds if bounds[-1] == n else [*bounds, n]
 
 
 class Vocabulary:
@@ -96,9 +107,8 @@ class Vocabulary:
                  tokens: int, distinct: int):
         self.counts = dict(words)
         self.tokens, self.distinct, self.ends = tokens, distinct, ends
-        bar = softmax_count(tokens)
-        self.neural, self.class_words = layout(len(words), sum(c >= bar for _, c in words))
-        self.frequent_classes = self.neural // self.class_words
+        self.bounds = layout([c for _, c in words], tokens)
+        self.neural, self.frequent_classes = self.bounds[-1], len(self.bounds) - 1
         self.slot = {w: k for k, (w, _) in enumerate(words[:self.neural])}
         self.slots = self.neural + TAIL_CLASSES + 1
         self.classes = self.frequent_classes + TAIL_CLASSES + 1
@@ -197,10 +207,9 @@ class Network:
     """Parameters are one float32 vector; the arrays are views into it."""
 
     def __init__(self, vocabulary: Vocabulary, theta: np.ndarray | None = None, seed: int = 7):
-        v, h, self.class_words = vocabulary, HIDDEN, vocabulary.class_words
-        shapes = {"inp": (v.slots, 3 * h), "rec": (h, 3 * h), "rec_b": (3 * h,), "cls": (h, v.classes),
-                  "cls_b": (v.classes,), "word": (max(1, v.frequent_classes), h, v.class_words),
-                  "word_b": (max(1, v.frequent_classes), v.class_words)}
+        v, h, self.bounds = vocabulary, HIDDEN, vocabulary.bounds
+        shapes = {"inp": (v.slots, 3 * h), "rec": (h, 3 * h), "rec_b": (3 * h,), "cls": (h + 1, v.classes),
+                  "word": (h + 1, v.neural)}
         size = sum(int(np.prod(s)) for s in shapes.values())
         self.frequent_classes = v.frequent_classes
         if theta is None:
@@ -213,7 +222,8 @@ class Network:
             setattr(self, name, self.theta[at:at + n].reshape(shape))
             at += n
         # a slot's class: frequency class, tail class or end
-        self.slot_class = np.concatenate([np.arange(v.neural) // v.class_words,
+        widths = np.diff(v.bounds)
+        self.slot_class = np.concatenate([np.repeat(np.arange(len(widths)), widths),
                                           v.frequent_classes + np.arange(TAIL_CLASSES + 1)]).astype(np.int32)
 
     def parts(self, flat: np.ndarray) -> dict[str, np.ndarray]:
@@ -240,49 +250,55 @@ class Network:
 
     def log_probabilities(self, s: np.ndarray, y: np.ndarray, grads: dict | None = None, weight=None):
         """Natural logs of the class (and, for frequent words, the word) of slots ``y`` given states
-        ``s``; with ``grads``, adds the gradients and returns that of the states too."""
+        ``s``; with ``grads``, adds the gradients and returns that of the states too. All are gone
+        through in blocks of rows that stay in the processor's cache."""
+        n, h = s.shape
+        s = np.concatenate([s, np.ones((n, 1), np.float32)], axis=1)  # the last parameter is the bias
         cls = self.slot_class[y]
-        z = s @ self.cls
-        z += self.cls_b
-        rows = np.arange(len(y))
-        at = z[rows, cls]
-        np.exp(z, out=z)
-        total = z @ np.ones(z.shape[1], np.float32)
-        out = at - np.log(total)
-        back = None
-        if grads is not None:
-            z *= (weight / total)[:, None]
-            z[rows, cls] -= weight
-            grads["cls"] += s.T @ z
-            grads["cls_b"] += np.ones(len(z), np.float32) @ z
-            back = z @ self.cls.T
+        out, back = np.empty(n, np.float32), None if grads is None else np.empty((n, h), np.float32)
+        rows = np.arange(_BLOCK)
+        ones = np.ones(max(self.cls.shape[1], *np.diff(self.bounds, prepend=0)), np.float32)
+
+        def block(mine, goal, table, grad, weight, at):
+            """Logs of ``goal`` in one softmax; the gradient of ``table`` is added to ``grad``."""
+            z = mine @ table
+            i = rows[:len(goal)]
+            chosen = z[i, goal]
+            np.exp(z, out=z)
+            total = z @ ones[:z.shape[1]]
+            if grad is not None:
+                z[i, goal] -= total
+                scale = (weight / total)[:, None]
+                grad += (mine * scale).T @ z
+                d = z @ table[:-1].T
+                d *= scale
+                back[at] = d if grad is grads["cls"] else back[at] + d
+            return chosen - np.log(total)
+
+        for i in range(0, n, _BLOCK):
+            at = slice(i, i + _BLOCK)
+            out[at] = block(s[at], cls[at], self.cls, grads and grads["cls"], None if grads is None else weight[at], at)
         frequent = np.flatnonzero(cls < self.frequent_classes)
-        order = frequent[np.argsort(cls[frequent], kind="stable")]
-        bounds = np.searchsorted(cls[order], np.arange(self.frequent_classes + 1))
-        for k in np.flatnonzero(np.diff(bounds)):  # the words of one class together
-            mine = order[bounds[k]:bounds[k + 1]]
-            w = s[mine] @ self.word[k] + self.word_b[k]
-            inside, i = y[mine] - k * self.class_words, np.arange(len(mine))
-            at = w[i, inside]
-            np.exp(w, out=w)
-            total = w.sum(axis=1)
-            out[mine] += at - np.log(total)
-            if grads is not None:
-                w /= total[:, None]
-                w[i, inside] -= 1
-                w *= weight[mine][:, None]
-                grads["word"][k] += s[mine].T @ w
-                grads["word_b"][k] += w.sum(axis=0)
-                back[mine] += w @ self.word[k].T
+        order = frequent[np.argsort(cls[frequent], kind="stable")]  # the words of one class together
+        bounds = np.searchsorted(cls[order], np.arange(self.frequent_classes + 1)).tolist()
+        states, goals = s[order], y[order]
+        weights = None if grads is None else weight[order]
+        for k, (start, end) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+            own = slice(self.bounds[k], self.bounds[k + 1])
+            for i in range(start, end, _BLOCK):
+                j = min(i + _BLOCK, end)
+                out[order[i:j]] += block(states[i:j], goals[i:j] - own.start, self.word[:, own],
+                                         grads and grads["word"][:, own], None if grads is None else weights[i:j], order[i:j])
         return out, back
 
-    def learn(self, x: np.ndarray, y: np.ndarray, live: np.ndarray, state: np.ndarray, opt: dict) -> np.ndarray:
-        """One step of truncated backpropagation over a window (steps, lanes); the state after it."""
+    def gradients(self, x: np.ndarray, y: np.ndarray, live: np.ndarray, state: np.ndarray, grads: dict):
+        """Backpropagation through a window (steps, lanes): the state after it, and the slots it read.
+        ``grads`` gets the gradients; of the input table only the rows of those slots, of the classes only
+        those that occur."""
         h, (steps, lanes) = HIDDEN, x.shape
         states, kept = self.forward(x, state, keep=True)
-        if not opt:
-            opt.update({n: np.zeros_like(self.theta) for n in "gmv"}, t=0)
-        grads = self.parts(opt["g"])  # all zero
+        for n in ("rec", "rec_b", "cls", "word"):
+            grads[n].fill(0)
         weight = (live / max(1, live.sum())).astype(np.float32).ravel()
         _, back = self.log_probabilities(states[1:].reshape(-1, h), y.ravel(), grads, weight)
         back = back.reshape(steps, lanes, h)
@@ -303,35 +319,48 @@ class Network:
         grads["rec_b"] += np.ones(len(flat_da), np.float32) @ flat_da
         da[:, :, 2 * h:] = dn  # the inputs reach the candidate past the reset gate
         order = np.argsort(x.ravel(), kind="stable")
-        slots, starts = np.unique(x.ravel()[order], return_index=True)
-        grads["inp"][slots] = np.add.reduceat(flat_da[order], starts)
-        # what this window does not read has no gradient and stays as it is
-        classes = np.unique(self.slot_class[y.ravel()])
-        classes = classes[classes < self.frequent_classes]
-        touched = {n: slots if n == "inp" else classes if n.startswith("word") else slice(None) for n in grads}
-        found = {n: grads[n][rows] for n, rows in touched.items()}
-        norm = float(np.sqrt(sum(float(g.ravel() @ g.ravel()) for g in found.values())))
+        read = x.ravel()[order]
+        starts = np.flatnonzero(np.concatenate([[True], read[1:] != read[:-1]]))
+        grads["inp"] = np.add.reduceat(flat_da[order], starts)
+        return states[-1], read[starts]
+
+    def learn(self, x: np.ndarray, y: np.ndarray, live: np.ndarray, state: np.ndarray, opt: dict) -> np.ndarray:
+        """One step of truncated backpropagation over a window (steps, lanes); the state after it. The
+        recurrent part and the classes take steps of Adam; the tables of words, of which a window sees a
+        part, have one sum of squares a word."""
+        if not opt:
+            opt["grads"] = {n: np.zeros_like(getattr(self, n)) for n in self.shapes}
+            opt["small"] = {n: (np.zeros_like(getattr(self, n)), np.zeros_like(getattr(self, n)))
+                            for n in ("rec", "rec_b", "cls")}
+            opt["inp"] = np.zeros(len(self.inp), np.float32)
+            opt["word"] = np.zeros(self.word.shape[1], np.float32)
+            opt["t"] = 0
+        grads = opt["grads"]
+        last, slots = self.gradients(x, y, live, state, grads)
         opt["t"] = t = opt["t"] + 1
-        first, second, own = self.parts(opt["m"]), self.parts(opt["v"]), self.parts(self.theta)
-        rate, root = RATE / (1 + t / 2000) / (1 - 0.9**t), 1 / np.sqrt(1 - 0.99**t)
-        for n, rows in touched.items():
-            g, m, v, p = found[n], first[n][rows], second[n][rows], own[n][rows]
+        norm = sqrt(sum(float(grads[n].ravel() @ grads[n].ravel()) for n in opt["small"]))
+        rate, root = RATE / (1 + t / 2000) / (1 - 0.9**t), 1 / sqrt(1 - 0.99**t)
+        for n, (m, v) in opt["small"].items():
+            g, p = grads[n], getattr(self, n)
             if norm > CLIP:
                 g *= np.float32(CLIP / norm)
             m += np.float32(0.1) * (g - m)
-            np.multiply(g, g, out=g)
-            g -= v
-            g *= np.float32(0.01)
-            v += g
-            np.sqrt(v, out=g)
-            g *= np.float32(root)
-            g += np.float32(1e-8)
-            np.divide(m, g, out=g)
-            g *= np.float32(rate)
-            p -= g
+            v += np.float32(0.01) * (g * g - v)
+            p -= np.float32(rate) * m / (np.sqrt(v) * np.float32(root) + np.float32(1e-8))
             np.clip(p, -MOST, MOST, out=p)
-            first[n][rows], second[n][rows], own[n][rows], grads[n][rows] = m, v, p, 0
-        return states[-1]
+        g, squares = grads["inp"], opt["inp"]
+        total = squares[slots] + np.einsum("ij,ij->i", g, g) / g.shape[1]
+        squares[slots] = total
+        rows = self.inp[slots]
+        rows -= g * (np.float32(TABLE_RATE) / (np.sqrt(total) + np.float32(1e-10)))[:, None]
+        self.inp[slots] = np.clip(rows, -MOST, MOST, out=rows)
+        if self.frequent_classes:
+            g, squares = grads["word"], opt["word"]
+            squares += np.einsum("hw,hw->w", g, g) / len(g)
+            g *= np.float32(TABLE_RATE) / (np.sqrt(squares) + np.float32(1e-10))
+            self.word -= g
+            np.clip(self.word, -MOST, MOST, out=self.word)
+        return last
 
 
 def windows(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, lanes: int = LANES, steps: int = STEPS):
@@ -414,12 +443,13 @@ def vocabulary_of(counts: DataFrame, ends: int) -> Vocabulary:
     at_least = counts.agg(*(F.count_if(F.col("c") >= p).alias(f"p{p}") for p in powers)).first()
     bound = next(p for p in powers if at_least[f"p{p}"] <= 8 * FREQUENT)  # few rows left to order
     sums = counts.agg(F.sum("c").alias("n")).first()
-    bar = softmax_count((sums["n"] or 0) + ends)
+    tokens = (sums["n"] or 0) + ends
+    bar = softmax_count(tokens)
     above = counts.where(F.col("c") >= bar).count()
     most = max(FREQUENT, above) if above > NEURAL else FREQUENT
     top = counts.where(F.col("c") >= min(bound, bar)).orderBy(F.desc("c"), "word").limit(most).collect()
     words = [(bytes(r["word"]), r["c"]) for r in top]
-    neural = {w for w, _ in words[:layout(len(words), above)[0]]}
+    neural = {w for w, _ in words[:layout([c for _, c in words], tokens)[-1]]}
     cls = F.crc32(F.substring("word", 1, 2)) % TAIL_CLASSES
     tail = {r["k"]: [r["n"], r["v"]] for r in counts.groupBy(cls.alias("k")).agg(
         F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
@@ -433,12 +463,14 @@ def vocabulary_of(counts: DataFrame, ends: int) -> Vocabulary:
 
 def _average(pdf: pd.DataFrame) -> pd.DataFrame:
     n = pdf["n"].to_numpy(float)
-    theta = reduce(np.add, (np.frombuffer(t, np.float32) * (k / n.sum()) for t, k in zip(pdf["theta"], n, strict=True)))
-    return pd.DataFrame({"part": [0], "slice": [pdf["slice"].iloc[0]], "n": [int(n.sum())], "theta": [theta.astype(np.float32).tobytes()]})
+    change = reduce(np.add, (np.frombuffer(t, np.float16) * np.float32(k / n.sum()) for t, k in zip(pdf["change"], n, strict=True)))
+    return pd.DataFrame({"part": [0], "slice": [pdf["slice"].iloc[0]], "n": [int(n.sum())],
+                         "change": [change.astype(np.float16).tobytes()]})
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
-    """Parameters after all of ``docs`` (doc_id, text), partition by partition, averaged by rounds."""
+    """Parameters after all of ``docs`` (doc_id, text), partition by partition, averaged by rounds. What
+    a copy changed travels in half precision."""
     spark = docs.sparkSession
     theta = Network(vocabulary).theta
     for turn in range(ROUNDS):
@@ -461,13 +493,14 @@ def train(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
                     state = net.learn(x, y, live, carried(state, carry), opt)
                 seen += int((sizes + 1).sum())
             if seen:
-                part = crc32(net.theta.tobytes()) & 0xFFFF
-                for k, at in enumerate(range(0, len(net.theta), _SLICE)):
+                change = (net.theta - theta).astype(np.float16)
+                part = crc32(change.tobytes()) & 0xFFFF
+                for k, at in enumerate(range(0, len(change), _SLICE)):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([part], pa.int32()), pa.array([k], pa.int32()), pa.array([seen], pa.int64()),
-                         pa.array([net.theta[at:at + _SLICE].tobytes()], pa.binary())], ["part", "slice", "n", "theta"])
+                         pa.array([change[at:at + _SLICE].tobytes()], pa.binary())], ["part", "slice", "n", "change"])
 
-        schema, slices = "part int, slice int, n long, theta binary", -(-len(theta) // _SLICE)
+        schema, slices = "part int, slice int, n long, change binary", -(-len(theta) // _SLICE)
         texts = rows.select(F.col("text").cast("binary"))
         groups = texts.rdd.getNumPartitions()  # the copies go straight to their first averages
         copies = texts.mapInArrow(fit, schema)
@@ -478,7 +511,8 @@ def train(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
                             .withColumn("part", (F.rand(1) * 65536).cast("int")), "lm_copies")
             groups = -(-copies.count() // slices)
         whole = sorted(copies.collect(), key=lambda r: r["slice"])
-        theta = np.concatenate([np.frombuffer(r["theta"], np.float32) for r in whole]) if whole else theta
+        if whole:
+            theta = theta + np.concatenate([np.frombuffer(r["change"], np.float16) for r in whole])
     return theta
 
 

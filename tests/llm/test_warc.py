@@ -3,6 +3,7 @@ import io
 import struct
 
 import pytest
+from pyspark.sql import functions as F
 import zstandard
 
 from tests.llm.fixtures import TINY, needs_tables
@@ -98,3 +99,33 @@ def test_archives_are_of_bounded_size(tmp_path, monkeypatch):
         w.write(record(k))
     w.close()
     assert [n for _, n in w.done] == [3, 3, 1]
+
+
+def test_stores_are_named_as_arrow_names_them():
+    assert op.store_uri("s3a://bucket/a b/c") == "s3://bucket/a b/c"
+    assert op.store_uri("abfss://box@host/x") == "abfs://box@host/x"
+    assert op.store_uri("hdfs://host:8020/x") == "hdfs://host:8020/x" and op.store_uri("/tmp/x") == "/tmp/x"
+    for path in ("/tmp/x y", "file:/tmp/x y", "file:///tmp/x y"):
+        assert op.open_store(path)[1] == "/tmp/x y"
+
+
+def test_frames_across_reads_of_any_size(tmp_path, monkeypatch):
+    monkeypatch.setattr(op, "_FEED", 7)
+    writer = op.ArchiveWriter(str(tmp_path), b"")
+    records = [bytes([k % 251]) * (k * 37 % 900) + b"x" for k in range(60)]
+    for r in records:
+        writer.write(r)
+    writer.close()
+    for size in (1, 13, 1 << 20):
+        monkeypatch.setattr(op, "_READ", size)
+        with open(tmp_path / writer.done[0][0], "rb") as f:
+            assert list(op.read_archive(f)) == records
+
+
+def test_tables_with_other_columns(spark):
+    rows = spark.createDataFrame([(1, "<p>a</p>" * 40), (2, "<p>a</p>" * 40), (3, None)], "page_id long, html string")
+    plain = sorted(map(tuple, op.round_trip(spark, rows).collect()), key=str)
+    more = rows.withColumns({n: F.lit("x") for n in ("url", "payload", "payload_bytes", "payload_digest", "revisits", "refers_to",
+                                                    "first", "n", "archive", "records")})
+    assert sorted(map(tuple, op.round_trip(spark, more).collect()), key=str) == plain
+    assert [r[3] for r in plain] == ["response", "revisit", "response"]

@@ -44,6 +44,8 @@ _DICT_MAGIC = 0x184D2A5D
 _SKIPPABLE = range(0x184D2A50, 0x184D2A60)
 _ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
 _READ = 1 << 20
+#: Bytes that a decompressor gets at a time: what follows its frame among them is copied, and read again.
+_FEED = 1 << 13
 _END = b"\r\n\r\n"
 
 
@@ -51,12 +53,21 @@ class BadRecord(ValueError):
     """An archive that breaks the format."""
 
 
+#: Schemes of Spark's file systems, and what Arrow calls the same stores. Others go by one name in both.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gs": "gs", "abfss": "abfs", "wasbs": "abfs"}
+
+
+def store_uri(uri: str) -> str:
+    """How Arrow names a folder or file that Spark names."""
+    scheme, mark, rest = uri.partition("://")
+    return f"{SCHEMES.get(scheme, scheme)}://{rest}" if mark else uri
+
+
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system and path of a folder or file named by Spark."""
-    if "://" not in uri:
-        uri = re.sub(r"^file:/*", "/", uri)
-        return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri)
+    if "://" not in uri or uri.startswith("file:"):
+        return pafs.LocalFileSystem(), re.sub(r"^file:/*", "/", uri)
+    return pafs.FileSystem.from_uri(store_uri(uri))
 
 
 def train_dictionary(samples: list[bytes]) -> bytes:
@@ -174,42 +185,43 @@ class ArchiveWriter:
 
 
 def read_archive(stream) -> Iterator[bytes]:
-    """The records of an archive, a frame each."""
-    buffer, trained = b"", None
+    """The records of an archive, a frame each. The bytes read are walked through once, in place."""
+    buffer, at, trained = b"", 0, None
 
     def have(n: int) -> bool:
-        nonlocal buffer
-        while len(buffer) < n:
+        nonlocal buffer, at
+        while len(buffer) - at < n:
             more = stream.read(_READ)
             if not more:
                 return False
-            buffer += more
+            buffer, at = buffer[at:] + more, 0
         return True
 
     first = True
     while have(1):
         if not have(4):
             raise BadRecord("the archive ends within a frame")
-        magic = struct.unpack("<I", buffer[:4])[0]
+        magic = struct.unpack_from("<I", buffer, at)[0]
         if magic in _SKIPPABLE:
-            if not have(8) or not have(8 + (n := struct.unpack("<I", buffer[4:8])[0])):
+            if not have(8) or not have(8 + (n := struct.unpack_from("<I", buffer, at + 4)[0])):
                 raise BadRecord("the archive ends within a skippable frame")
             if first and magic == _DICT_MAGIC:
-                raw = buffer[8:8 + n]
+                raw = buffer[at + 8:at + 8 + n]
                 raw = zstandard.ZstdDecompressor().decompress(raw) if raw[:4] == _ZSTD_MAGIC else raw
                 trained = zstandard.ZstdCompressionDict(raw)
-            buffer, first = buffer[8 + n:], False
+            at, first = at + 8 + n, False
             continue
         first = False
-        if buffer[:4] != _ZSTD_MAGIC:
-            raise BadRecord(f"no frame starts with {buffer[:4]!r}")
+        if buffer[at:at + 4] != _ZSTD_MAGIC:
+            raise BadRecord(f"no frame starts with {buffer[at:at + 4]!r}")
         frame = zstandard.ZstdDecompressor(dict_data=trained).decompressobj()
         parts = []
         while not frame.eof:
-            if not buffer and not have(1):
+            if not have(1):
                 raise BadRecord("the archive ends within a frame")
-            parts.append(frame.decompress(buffer))
-            buffer = frame.unused_data if frame.eof else b""
+            piece = memoryview(buffer)[at:at + _FEED]
+            parts.append(frame.decompress(piece))
+            at += len(piece) - (len(frame.unused_data) if frame.eof else 0)
         yield b"".join(parts)
 
 
@@ -239,8 +251,11 @@ _FIELDS = [("archive", pa.string()), ("page_id", pa.int64()), ("record_type", pa
            ("payload", pa.binary())]
 
 
-def read_archives(archives: DataFrame, folder: str, payload: bool = True, tasks: int = 32) -> DataFrame:
-    """Records of the listed archives (column ``archive``) below ``folder``, checked."""
+def read_archives(archives: DataFrame, folder: str, payload: bool = True, tasks: int | None = None) -> DataFrame:
+    """Records of the listed archives (column ``archive``) below ``folder``, checked. By default a task each,
+    up to a few for each core of the cluster."""
+    if tasks is None:
+        tasks = max(1, min(archives.count(), 4 * archives.sparkSession.sparkContext.defaultParallelism))
     fields = _FIELDS if payload else _FIELDS[:-1]
     kinds = {pa.string(): "string", pa.int64(): "long", pa.binary(): "binary"}
 
@@ -269,7 +284,8 @@ def read_archives(archives: DataFrame, folder: str, payload: bool = True, tasks:
 def with_types(pages: DataFrame) -> DataFrame:
     """(page_id, url, payload, payload_bytes, payload_digest, revisits, refers_to) of ``pages``."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select("page_id", "url", payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"),
+    url = F.col("url") if "url" in pages.columns else F.lit(None).cast("string")
+    rows = pages.select("page_id", url.alias("url"), payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"),
                         F.sha2(payload, 256).alias("payload_digest"))
     firsts = (rows.where(F.col("payload_bytes") >= REVISIT_BYTES).groupBy("payload_digest")
               .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))

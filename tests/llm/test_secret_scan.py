@@ -1,3 +1,4 @@
+import pytest
 import hashlib
 import re
 
@@ -66,6 +67,20 @@ def test_only_unseen_pairs_are_scanned(spark):
     assert op.scan_documents(again, newer, ledger).count() == 3 and ledger.pairs().count() == 3 * len(op.RULES) + 3
 
 
+@pytest.mark.parametrize("few", [0, 1000])
+def test_a_run_with_nothing_new_moves_no_text(spark, monkeypatch, few):
+    monkeypatch.setattr(op, "FEW_BLOBS", few)
+    ledger = op.Ledger(spark, scratch_path(spark, "ledger"))
+    texts = [(k, f"password=abc{k:06d}") for k in range(40)]
+    op.scan_documents(documents(spark, texts), ledger=ledger)
+    read = []
+    monkeypatch.setattr(op, "scan_blobs", lambda blobs, rules, real=op.scan_blobs: (read.append(blobs.count()), real(blobs, rules))[1])
+    again = op.scan_documents(documents(spark, texts), ledger=ledger)
+    assert read == [] and again.where("n_assign = 1").count() == 40
+    assert op.scan_documents(documents(spark, [*texts, (99, "token: 123456"), (98, "token: 123456")]), ledger=ledger).count() == 42
+    assert read == [1]  # the one new blob, though two paths hold it
+
+
 def test_findings_of_a_run_that_died_do_not_count(spark):
     ledger = op.Ledger(spark, scratch_path(spark, "ledger"))
     docs = documents(spark, [(1, TEXTS[0])])

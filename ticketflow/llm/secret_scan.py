@@ -52,6 +52,10 @@ RULES = (
 )
 
 
+#: So many blobs that are due, or fewer, are broadcast to pick their texts: a digest and six names each.
+FEW_BLOBS = 50_000
+
+
 def blob_id(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
@@ -121,7 +125,13 @@ class Ledger:
                .join(self.pairs().select("blob", "rule", "version"), ["blob", "rule", "version"], "left_anti"))
         due = staged(due, "due_pairs")
         todo = due.groupBy("blob").agg(F.collect_set("rule").alias("todo"))  # as many as rules
-        blobs = texts.dropDuplicates(["blob"]).join(todo, "blob")  # copies collapse before the shuffle
+        blobs_due = due.select("blob").distinct().limit(FEW_BLOBS + 1).count()
+        if not blobs_due:  # nothing new: no text is moved
+            return
+        if blobs_due <= FEW_BLOBS:  # only texts that are due are moved
+            blobs = texts.join(F.broadcast(todo), "blob").dropDuplicates(["blob"])
+        else:
+            blobs = texts.dropDuplicates(["blob"]).join(todo, "blob")  # copies collapse before the shuffle
         mark = F.lit(run).alias("run")
         scan_blobs(blobs, rules).select("*", mark).select(
             "blob", "rule", "version", "place", F.col("start").cast("long"), F.col("end").cast("long"),

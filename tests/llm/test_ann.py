@@ -81,7 +81,56 @@ def test_blocks_give_the_same(spark, monkeypatch):
     x = np.array([r["embedding"] for r in rows.orderBy("vec_id").collect()], float)
     want = slow(ids, x, [i for i in ids if i % 20 == 0])
     monkeypatch.setattr(op, "BLOCK_ROWS", 64)
-    monkeypatch.setattr(op, "QUERY_BLOCK_ROWS", 5)
+    monkeypatch.setattr(op, "BATCH_ROWS", 5)
     got = op.search(usable, usable.where("vec_id % 20 = 0")).collect()
     found = {(r["query_id"], r["vec_id"]) for r in got}
     assert len(got) == 20 * 20 and np.mean([(q, i) in found for q, n in want.items() for i, _ in n]) >= 0.9
+
+
+def clustered(n, centres=60, dim=24, seed=3):
+    rng = np.random.default_rng(seed)
+    middle = rng.normal(size=(centres, dim))
+    x = middle[rng.integers(0, centres, n)] + 0.25 * rng.normal(size=(n, dim))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_the_index_selects_where_vectors_cluster(spark, monkeypatch):
+    """Rows that are probed and reranked, counted, over several blocks; and the recall."""
+    monkeypatch.setattr(op, "BLOCK_ROWS", 1500)
+    x = clustered(6000)
+    rows = op.usable(vectors(spark, [(k, [float(v) for v in row], 0) for k, row in enumerate(x)]))
+    asked = rows.where("vec_id % 20 = 0")
+    codes = op.learn_codes(rows)
+    radius = op.learn_radius(rows, asked, codes)
+    index = op.MultiIndex(codes.rows(x))
+    probed = reranked = 0
+    for q in range(0, 6000, 200):
+        code = codes.queries(x[q:q + 1])[0]
+        reranked += len(index.within(code, radius))
+        small, more = divmod(radius, len(index.tables))
+        near = np.bitwise_count(index.codes ^ code) <= np.where(np.arange(len(code)) <= more, small, small - 1)
+        probed += int(near.any(axis=1).sum())
+    assert reranked < 0.1 * 30 * 6000 and probed < 0.6 * 30 * 6000
+    got = {(r["query_id"], r["vec_id"]) for r in op.search(rows, asked).collect()}
+    want = slow(list(range(6000)), np.float32(x).astype(float), range(0, 6000, 20))
+    assert len(got) == 300 * 20 and np.mean([(q, i) in got for q, near in want.items() for i, _ in near]) >= 0.9
+
+
+def test_queries_that_find_too_few_go_round_again(spark, monkeypatch):
+    monkeypatch.setattr(op, "learn_radius", lambda *_: 2)
+    x = clustered(300, 40)
+    rows = op.usable(vectors(spark, [(k, [float(v) for v in row], 0) for k, row in enumerate(x)]))
+    got = op.search(rows, rows.where("vec_id % 20 = 0")).collect()
+    assert len(got) == 15 * 20 and len({(r["query_id"], r["rank"]) for r in got}) == 300
+    assert len({(r["query_id"], r["vec_id"]) for r in got}) == 300
+
+
+def test_very_many_equal_scores_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(op, "BLOCK_ROWS", 40)
+    rows = vectors(spark, [(k, [1.0, 0.0] if k % 3 else [0.0, 1.0], 0) for k in range(300)])
+    usable = op.usable(rows)
+    got = {}
+    for r in op.search(usable, usable.where("vec_id in (20, 60)")).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    like = lambda q: [k for k in range(300) if (k % 3 == 0) == (q % 3 == 0) and k != q][:20]
+    assert {q: [i for _, i in sorted(v)] for q, v in got.items()} == {20: like(20), 60: like(60)}

@@ -5,13 +5,16 @@ the vectors lifted to equal length, so that the angle follows the inner product)
 split into substrings, each with an index of its own. A query probes every substring index
 within its part of the Hamming radius; by the pigeonhole principle that finds every code within
 the radius, and those are ranked by the inner products of the original vectors in double
-precision. A query that finds fewer than ``k`` widens its radius until it has them.
+precision. Queries that find fewer than ``k`` in all blocks together go round again with a wider radius.
 
 The radius is learned: a sample of queries is compared with all rows exactly, and the radius is
-the ``RADIUS_SHARE`` quantile of their true neighbours' code distances.
+the ``RADIUS_SHARE`` quantile of their true neighbours' code distances. The more rows there are, the
+nearer these are, so the radius shrinks as the table grows, and with it the share of rows probed; how far
+depends on how well the vectors cluster.
 
-The index is sharded by a hash of the id into blocks of about ``BLOCK_ROWS`` rows; each block of
-queries visits each of them, so no task holds more than one block of each.
+The index is sharded by a hash of the id into blocks of about ``BLOCK_ROWS`` rows. A block's rows
+come first, sorted, and its index is built once; the queries stream past it in batches, so a task holds
+a block and a batch of queries.
 
 Defined results: vectors that are null, empty, zero, of another length than most, or hold a null,
 NaN or infinite component, and rows without vec_id, take no part; rows that share a vec_id count
@@ -26,7 +29,6 @@ from itertools import combinations
 from math import ceil, comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,7 +43,10 @@ SAMPLE_VALUES = 1 << 21
 SAMPLE_QUERIES = 64
 RADIUS_SHARE = 0.985
 BLOCK_ROWS = 16_384
-QUERY_BLOCK_ROWS = 16_384
+#: Rows of an Arrow batch: queries are answered a batch at a time.
+BATCH_ROWS = 4_096
+#: Bits by which the radius widens from round to round.
+WIDER = 16
 ROTATION_ROUNDS = 30
 
 
@@ -140,16 +145,9 @@ class MultiIndex:
 
 def nearest_in_block(ids: np.ndarray, x: np.ndarray, index: MultiIndex, query_id: int, q: np.ndarray,
                      code: np.ndarray, radius: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Up to ``k`` (ids, scores) of a block for one query, nearest first."""
-    own = np.searchsorted(ids, query_id)
-    own = own if own < len(ids) and ids[own] == query_id else -1
-    enough = min(k, len(ids) - (own >= 0))
-    while True:
-        rows = index.within(code, radius)
-        rows = rows[rows != own]
-        if len(rows) >= enough or radius >= BITS:
-            break
-        radius = min(BITS, radius + max(1, BITS // 16))
+    """Up to ``k`` (ids, scores) of a block within the radius of one query, nearest first."""
+    rows = index.within(code, radius)
+    rows = rows[ids[rows] != query_id]
     scores = x[rows] @ q
     best = np.lexsort((ids[rows], -scores))[:k]
     return ids[rows[best]], scores[best]
@@ -203,40 +201,67 @@ def learn_radius(rows: DataFrame, queries: DataFrame, codes: Codes, k: int = K)
     return int(np.ceil(np.quantile(bits, RADIUS_SHARE))) if bits else BITS
 
 
+def _answers(rows: DataFrame, queries: DataFrame, codes: Codes, radius: int, k: int) -> DataFrame:
+    """(query_id, vec_id, score): of every block up to ``k`` neighbours of each query within the radius."""
+    shared = Shared(rows.sparkSession, (codes, radius))
+    blocks = max(1, ceil(rows.count() / BLOCK_ROWS))
+    own = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
+    left = rows.select(own.alias("block"), F.lit(False).alias("asks"), "vec_id", "v")
+    right = queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("asks"), "vec_id", "v")
+    dealt = left.unionByName(right).repartition(blocks, "block").sortWithinPartitions("block", "asks", "vec_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, radius = shared.value()
+        at, ids, x, index = None, [], [], None  # the block, its rows, and its index once queries come
+        for b in batches:
+            if not b.num_rows:
+                continue
+            block, asks, vec_ids = (b.column(c).to_numpy(zero_copy_only=False) for c in range(3))
+            v = b.column(3).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+            cuts = np.flatnonzero((block[1:] != block[:-1]) | (asks[1:] != asks[:-1])) + 1
+            for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), b.num_rows], strict=True):
+                if block[i] != at:
+                    at, ids, x, index = block[i], [], [], None
+                if not asks[i]:
+                    ids.append(vec_ids[i:j])
+                    x.append(v[i:j])
+                    continue
+                if index is None:
+                    if not ids:  # a block without rows
+                        continue
+                    all_ids, all_x = np.concatenate(ids), np.concatenate(x)
+                    ids, x, index = [all_ids], [all_x], MultiIndex(codes.rows(all_x))
+                found = [nearest_in_block(ids[0], x[0], index, q, v[i + n], code, radius, k)
+                         for n, (q, code) in enumerate(zip(vec_ids[i:j], codes.queries(v[i:j]), strict=True))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(vec_ids[i:j], [len(f[0]) for f in found])), pa.array(np.concatenate([f[0] for f in found])),
+                     pa.array(np.concatenate([f[1] for f in found]))], ["query_id", "vec_id", "score"])
+
+    return dealt.mapInArrow(run, "query_id long, vec_id long, score double")
+
+
 def search(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score) for the ``usable`` rows ``queries`` against all ``rows``."""
     spark = rows.sparkSession
-    small_batches(spark, 4_096)
+    small_batches(spark, BATCH_ROWS)
     codes = learn_codes(rows)
-    out = "query_id long, vec_id long, score double"
     if codes is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    radius = learn_radius(rows, queries, codes, k)
-    shared = Shared(spark, (codes, radius))
-    blocks = lambda n, size: max(1, ceil(n / size))
-    nb, nq = blocks(rows.count(), BLOCK_ROWS), blocks(queries.count(), QUERY_BLOCK_ROWS)
-    own = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = rows.select("vec_id", "v", own(nb).alias("block"), every(nq).alias("part"))
-    right = queries.select("vec_id", "v", every(nb).alias("block"), own(nq).alias("part"))
-
-    def run(_key, index: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        codes, radius = shared.value()
-        asked_ids, near_ids, scores = [], [], []
-        if len(index) and len(asked):
-            index = index.sort_values("vec_id")
-            ids, x = index["vec_id"].to_numpy(), np.stack(index["v"].to_numpy())
-            table = MultiIndex(codes.rows(x))
-            q = np.stack(asked["v"].to_numpy())
-            for n, (qid, code) in enumerate(zip(asked["vec_id"].to_numpy(), codes.queries(q), strict=True)):
-                near, score = nearest_in_block(ids, x, table, qid, q[n], code, radius, k)
-                asked_ids.append(np.full(len(near), qid))
-                near_ids.append(near)
-                scores.append(score)
-        flat = lambda parts: np.concatenate(parts) if parts else []
-        return pd.DataFrame({"query_id": flat(asked_ids), "vec_id": flat(near_ids), "score": flat(scores)})
-
-    near = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(run, out)
-    top = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (near.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    radius, total, asked, done = learn_radius(rows, queries, codes, k), rows.count(), queries, None
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    while True:
+        found = staged(_answers(rows, asked, codes, radius, k).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k),
+                       "neighbours")
+        # all other rows are candidates; a query need not be among the rows
+        enough = F.least(F.lit(k), F.lit(total) - F.coalesce(F.col("inside"), F.lit(0)))
+        counts = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n"))
+        inside = rows.select("vec_id", F.lit(1).alias("inside"))
+        short = staged(asked.join(counts, "vec_id", "left").join(inside, "vec_id", "left")
+                       .where(F.coalesce("n", F.lit(0)) < enough).select("vec_id", "v"), "short_queries")
+        last = radius >= BITS or short.isEmpty()
+        if not last:
+            found = found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti")
+        done = found if done is None else done.unionByName(found)
+        if last:
+            return done.select("query_id", "rank", "vec_id", "score")
+        asked, radius = short, min(BITS, radius + WIDER)

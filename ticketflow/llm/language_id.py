@@ -2,9 +2,10 @@
 
 Filters of several widths slide over the bytes of a window, each filter keeps its largest
 response in the window, and a softmax over those gives the languages. The network is trained in
-numpy on windows of a bounded sample of labelled documents (``TRAIN_DOCS`` expected, chosen by a
-hash of the id). Every window of a whole text is scored, and their probabilities are averaged;
-one pass over the documents, no shuffle.
+numpy on windows of a bounded sample of labelled documents (``TRAIN_DOCS`` expected, with the same quota
+for each language, so that a rare one is learned however large the corpus; chosen by a hash of the
+id). Every window of a whole text is scored, those of many texts together, and a text's probabilities
+are averaged; one pass over the documents, no shuffle.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; rows with a null
 lang are not learned from; without any labelled document all are ``und``; ties go to the
@@ -123,12 +124,24 @@ def _lowered(docs: DataFrame):
     return F.lower("text").cast("binary")
 
 
+def quotas(counts: dict[str, int], train_docs: int) -> dict[str, float]:
+    """The share of each language's documents to learn from: all languages get the same number, those that
+    have fewer all they have, and what they leave goes to the others."""
+    out, left = {}, train_docs
+    for n, (lang, count) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        mine = min(count, max(1, left // (len(counts) - n)))
+        out[lang], left = mine / count, max(0, left - mine)
+    return out
+
+
 def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[list[str], ByteNet] | None:
     """The languages and the network, from a bounded sample outside the held-out third."""
     rows = docs.where("lang is not null and text is not null").where(~held_out(F.col("doc_id"), HELD_OUT_PARTS))
-    total = rows.select("doc_id").count()
-    keep = min(1.0, train_docs / max(1, total))
-    chosen = rows.where(F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 30)) < int(keep * (1 << 30)))
+    share = quotas({r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}, train_docs)
+    if not share:
+        return None
+    bar = F.create_map(*(F.lit(x) for lang, s in share.items() for x in (lang, int(s * (1 << 30)))))[F.col("lang")]
+    chosen = rows.where(F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 30)) < bar)
     small_batches(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,6 +166,34 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple[list[str], Byt
     return langs, net
 
 
+def mean_probabilities(net: ByteNet, texts: list[bytes]) -> list[np.ndarray]:
+    """Per text the mean over all its windows; ``_TEXT_CHUNK`` windows, of whichever texts, are scored at
+    a time."""
+    sums = np.zeros((len(texts), len(net.bias)))
+    sizes = np.zeros(len(texts), np.int64)
+    held, of, n = [], [], 0
+
+    def flush() -> None:
+        if held:
+            np.add.at(sums, np.concatenate(of), net.probabilities(np.concatenate(held)))
+            held.clear()
+            of.clear()
+
+    for k, text in enumerate(texts):
+        x = windows(text)
+        sizes[k] = len(x)
+        for at in range(0, len(x), _TEXT_CHUNK):
+            part = x[at:at + _TEXT_CHUNK]
+            if n + len(part) > _TEXT_CHUNK:
+                flush()
+                n = 0
+            held.append(part)
+            of.append(np.full(len(part), k))
+            n += len(part)
+    flush()
+    return list(sums / np.maximum(sizes, 1)[:, None])
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score (the mean probability of lang_pred)."""
     spark = docs.sparkSession
@@ -165,17 +206,14 @@ def identify(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value()
         for b in batches:
+            texts = [None if model is None or not t.is_valid else t.as_buffer().to_pybytes() for t in b.column(2)]
+            means = [] if model is None else mean_probabilities(model[1], [t for t in texts if t is not None])
+            found = iter(means)
             langs, scores = [], []
-            for text in b.column(2):
-                if model is None or not text.is_valid:
-                    langs.append(UNDETERMINED)
-                    scores.append(0.0)
-                    continue
-                x = windows(text.as_buffer().to_pybytes())
-                p = sum(model[1].probabilities(x[at:at + _TEXT_CHUNK]).sum(axis=0, dtype=np.float64)
-                        for at in range(0, len(x), _TEXT_CHUNK)) / len(x)
-                langs.append(model[0][int(p.argmax())])
-                scores.append(min(1.0, float(p.max())))
+            for t in texts:
+                p = None if t is None else next(found)
+                langs.append(UNDETERMINED if p is None else model[0][int(p.argmax())])
+                scores.append(0.0 if p is None else min(1.0, float(p.max())))
             yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                                              ["doc_id", "held_out", "lang_pred", "score"])
 

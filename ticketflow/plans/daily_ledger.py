@@ -117,6 +117,11 @@ class Manifest:
         return self.spark.read.schema(schema).parquet(run_path(self.root, self.run, table))
 
 
+def _written_by_year(df: DataFrame, path: str) -> None:
+    """A year's rows in as many files as their size asks for, not one for every task that had some."""
+    df.hint("rebalance", "year").write.partitionBy("year").parquet(path)
+
+
 def _years_in(spark: SparkSession, folder: str) -> set[int]:
     return {int(n.partition("=")[2]) for n in names_in(spark, folder) if n.startswith("year=")}
 
@@ -145,7 +150,7 @@ def refresh_daily_ledger(spark: SparkSession, root: str, new: DataFrame, old: Da
     if old is not None:
         entries = entries.unionByName(contributions(old, -1))
     deltas = scratch_path(spark, "daily-deltas")
-    _by_year(_summed(entries)).write.partitionBy("year").parquet(deltas)
+    _written_by_year(_by_year(_summed(entries)), deltas)
     changed = sorted(_years_in(spark, deltas))
     if not changed and base.run:
         return {"run_id": base.run, "ledger_years": [], "fact_years": []}
@@ -157,7 +162,7 @@ def refresh_daily_ledger(spark: SparkSession, root: str, new: DataFrame, old: Da
         F.max(F.when((F.col("year") == y) & F.col("kind").isin(REPORTED, FINISHED), F.col("date"))).cast("string").alias(f"last{y}"))]
     if changed:
         both = base.read("ledger", LEDGER, changed).unionByName(spark.read.schema(LEDGER).parquet(deltas).drop("year"))
-        (_by_year(_summed(both)).observe(seen, *span).write.partitionBy("year").parquet(at("ledger")))
+        _written_by_year(_by_year(_summed(both)).observe(seen, *span), at("ledger"))
         found = seen.get
         for y in changed:
             now.spans.pop(y, None)
@@ -205,9 +210,8 @@ def refresh_daily_ledger(spark: SparkSession, root: str, new: DataFrame, old: Da
         ends = range(min(int(last[:4]), int(was_last[:4])), max(int(last[:4]), int(was_last[:4])) + 1) if last != was_last else ()
         years = [y for y in span_years if y in changed or y in ends]
     if years:
-        (_dense(now.read("ledger", LEDGER, years), spark.read.schema(CARRY).parquet(at("carry")).where(F.col("year") == span_years[0])
-                .select(*CELL), first, last, years)
-         .write.partitionBy("year").parquet(at("fact")))
+        cells = spark.read.schema(CARRY).parquet(at("carry")).where(F.col("year") == span_years[0]).select(*CELL)
+        _written_by_year(_dense(now.read("ledger", LEDGER, years), cells, first, last, years), at("fact"))
     written = _years_in(spark, at("fact"))
     now.tables["fact"] = {y: r for y, r in now.tables["fact"].items() if y in span_years and y not in years} | dict.fromkeys(written, run)
     now.write(run)

@@ -2,6 +2,7 @@ import hashlib
 from zlib import crc32
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.fixtures import awkward, documents, prose, with_extras
 from ticketflow.llm import mixing as op
@@ -109,3 +110,27 @@ def test_shuffled_joins_give_the_same(spark, monkeypatch):
     want = sorted(tuple(r) for r in op.mix_documents(docs, op.TARGET).collect())
     monkeypatch.setattr(op, "BROADCAST_LEAVES", 0)
     assert sorted(tuple(r) for r in op.mix_documents(docs, op.TARGET).collect()) == want
+
+
+@pytest.mark.parametrize("mix", [
+    op.Mix(domain={"web": 3.0, "books": 1.0}, domain_of={"src0": "web", "src1": "books", "src2": "web"}, budget=0.5, max_epochs=1),
+    op.Mix(domain={"web": 3.0, "books": 1.0}, domain_column="domain", budget=0.5, max_epochs=1)])
+def test_domains_of_the_user(spark, mix):
+    """A column of documents, or a name for each source; both name the same domains here."""
+    names = {"src0": "web", "src1": "books", "src2": "web"}
+    rows = [(k, prose(5 + k % 9, k), "en", f"src{k % 4}") for k in range(200)]
+    docs = documents(spark, rows)
+    by_source = F.create_map(*(F.lit(x) for item in names.items() for x in item))[F.col("source")]
+    got = op.mix_documents(docs.withColumn("domain", by_source), mix).collect()
+    assert {(r["source"], r["domain"]) for r in got} == {*names.items(), ("src3", "unknown")}
+    words = lambda d: sum(len(r["text"].split()) for r in got if r["domain"] == d)
+    total = sum(len(r[1].split()) for r in rows)
+    tokens = {}
+    for _, text, _, source in rows:
+        leaf = (names.get(source, "unknown"), "en", source)
+        tokens[leaf] = tokens.get(leaf, 0) + len(text.split())
+    budgets = slow_budgets(tokens, mix)
+    for d in ("web", "books", "unknown"):
+        want = sum(b for leaf, b in budgets.items() if leaf[0] == d)
+        assert want - 15 * 2 < words(d) <= want + 1e-6
+    assert sum(map(words, ("web", "books", "unknown"))) <= total / 2

@@ -43,6 +43,10 @@ class Mix:
     budget: float = 1.0
     max_epochs: int = 2
     seed: int = 17
+    #: Where a document's domain comes from: a column of its own, else its source by name (others:
+    #: ``unknown``), else one of so many by a hash of the source, as in the registered query.
+    domain_column: str | None = None
+    domain_of: dict[str, str] = field(default_factory=dict)
     domains: int = 4
 
 
@@ -55,8 +59,14 @@ PIPELINE = Mix(domain=TARGET.domain, lang=TARGET.lang, budget=0.9, max_epochs=1)
 
 def _leaf(mix: Mix) -> dict[str, Column]:
     source = F.coalesce(F.col("source"), F.lit("unknown"))
-    return {"domain": F.concat(F.lit("d"), (F.crc32(source.cast("binary")) % mix.domains).cast("string")),
-            "lang": F.coalesce(F.col("lang"), F.lit("und")), "source": source}
+    if mix.domain_column:
+        domain = F.coalesce(F.col(mix.domain_column).cast("string"), F.lit("unknown"))
+    elif mix.domain_of:
+        known = F.create_map(*(F.lit(x) for item in sorted(mix.domain_of.items()) for x in item))
+        domain = F.coalesce(F.try_element_at(known, source), F.lit("unknown"))
+    else:
+        domain = F.concat(F.lit("d"), (F.crc32(source.cast("binary")) % mix.domains).cast("string"))
+    return {"domain": domain, "lang": F.coalesce(F.col("lang"), F.lit("und")), "source": source}
 
 
 def _tokens(text: Column) -> Column:
@@ -111,7 +121,8 @@ def _order(mix: Mix, epoch: Column) -> Column:
 def decisions(docs: DataFrame, mix: Mix) -> DataFrame:
     """A row for each leaf: tokens, budget, whole ``epochs`` taken, and ``cutoff``, the last
     order key taken of the epoch after those (null: none)."""
-    rows = staged(docs.select("doc_id", "lang", "source", "text").select(
+    own = [c for c in (mix.domain_column,) if c and c not in ("doc_id", "lang", "source", "text")]
+    rows = staged(docs.select("doc_id", "lang", "source", "text", *own).select(
         "doc_id", *(c.alias(n) for n, c in _leaf(mix).items()), _tokens(F.col("text")).alias("n_tokens")),
         "mix_rows")
     totals = rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0")
@@ -153,9 +164,9 @@ def mix_documents(docs: DataFrame, mix: Mix = TARGET) -> DataFrame:
     leaves = broadcast_if_small(
         decisions(docs, mix).select(*(F.col(c).alias(f"__{c}") for c in LEVELS), F.col("epochs").alias("__epochs"),
                                     F.col("cutoff").alias("__cutoff")), BROADCAST_LEAVES)
-    docs = docs.drop("domain", "epoch")
     leaf = _leaf(mix)
-    named = docs.select("*", *(c.alias(f"__{n}") for n, c in leaf.items()))
+    named = docs.select("*", *(c.alias(f"__{n}") for n, c in leaf.items())).drop("domain", "epoch")
+    docs = docs.drop("domain", "epoch")
     key = _order(mix, F.col("__epochs") + 1)
     copies = F.col("__epochs") + F.when(F.col("__cutoff").isNull(), 0).otherwise(
         (key <= F.col("__cutoff")).cast("int"))

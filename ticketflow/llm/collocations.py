@@ -7,14 +7,17 @@ word, without the first) are among them. From the scan in which it became active
 for one full circle, so over every document once; lengths are thus counted side by side, and the
 scans end when no phrase is left whose circle is open.
 
-While scans run, phrases are known by 64-bit keys. What a task needs to know of the shorter phrases is
-a table of ``1 << TABLE_BITS`` bytes per length, indexed by key: the scan from which on. Keys that
-share an entry only make a phrase active too early (and it is then counted for that circle), never
-too late, and the table has the same size whatever the corpus. The phrases whose keys reach the
-threshold are counted once more, word by word, in a last scan, so counts are exact.
-
-Skew: counts are summed in the tasks before they are shuffled, per (language, phrase) and not per
-language; the best of a language are chosen among the best of its ``TOP_SALTS`` parts.
+Texts are turned into numbers of words once, in chunks of many documents with the chunk's words beside
+them, and scans read these. While scans run, phrases are known by keys. What a task needs to know
+of the shorter phrases is a table of a byte an entry per length, indexed by the first bits of the key: the
+scan from which on. Keys that share an entry only make a phrase active too early (and it is then counted
+for that circle), never too late. A table has an entry for each ``BYTES_AN_ENTRY`` bytes of text and
+``1 << TABLE_BITS`` at most, so what tasks get is bounded whatever the corpus. The phrases whose keys
+reach the threshold are counted once more, word by word, in a last scan, so counts are exact.
+
+Skew: counts are summed by chunk before they are shuffled, as sorted arrays by ranges of keys (as many
+ranges as the corpus needs), so a frequent phrase is one number per chunk and languages do not matter; the
+best of a language are chosen among the best of its ``TOP_SALTS`` parts.
 
 Defined results: a null or empty text has no words; a null lang counts as ``und``; repeated rows count
 each; ties of the score go to the higher count, then to the phrase in byte order; a lang without
@@ -25,13 +28,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 from math import ceil
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ticketflow.llm.common import Shared, small_batches, staged
@@ -42,51 +48,76 @@ MOST_WORDS = 3
 INSIDE_PERCENT = 50
 TOP = 2000
 SHARDS = 3
-TABLE_BITS = 25
+TABLE_BITS, LEAST_TABLE_BITS = 24, 12
+BYTES_AN_ENTRY = 32
 TOP_SALTS = 32
-#: Bytes of text that a task turns into words at once, beside one batch, and words it keeps numbers of.
-CHUNK_BYTES = 6 << 20
-KEPT_WORDS = 400_000
+#: Bytes of text in a chunk, beside one batch, and bytes of text to a range of keys.
+CHUNK_BYTES = 3 << 20
+BYTES_A_RANGE = 4 << 20
 NEVER = 255
 
 _BREAK = re.compile(rb"[.,;:!?\n-\r]")
-_MASK = (1 << TABLE_BITS) - 1
 
 
 class _Numbers(dict):
-    """Numbers of the words of one language, drawn from ``words``."""
+    """Numbers of the words of one language, drawn from ``words``; what ends a piece has number 0."""
 
-    def __init__(self, lang: bytes, words: list, keys: list):
+    def __init__(self, lang: int, words: list, langs: list):
         super().__init__({b".": 0})
-        self.lang, self.words, self.keys = lang + b"\n", words, keys
+        self.lang, self.words, self.langs = lang, words, langs
 
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self.words)
         self.words.append(word)
-        self.keys.append(xxhash.xxh64_intdigest(self.lang + word))
+        self.langs.append(self.lang)
         return n
 
 
-class Words:
-    """Texts as numbers of words; 0 stands between pieces and between texts."""
-
-    def __init__(self):
-        self.forget()
+class Chunk:
+    """Texts of many documents as numbers of words; 0 stands between pieces and between texts."""
 
-    def forget(self) -> None:
-        self.words, self.keys, self.langs = [b""], [0], {}
+    def __init__(self, numbers: np.ndarray, words: list[bytes], langs: list[bytes], lang_of: np.ndarray):
+        #: ``words[n]`` is word n (n > 0), of language ``langs[lang_of[n]]``
+        self.numbers, self.words, self.langs, self.lang_of = numbers, words, langs, lang_of
 
-    def numbers(self, rows: list[tuple[bytes | None, bytes | None]]) -> np.ndarray:
-        """Rows of (lang, text)."""
-        parts = []
+    @classmethod
+    def of(cls, rows: list[tuple[bytes, bytes | None]]) -> Chunk:
+        """From rows of (lang, text)."""
+        words, lang_of, known, parts = [b""], [0], {}, []
         for lang, text in rows:
-            known = self.langs.get(lang)
-            if known is None:
-                known = self.langs[lang] = _Numbers(lang, self.words, self.keys)
+            number = known.get(lang)
+            if number is None:
+                number = known[lang] = _Numbers(len(known), words, lang_of)
             found = _BREAK.sub(b" . ", (text or b"").lower()).split()
             found.append(b".")
-            parts.append(np.fromiter(map(known.__getitem__, found), np.int32, len(found)))
-        return np.concatenate(parts) if parts else np.zeros(0, np.int32)
+            parts.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
+        return cls(np.concatenate(parts), words, list(known), np.array(lang_of, np.int32))
+
+    SCHEMA = "shard int, numbers binary, words binary, langs binary, lang_of binary"
+
+    def row(self, shard: int) -> pa.RecordBatch:
+        # words hold no line break; langs may, so these are told apart by their lengths
+        sizes = np.array([len(x) for x in self.langs], np.int32).tobytes()
+        packed = np.int32(len(self.langs)).tobytes() + sizes + b"".join(self.langs)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([shard], pa.int32()), *(pa.array([x], pa.binary()) for x in (
+                self.numbers.tobytes(), b"\n".join(self.words), packed, self.lang_of.tobytes()))],
+            ["shard", "numbers", "words", "langs", "lang_of"])
+
+    @classmethod
+    def read(cls, numbers: bytes, words: bytes, langs: bytes, lang_of: bytes) -> Chunk:
+        n = int(np.frombuffer(langs, np.int32, 1)[0])
+        ends = 4 + 4 * n + np.cumsum(np.frombuffer(langs, np.int32, n, 4))
+        starts = [4 + 4 * n, *ends[:-1].tolist()] if n else []
+        return cls(np.frombuffer(numbers, np.int32), words.split(b"\n"),
+                   [langs[i:j] for i, j in zip(starts, ends.tolist(), strict=True)], np.frombuffer(lang_of, np.int32))
+
+    def keys(self) -> np.ndarray:
+        """Of each word with its language."""
+        heads = [x + b"\n" for x in self.langs]
+        of = self.lang_of.tolist()
+        return np.fromiter((xxhash.xxh64_intdigest(heads[k] + w) for k, w in zip(of, self.words, strict=True)),
+                           np.uint64, len(self.words))
 
 
 def longer_key(first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -94,178 +125,251 @@ def longer_key(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     x = first * np.uint64(0x9E3779B97F4A7C15) ^ (last * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9))
     x ^= x >> np.uint64(32)
     x *= np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(29))
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0x9E3779B97F4A7C15)
+    return x
+
+
+def at(keys: np.ndarray, entries: int) -> np.ndarray:
+    """Where keys stand in a table of so many entries (a power of two): by their first bits."""
+    return (keys >> np.uint64(65 - entries.bit_length())).astype(np.int64)
 
 
-def at(keys: np.ndarray) -> np.ndarray:
-    """Where keys stand in a table."""
-    return (keys & np.uint64(_MASK)).astype(np.int64)
+def packed(table: np.ndarray, empty: int) -> tuple:
+    """What ``unpacked`` needs to make ``table`` again; the smaller of all entries and those set."""
+    where = np.flatnonzero(table != empty)
+    if len(where) * 5 > len(table):
+        return len(table), None, table
+    return len(table), where.astype(np.int32), table[where]
+
+
+def unpacked(size: int, where: np.ndarray | None, values: np.ndarray, empty: int) -> np.ndarray:
+    if where is None:
+        return values
+    out = np.full(size, empty, values.dtype)
+    out[where] = values
+    return out
 
 
 def phrases(numbers: np.ndarray, keys: np.ndarray, most: int):
     """(length, starts, keys) of all phrases within pieces, for each length up to ``most``."""
-    is_word = numbers > 0
+    is_word = np.append(numbers > 0, False)
     starts = np.flatnonzero(is_word)
-    of_words = keys[numbers]
-    now = of_words[starts]
+    now = keys[numbers[starts]]
     for length in range(1, most + 1):
         yield length, starts, now
-        fits = np.zeros(len(starts), bool)
-        inside = starts + length < len(numbers)
-        fits[inside] = is_word[starts[inside] + length]
-        starts, now = starts[fits], now[fits]
-        now = longer_key(now, of_words[starts + length])
+        if length < most:
+            fits = is_word[starts + length]  # a piece has an end, so this stays inside
+            starts, now = starts[fits], now[fits]
+            now = longer_key(now, keys[numbers[starts + length]])
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]):
-    rows, size = [], 0
-    for b in batches:
-        rows += zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
-        size += b.column(1).nbytes
-        if size > CHUNK_BYTES:
-            yield rows
-            rows, size = [], 0
-    if rows:
-        yield rows
+def shortened(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """The first bits of keys: those that tell the range, and 32 more. There are as many ranges as the corpus
+    needs, so the share of keys that fall together is the same at any size."""
+    return keys >> np.uint64(33 - ranges.bit_length())
 
 
-def _scan(texts: DataFrame, scan: int, circle: int, tables: list[np.ndarray], most: int) -> DataFrame:
-    """(length, key, n) of what is active in this scan, over the shard it reads."""
-    shared = Shared(texts.sparkSession, tables)
+def entry(short: np.ndarray, entries: int, ranges: int) -> np.ndarray:
+    """Where the keys that ``short`` came from stand in a table."""
+    return (short >> np.uint64(32 + ranges.bit_length() - entries.bit_length())).astype(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, words = shared.value(), Words()
-        for rows in _chunks(batches):
-            if len(words.words) > KEPT_WORDS:
-                words.forget()
-            numbers = words.numbers(rows)
-            before = None  # the active scan of the phrases one word shorter, by where they start
-            for length, starts, keys in phrases(numbers, np.array(words.keys, np.uint64), most):
-                if length == 1:
-                    since = np.zeros(len(starts), np.uint8)
-                else:
-                    since = np.maximum(before[starts], before[starts + 1])
-                due = (since <= scan) & (scan < since.astype(np.int64) + circle)
-                found, n = np.unique(keys[due], return_counts=True)
-                if len(found):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(found), length, np.int32)), pa.array(found.view(np.int64)),
-                         pa.array(n.astype(np.int64))], ["length", "key", "n"])
-                if length < most:
-                    before = np.full(len(numbers) + 1, NEVER, np.uint8)
-                    before[starts] = tables[length - 1][at(keys)]
-
-    return (texts.mapInArrow(run, "length int, key long, n long")
-            .groupBy("length", "key").agg(F.sum("n").alias("n")))
-
-
-def _entries(keys: DataFrame) -> np.ndarray:
-    """Which table entries ``keys`` (key) fall on. The driver gets the table's bits, 64 a row:
-    8 MB at most."""
-    where = F.col("key").bitwiseAND(F.lit(_MASK))
-    rows = keys.groupBy(F.shiftright(where, 6).alias("row")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(key & 63 as int)))").alias("bits")).toArrow()
-    bits = np.zeros((_MASK + 1) // 64, np.int64)
-    bits[rows["row"].to_numpy()] = rows["bits"].to_numpy()
-    return np.unpackbits(bits.view(np.uint8), bitorder="little").view(bool)
-
-
-def _within(counts: DataFrame, entries: np.ndarray) -> DataFrame:
-    """Rows of (key, n) whose key falls on one of ``entries``."""
-    shared = Shared(counts.sparkSession, np.packbits(entries))
+
+def _ranges(length: int, short: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """A row per range of keys: (length, range, keys, n), for sorted ``short`` keys."""
+    keys, part = (short & np.uint64(0xFFFFFFFF)).astype(np.uint32), (short >> np.uint64(32)).astype(np.int32)
+    first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(keys) else np.zeros(0, int)
+    last = [*first[1:].tolist(), len(keys)]
+    spans = list(zip(first.tolist(), last, strict=False))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([length] * len(spans), pa.int32()), pa.array(part[first]),
+         pa.array([keys[i:j].tobytes() for i, j in spans], pa.binary()),
+         pa.array([n[i:j].astype(np.int64).tobytes() for i, j in spans], pa.binary())], ["length", "range", "keys", "n"])
+
+
+_COUNTS = "length int, range int, keys binary, n binary"
+
+
+def _summed(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of a range, each once, with their sums."""
+    keys = np.concatenate([np.frombuffer(k, np.uint32) for k in pdf["keys"]])
+    n = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["n"]])
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, int)
+    return keys[first], np.add.reduceat(n[order], first) if len(keys) else n
+
+
+def _bits(keys: np.ndarray, part: int, entries: int, ranges: int) -> bytes:
+    """Which of the table entries of a range ``keys`` fall on, as bits."""
+    own = entries // ranges
+    out = np.zeros(own, bool)
+    out[entry(keys.astype(np.uint64) | np.uint64(part << 32), entries, ranges) - part * own] = True
+    return np.packbits(out).tobytes()
+
+
+def _collected(rows: DataFrame, entries: int, ranges: int) -> np.ndarray:
+    """A table's bits from those of its ranges: (range, bits). ``entries`` bits of each scan reach the
+    driver, 2 MB at most."""
+    out, own = np.zeros(entries, bool), entries // ranges
+    for r in rows.collect():
+        out[r["range"] * own:(r["range"] + 1) * own] |= np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=own).view(bool)
+    return out
+
+
+def _scan(chunks: DataFrame, scan: int, circle: int, tables: list[np.ndarray], most: int, ranges: int,
+          heavy: int) -> DataFrame:
+    """(length, range, keys, n, bits) of what is active in this scan, over the shard it reads; bits are the
+    entries of keys that were found ``heavy`` times."""
+    shared, entries = Shared(chunks.sparkSession, [packed(t, NEVER) for t in tables]), len(tables[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(shared.value()).view(bool)
+        tables = [unpacked(*t, NEVER) for t in shared.value()]
         for b in batches:
-            yield b.filter(pa.array(wanted[at(b.column(0).to_numpy().view(np.uint64))]))
-
-    return counts.select("key", "n").mapInArrow(run, "key long, n long")
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                chunk = Chunk.read(*row)
+                keys, before = chunk.keys(), None
+                for length, starts, mine in phrases(chunk.numbers, keys, most):
+                    if length == 1:
+                        if scan < circle:
+                            n = np.bincount(chunk.numbers, minlength=len(keys))[1:]
+                            order = np.argsort(keys[1:], kind="stable")
+                            yield _ranges(1, shortened(keys[1:][order], ranges), n[order])
+                    else:
+                        since = np.maximum(before[starts], before[starts + 1])
+                        due = mine[(since <= scan) & (scan - circle < since.astype(np.int16))]
+                        yield _ranges(length, *np.unique(shortened(due, ranges), return_counts=True))
+                    if length < most:  # the scan in which phrases of this length were known, by where they start
+                        before = np.full(len(chunk.numbers) + 1, NEVER, np.uint8)
+                        before[starts] = tables[length - 1][at(mine, entries)]
+        pa.default_memory_pool().release_unused()  # the worker is kept for other tasks
+
+    def total(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        keys, n = _summed(pdf)
+        return pd.DataFrame({"length": [key[0]], "range": [key[1]], "keys": [keys.tobytes()], "n": [n.tobytes()],
+                             "bits": [_bits(keys[n >= heavy], int(key[1]), entries, ranges)]})
+
+    return (chunks.select("numbers", "words", "langs", "lang_of").mapInArrow(run, _COUNTS)
+            .groupBy("length", "range").applyInPandas(total, _COUNTS + ", bits binary"))
+
+
+def _reached(counts: list[DataFrame], length: int, least: int, entries: int, ranges: int) -> np.ndarray:
+    """The table entries of phrases counted ``least`` times so far. A phrase is counted in one circle of
+    scans, one of which holds its share of the threshold; only keys on such entries are summed."""
+    mine = reduce(DataFrame.unionByName, (c.where(F.col("length") == length) for c in counts))
+    shared = Shared(mine.sparkSession, packed(_collected(mine.select("range", "bits"), entries, ranges), False))
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = unpacked(*shared.value(), False)
+        for b in batches:
+            for part, keys, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                short = np.frombuffer(keys, np.uint32).astype(np.uint64) | np.uint64(part << 32)
+                kept = wanted[entry(short, entries, ranges)]
+                yield _ranges(length, short[kept], np.frombuffer(n, np.int64)[kept])
 
+    def reached(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        keys, n = _summed(pdf)
+        return pd.DataFrame({"range": [key[0]], "bits": [_bits(keys[n >= least], int(key[0]), entries, ranges)]})
 
-def _reached(counts: list[DataFrame], length: int, least: int, circle: int) -> DataFrame:
-    """(key) of the phrases counted ``least`` times so far. A phrase is counted in ``circle`` scans at
-    most, so one of them holds its share of the threshold; only keys of which that is true are summed."""
-    mine = None
-    for c in counts:
-        rows = c.where(F.col("length") == length).select("key", "n")
-        mine = rows if mine is None else mine.unionByName(rows)
-    if len(counts) > 1:
-        mine = _within(mine, _entries(mine.where(F.col("n") >= ceil(least / circle))))
-    return mine.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key")
+    return _collected(mine.select("range", "keys", "n").mapInArrow(within, _COUNTS).groupBy("range")
+                      .applyInPandas(reached, "range int, bits binary"), entries, ranges)
 
 
-def active_entries(shards: DataFrame, circle: int, least: int, most: int) -> list[np.ndarray]:
+def active_entries(shards: DataFrame, circle: int, least: int, most: int, entries: int, ranges: int) -> list[np.ndarray]:
     """For each length the table entries of the phrases whose keys occur ``least`` times, found by
-    cyclic scans over ``shards`` (shard, lang, text)."""
-    tables = [np.full(_MASK + 1, NEVER, np.uint8) for _ in range(most)]
+    cyclic scans over ``shards`` (chunks with their shard)."""
+    tables = [np.full(entries, NEVER, np.uint8) for _ in range(max(1, most - 1))]
     counts, scan, last = [], 0, 0  # last: the latest scan in which a phrase became active
     while scan < last + circle:
-        texts = shards.where(F.col("shard") == scan % circle).select("lang", "text")
-        counts.append(staged(_scan(texts, scan, circle, tables[:-1], most), "phrase_counts"))
-        for length in range(1, most + 1):
+        counts.append(staged(_scan(shards.where(F.col("shard") == scan % circle), scan, circle, tables, most, ranges,
+                                   ceil(least / circle)), "phrase_counts"))
+        for length in range(1, most):
             # phrases of this length are counted from scan length - 1 on at the earliest, and no longer
             # than a circle after the shorter ones, all of which are known once their circle is over
             if length - 1 <= scan < length * circle:
-                fresh = _entries(_reached(counts[length - 1:], length, least, circle))
-                fresh &= tables[length - 1] == NEVER
+                fresh = _reached(counts[length - 1:], length, least, entries, ranges) & (tables[length - 1] == NEVER)
                 if fresh.any():
-                    tables[length - 1][fresh] = scan + 1
-                    last = scan + 1 if length < most else last
+                    tables[length - 1][fresh] = last = scan + 1
         scan += 1
-    return [t != NEVER for t in tables]
+    return [*(t != NEVER for t in tables[:most - 1]), _reached(counts[most - 1:], most, least, entries, ranges)]
 
 
-def count_exactly(texts: DataFrame, wanted: list[np.ndarray]) -> DataFrame:
+def count_exactly(chunks: DataFrame, wanted: list[np.ndarray]) -> DataFrame:
     """(lang, length, phrase, n) of phrases whose keys fall on ``wanted``; length 0 has all words."""
-    shared = Shared(texts.sparkSession, [np.packbits(w) for w in wanted])
+    shared, entries = Shared(chunks.sparkSession, [packed(w, False) for w in wanted]), len(wanted[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, words = [np.unpackbits(w).view(bool) for w in shared.value()], Words()
+        wanted = [unpacked(*w, False) for w in shared.value()]
 
         def rows(langs: pa.Array, length: int, phrase: pa.Array, n: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [langs, pa.array(np.full(len(n), length, np.int32)), phrase, pa.array(n.astype(np.int64))],
                 ["lang", "length", "phrase", "n"])
 
-        for texts in _chunks(batches):
-            by_lang: dict = {}
-            for r in texts:
-                by_lang.setdefault(r[0], []).append(r)
-            for lang, mine in by_lang.items():
-                if len(words.words) > KEPT_WORDS:
-                    words.forget()
-                numbers = words.numbers(mine)
-                names = pa.array(words.words, pa.binary())
-                label = lambda n, lang=lang: pa.array([lang], pa.binary()).take(pa.array(np.zeros(n, np.int64)))
-                yield rows(label(1), 0, pa.array([b""], pa.binary()), np.array([(numbers > 0).sum()]))
-                for length, starts, keys in phrases(numbers, np.array(words.keys, np.uint64), len(wanted)):
-                    starts = starts[wanted[length - 1][at(keys)]]
+        for b in batches:
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                chunk = Chunk.read(*row)
+                numbers, names, langs = chunk.numbers, pa.array(chunk.words, pa.binary()), pa.array(chunk.langs, pa.binary())
+                in_all = np.bincount(chunk.lang_of[numbers[numbers > 0]], minlength=len(chunk.langs))
+                yield rows(langs, 0, pa.array([b""] * len(langs), pa.binary()), in_all)
+                for length, starts, keys in phrases(numbers, chunk.keys(), len(wanted)):
+                    starts = starts[wanted[length - 1][at(keys, entries)]]
                     group = numbers[starts].astype(np.int64)
                     for k in range(1, length):  # the first words as one number, with the next word
-                        _, group = np.unique(group, return_inverse=True)
+                        if k > 1:
+                            _, group = np.unique(group, return_inverse=True)
                         group = group << 32 | numbers[starts + k]
                     _, one, n = np.unique(group, return_index=True, return_counts=True)
                     if len(n):
-                        spelt = [names.take(pa.array(numbers[starts[one] + k])) for k in range(length)]
-                        yield rows(label(len(n)), length, pc.binary_join_element_wise(*spelt, b" "), n)
-
-    return (texts.mapInArrow(run, "lang binary, length int, phrase binary, n long")
+                        first = starts[one]
+                        spelt = [names.take(pa.array(numbers[first + k])) for k in range(length)]
+                        phrase = spelt[0] if length == 1 else pc.binary_join_element_wise(*spelt, b" ")
+                        yield rows(langs.take(pa.array(chunk.lang_of[numbers[first]])), length, phrase, n)
+        pa.default_memory_pool().release_unused()
+
+    # few and long tasks: a frequent phrase is a row for each of them
+    tasks = 2 * chunks.sparkSession.sparkContext.defaultParallelism
+    return (chunks.select("numbers", "words", "langs", "lang_of").coalesce(tasks)
+            .mapInArrow(run, "lang binary, length int, phrase binary, n long")
             .groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n"))
             .withColumns({c: F.col(c).cast("string") for c in ("lang", "phrase")}))
 
 
+def in_chunks(docs: DataFrame, circle: int) -> tuple[DataFrame, int]:
+    """``docs`` (lang, text) as chunks, dealt out to shards; and their bytes. Staged."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size, shard = [], 0, TaskContext.get().partitionId()
+        for b in batches:
+            rows += zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)
+            size += b.column(1).nbytes
+            if size > CHUNK_BYTES:
+                yield Chunk.of(rows).row(shard % circle)
+                rows, size, shard = [], 0, shard + 1
+        if rows:
+            yield Chunk.of(rows).row(shard % circle)
+        pa.default_memory_pool().release_unused()
+
+    rows = docs.select(F.coalesce("lang", F.lit("und")).cast("binary").alias("lang"), F.col("text").cast("binary").alias("text"))
+    seen = Observation()
+    chunks = rows.mapInArrow(run, Chunk.SCHEMA).observe(seen, F.sum(F.length("numbers")).alias("n"))
+    out = staged(chunks, "phrase_shards", by=["shard"])
+    return out, seen.get["n"] or 0
+
+
 def counted_phrases(docs: DataFrame, least: int = LEAST, most: int = MOST_WORDS, circle: int = SHARDS) -> DataFrame:
     """(lang, length, phrase, n): all words' number (length 0, phrase ''), and the words and the phrases
     of up to ``most`` words that occur ``least`` times in ``docs`` (lang, text)."""
     spark = docs.sparkSession
     small_batches(spark)
-    rows = docs.select(F.coalesce("lang", F.lit("und")).cast("binary").alias("lang"),
-                       F.col("text").cast("binary").alias("text"),
-                       F.pmod(F.monotonically_increasing_id(), F.lit(circle)).cast("int").alias("shard"))
-    shards = staged(rows, "phrase_shards", by=["shard"])
-    wanted = active_entries(shards, circle, least, most)
-    return staged(count_exactly(shards.select("lang", "text"), wanted)
-                  .where((F.col("n") >= least) | (F.col("length") == 0)), "phrases")
+    shards, size = in_chunks(docs, circle)
+    small_batches(spark, 1)  # a row is a chunk from here on, or a range of keys
+    # tables and ranges are as large as the corpus needs, and nothing but cost hangs on either
+    entries = 1 << min(TABLE_BITS, max(LEAST_TABLE_BITS, (size // BYTES_AN_ENTRY).bit_length()))
+    ranges = min(entries, 1 << max(4, (size // BYTES_A_RANGE).bit_length()))
+    wanted = active_entries(shards, circle, least, most, entries, ranges)
+    out = staged(count_exactly(shards, wanted).where((F.col("n") >= least) | (F.col("length") == 0)), "phrases")
+    small_batches(spark)
+    return out
 
 
 def scored(counted: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ def staged(df: DataFrame, name: str, **layout) -> DataFrame:
     if layout.get("by"):
         writer = writer.partitionBy(*layout["by"])
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not layout.get("by") else spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:

@@ -76,3 +76,32 @@ def test_a_projection_after_the_exchange_is_what_is_written(spark, scratch):
     obs = write_partitions(rows, scratch, after=lambda d: d.select((F.col("id") * 2).alias("twice"), "dt"))
     assert obs.get["rows"] == 20
     assert sorted(r["twice"] for r in spark.read.parquet(scratch).collect()) == [2 * k for k in range(20)]
+
+
+# --- landed pages ---------------------------------------------------------------
+
+def events(spark, root):
+    at = dt.datetime(2040, 5, 5, 10)
+    rows = [(k, at + dt.timedelta(hours=k), None if k == 5 else 10 + k, kind, '{"k": %d}' % k)
+            for k, kind in enumerate(["view", "purchase", "click", None, "error", "signup", "purchase", "odd"] * 4)]
+    (spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, props string")
+     .write.parquet(f"{root}/events.parquet"))
+
+
+def test_landed_pages_are_compressed_and_hold_every_feature(spark, tmp_path):
+    root = str(tmp_path)
+    events(spark, root)
+    path = inputs.pages_path(spark, root)
+    files = [r["f"] for r in spark.read.text(path).select(F.input_file_name().alias("f")).distinct().collect()]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    text = lambda df: sorted(df.select(F.to_json(F.struct("poll_id", "page_offset", "feature")).alias("j")).toPandas()["j"])
+    loose = fixtures.feed_features(spark, root)
+    got = fixtures.feed_pages(spark, root).select("poll_id", "page_offset", F.explode("features").alias("feature"))
+    assert loose.count() == got.count() == feed.page_features(inputs.pages(spark, root)).count() > 32
+    assert text(got) == text(loose)
+
+
+def test_features_are_made_after_events_are_grouped(spark, tmp_path):
+    events(spark, str(tmp_path))
+    above, below = plan_of(fixtures.feed_pages(spark, str(tmp_path))).split("Exchange hashpartitioning(poll_day", 1)
+    assert "collect_list(event#" in above and "Point" not in below and "date_format" not in below

@@ -105,3 +105,26 @@ def test_features_are_made_after_events_are_grouped(spark, tmp_path):
     events(spark, str(tmp_path))
     above, below = plan_of(fixtures.feed_pages(spark, str(tmp_path))).split("Exchange hashpartitioning(poll_day", 1)
     assert "collect_list(event#" in above and "Point" not in below and "date_format" not in below
+
+
+# --- streamed pages ---------------------------------------------------------------
+
+def test_features_outside_the_window_do_not_reach_the_state(spark, tmp_path, monkeypatch):
+    def page(offset, *days):
+        return json.dumps({"poll_id": "2040-05-05", "page_offset": offset, "features": [
+            {"geometry": None, "properties": {"ticket_id": d, "last_activity": f"{d} 01:00:00"}} for d in days]})
+
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "a.json").write_text("\n".join([page(0, "2040-05-05", "2040-05-04"), page(2, "2040-05-04")]))
+    reached = []
+    plain = stream.distinct_pages
+
+    def seen(pages, *args):
+        reached.append(pages._jdf.queryExecution().analyzed().toString())
+        return plain(pages, *args)
+
+    monkeypatch.setattr(stream, "distinct_pages", seen)
+    report = stream.run_pages(spark, str(src), str(tmp_path / "log"), str(tmp_path / "ckpt"), ingested_at="x")
+    assert "filter(features" in reached[0] and report.pages == 2
+    assert [r["ticket_id"] for r in stream.read_pages_log(spark, str(tmp_path / "log")).collect()] == ["2040-05-05"]

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketflow.config import FEED_SOURCE_TAG
+from ticketflow.functions.columns import in_window
+from ticketflow.operators.bronze import lift
 from ticketflow.plans.bronze_load import poll_day_bounds, window_rows
 from ticketflow.sources.feed import PAGE, PROPERTIES
 
@@ -49,6 +51,13 @@ def distinct_pages(pages: DataFrame, delay: str, poll: str = "poll_id", offset:
             .dropDuplicatesWithinWatermark([poll, offset]).drop("_poll_time"))
 
 
+def within_window(pages: DataFrame, bounds: dict[str, Column], schema: T.StructType = PROPERTIES,
+                  order_field: str = "last_activity") -> DataFrame:
+    """Every page with those of its features that ``window_rows`` will keep."""
+    return pages.withColumn("features", F.filter("features", lambda f: in_window(
+        lift(f["properties"], schema[order_field]), bounds["start"], bounds["end"])))
+
+
 def run_pages(spark: SparkSession, pages_path: str, log_path: str, checkpoint: str, delay: str = "7 days",
               source: str = FEED_SOURCE_TAG, bounds: dict[str, Column] | None = None, poll: str = "poll_id",
               ingested_at: str | Column | None = None, schema: T.StructType = PROPERTIES,
@@ -56,8 +65,9 @@ def run_pages(spark: SparkSession, pages_path: str, log_path: str, checkpoint: s
     """Consume every page file now in ``pages_path`` that earlier runs with this checkpoint have not."""
     pages = (spark.readStream.schema(PAGE).option("mode", "FAILFAST")
              .option("maxFilesPerTrigger", max_files_per_trigger).json(pages_path))
-    rows = window_rows(distinct_pages(pages, delay, poll), source, bounds or poll_day_bounds(poll), poll,
-                       ingested_at, schema)
+    b = bounds or poll_day_bounds(poll)
+    # features outside their poll's window end here, before pages are shuffled to their state
+    rows = window_rows(distinct_pages(within_window(pages, b, schema), delay, poll), source, b, poll, ingested_at, schema)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # all of the folder, also where an earlier attempt wrote days that this one does not have

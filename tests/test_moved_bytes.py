@@ -128,3 +128,27 @@ def test_features_outside_the_window_do_not_reach_the_state(spark, tmp_path, mon
     report = stream.run_pages(spark, str(src), str(tmp_path / "log"), str(tmp_path / "ckpt"), ingested_at="x")
     assert "filter(features" in reached[0] and report.pages == 2
     assert [r["ticket_id"] for r in stream.read_pages_log(spark, str(tmp_path / "log")).collect()] == ["2040-05-05"]
+
+
+# --- pages ---------------------------------------------------------------
+
+def test_kept_pages_are_not_shuffled(spark, tmp_path, no_small_tables):
+    pages = feed.read_pages(spark, landed(tmp_path, [0, 2, 4]))
+    own, rest = plan_of(feed.page_until_boundary(pages, "2040-01-01", 2)).split("BroadcastExchange", 1)
+    assert "BroadcastHashJoin" in own and "Exchange" not in own and "Exchange" in rest
+
+
+def test_runs_of_kept_pages_hold_no_other_page(spark, tmp_path, monkeypatch):
+    pages = feed.read_pages(spark, landed(tmp_path, [0, 2, 3, 6, 8, 14, 6]))
+    for block in (1, 2, 1024):
+        monkeypatch.setattr(feed, "PAGES_PER_BLOCK", block)
+        kept = feed.page_until_boundary(pages, "2040-01-01", 2).collect()
+        assert sorted(r["page_offset"] for r in kept) == [0, 2, 6, 6, 8]
+
+
+def test_planned_pages_are_not_shuffled(spark, tmp_path, no_small_tables):
+    pages = feed.read_pages(spark, landed(tmp_path, [0, 2]))
+    day = dt.date(2040, 5, 5)
+    plan = spark.createDataFrame([(day, day, "missing"), (day, day, "late")], "first_day date, last_day date, finding string")
+    wanted = backfill.planned_pages(pages, plan)
+    assert "Exchange" not in plan_of(wanted).split("BroadcastExchange", 1)[0] and wanted.count() == 2

@@ -50,14 +50,20 @@ def backfill_plan(findings: DataFrame, partition: str = "dt") -> DataFrame:
             .drop("island"))
 
 
+def planned_pages(pages: DataFrame, plan: DataFrame, findings=(MISSING, PARTIAL), poll: str = "poll_id") -> DataFrame:
+    """The pages of the polls in the plan's ranges. The ranges' days are part of a calendar, so they are
+    broadcast and the pages aren't shuffled."""
+    days = plan.where(F.col("finding").isin(*findings)).select(
+        F.explode(F.sequence("first_day", "last_day")).alias("_day"))
+    return pages.join(F.broadcast(days), F.to_date(poll) == F.col("_day"), "left_semi")
+
+
 def reland(pages: DataFrame, plan: DataFrame, out_path: str, page_size: int = 500, findings=(MISSING, PARTIAL),
            source: str = FEED_SOURCE_TAG, poll: str = "poll_id", ingested_at: str | Column | None = None,
            schema: T.StructType = PROPERTIES) -> int:
     """Land the days of the plan's ranges again, all in one job; returns the rows written. Only the pages
     of their polls are read on."""
-    days = plan.where(F.col("finding").isin(*findings)).select(
-        F.explode(F.sequence("first_day", "last_day")).alias("_day"))
-    wanted = pages.join(days, F.to_date(poll) == F.col("_day"), "left_semi")
+    wanted = planned_pages(pages, plan, findings, poll)
     return load_bronze(wanted, out_path, page_size, source=source, ingested_at=ingested_at, schema=schema)
 
 

@@ -101,6 +101,11 @@ def test_landed_pages_are_compressed_and_hold_every_feature(spark, tmp_path):
     assert text(got) == text(loose)
 
 
+def test_events_are_not_shuffled_to_meet_their_days(spark, tmp_path, no_small_tables):
+    events(spark, str(tmp_path))
+    assert "SortMergeJoin" not in plan_of(fixtures.feed_pages(spark, str(tmp_path)))
+
+
 def test_features_are_made_after_events_are_grouped(spark, tmp_path):
     events(spark, str(tmp_path))
     above, below = plan_of(fixtures.feed_pages(spark, str(tmp_path))).split("Exchange hashpartitioning(poll_day", 1)

@@ -171,3 +171,41 @@ def test_classes_cost_about_the_same():
     assert (np.diff(widths[:-1]) >= 0).all() and widths[-2] > 10 * widths[0]
     assert all(c >= 1 for c in costs[:-1]) and max(costs) < 2
     assert op.layout([], 0) == [0] and op.layout([3, 2], 5) == [0, 2]
+
+
+def test_words_are_runs_of_anything_but_white_space():
+    texts = [b"", None, b"  ", b" Two  words\t", b"\x0bA\x0cb\r\nC\x1cd\x85e\xc2\xa0f\n", b"\xff\xfe \x00 Z", "ÄÖ İ".encode(), b"one"]
+    want = [(t or b"").lower().split() for t in texts]
+    words, sizes = op._words(texts)
+    assert words.to_pylist() == [w for t in want for w in t] and sizes.tolist() == [len(t) for t in want]
+    assert op._words([])[1].tolist() == [] and op._words([b" "])[1].tolist() == [0]
+
+
+def test_a_class_costs_the_root_of_the_classes():
+    v = op.Vocabulary([(b"%d" % k, 10_000_000 // (k + 10)) for k in range(30_000)], {}, 7, 90_000_000, 30_001)
+    assert v.groups[0] == 0 and v.groups[-1] == v.classes > 150
+    assert len(v.groups) - 1 + max(np.diff(v.groups)) <= 2 * np.sqrt(v.classes) + 2
+    net = op.Network(v)
+    assert net.grp.shape[1] == len(v.groups) - 1
+    s = np.random.default_rng(0).normal(size=(1, op.HIDDEN)).astype(np.float32)
+    y = np.arange(v.slots)
+    assert abs(np.exp(net.log_probabilities(np.repeat(s, len(y), axis=0), y)[0].astype(float)).sum() - 1) < 1e-3
+
+
+def test_rows_of_a_slot_are_added_up():
+    rng = np.random.default_rng(1)
+    x, rows = (40 * rng.random(3_000) ** 3).astype(int), rng.normal(size=(3_000, 5)).astype(np.float32)
+    order = np.argsort(x)
+    starts = np.flatnonzero(np.diff(x[order], prepend=-1))
+    want = np.zeros((40, 5))
+    np.add.at(want, x, rows)
+    assert np.allclose(op._sums_by(rows, order, starts), want[x[order][starts]], atol=1e-3)
+
+
+def test_lanes_end_together():
+    sizes = np.random.default_rng(2).integers(1, op.SEGMENT, 3_000)
+    order = op.shuffled(sizes, 5)
+    assert sorted(order) == list(range(3_000)) and (order != op.shuffled(sizes, 6)).any()
+    starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    n = sum(1 for _ in op.windows(np.zeros(sizes.sum() + 1, np.int32), starts[order], (starts + sizes)[order]))
+    assert n < 1.08 * sum(-(-sizes // op.STEPS)) / op.LANES

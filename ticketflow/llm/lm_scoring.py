@@ -1,13 +1,14 @@
-"""Language-model scoring with a gated recurrent network and a class-factored softmax.
+"""Language-model scoring with a gated recurrent network and a softmax factored by groups and classes.
 
 Every word belongs to a class: frequent words to classes of neighbours in frequency, the rarer the
 larger (see ``layout``), the others (unseen ones too) to one of
 ``TAIL_CLASSES`` classes by a hash of their first bytes, and the end of a text to a class of its
-own. Frequent are the ``NEURAL`` first words and all that occur ``softmax_count`` times in training;
-their number grows with the corpus. A word's probability is that of its class times that of
-the word in its class; the network gives the first, and for frequent classes the second; in a
-tail class the second is the smoothed count (c + 0.5) / (N + 0.5 (V + 1)) over the class's training
-tokens N and distinct words V, with one unseen word.
+own; neighbouring classes belong to a group, whose classes are as many as the groups. Frequent are
+the ``NEURAL`` first words and all that occur ``softmax_count`` times in training; their number grows
+with the corpus. A word's probability is that of its group times that of its class in the group
+times that of the word in its class; the network gives the first two, and for frequent classes the
+third; in a tail class the third is the smoothed count (c + 0.5) / (N + 0.5 (V + 1)) over the class's
+training tokens N and distinct words V, with one unseen word.
 
 The network is a gated recurrent unit whose input weights are a table over word slots. A step of
 training changes the slots and classes that occur in its window, and the recurrent part. Training
@@ -23,12 +24,11 @@ joined in by a shuffle; only the ``FREQUENT`` most frequent words (or all that h
 broadcast.
 
 Defined results: a null text is empty and scores its end alone; repeated rows are rows; with no
-training document every score is uniform over the classes and the counts are zero.
+training document the network keeps its first small weights and the counts are zero.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 from math import ceil, log10, sqrt
@@ -37,6 +37,7 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,8 +67,14 @@ CLIP = 1.0
 MOST = 4.0
 #: Tokens that a task holds at once, beside one batch.
 CHUNK_TOKENS = 2_000_000
-_FLUSH = 400_000
-_BLOCK = 256
+#: Bytes of text that a task counts at once.
+COUNTED_BYTES = 32_000_000
+#: Numbers of a block in a softmax, which stays in the processor's cache.
+_BLOCK = 1 << 16
+#: Rows of a slot in a window that are added up side by side; those beyond, slot by slot.
+_FEW = 24
+#: Columns of the table of words that are updated at once.
+_COLUMNS = 4_096
 _FAN_IN = 16
 #: Parameters in a row of a copy.
 _SLICE = 1 << 18
@@ -112,6 +119,8 @@ class Vocabulary:
         self.slot = {w: k for k, (w, _) in enumerate(words[:self.neural])}
         self.slots = self.neural + TAIL_CLASSES + 1
         self.classes = self.frequent_classes + TAIL_CLASSES + 1
+        #: where groups of classes start, and where the last one ends
+        self.groups = np.linspace(0, self.classes, ceil(sqrt(self.classes)) + 1).astype(int).tolist()
         self.end_slot = self.slots - 1
         rest = {k: list(tail.get(k, (0, 0))) for k in range(TAIL_CLASSES)}  # N, V beyond slots
         #: of a word of a tail class, less log10(c + 0.5)
@@ -122,68 +131,74 @@ class Vocabulary:
         self.logs = np.array([log10(c + 0.5) for _, c in words] + [log10(ends + 0.5)])
 
 
-class _Numbers(dict):
-    """Numbers of words; a word that has none gets the next, and is put down in ``new``."""
+class _Numbers:
+    """How many words have numbers: the frequent ones, then the others of the texts coded last, ``new``."""
 
-    def __init__(self, words: list[bytes]):
-        super().__init__(zip(words, range(len(words)), strict=True))
-        self.first, self.new = len(words), []
+    def __init__(self, frequent: int):
+        self.first, self.new = frequent, []
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = self.first + len(self.new)
-        self.new.append(word)
-        return n
+    def __len__(self) -> int:
+        return self.first + len(self.new)
 
     def forget(self) -> None:
-        for w in self.new:
-            del self[w]
         self.new = []
 
 
-class _Slots(dict):
-    """Slots of words; one that isn't frequent has the slot of its tail class."""
+def _words(texts: pa.Array | list[bytes | None]) -> tuple[pa.Array, np.ndarray]:
+    """All words, text after text, with A-Z in lower case, and how many words each text has."""
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary())
+    texts = texts.cast(pa.binary()).fill_null(b"").view(pa.string())  # any bytes: only ASCII is looked at
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, sizes = split.flatten(), pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+    some = pc.not_equal(pc.binary_length(words), 0)
+    if not pc.all(some, min_count=0).as_py():  # white space at an end of a text leaves an empty word
+        text_of = np.repeat(np.arange(len(sizes)), sizes)[some.to_numpy(zero_copy_only=False)]
+        words, sizes = words.filter(some), np.bincount(text_of, minlength=len(sizes))
+    return words.view(pa.binary()), sizes
 
-    neural = 0
 
-    def __missing__(self, word: bytes) -> int:
-        return self.neural + crc32(word[:2]) % TAIL_CLASSES
-
-
-def _mapped(texts: list[bytes | None], number) -> tuple[np.ndarray, np.ndarray]:
-    """``number`` of every word, text after text, and how many words each text has."""
-    parts = []
-    for t in texts:
-        words = (t or b"").lower().split()
-        parts.append(np.fromiter(map(number, words), np.int32, len(words)))
-    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-    return (np.concatenate(parts) if parts else np.zeros(0, np.int32)), sizes
+def _tail_classes(words: pa.Array) -> np.ndarray:
+    starts = pc.binary_slice(words, 0, 2).dictionary_encode()
+    known = np.fromiter(map(tail_class, starts.dictionary.to_pylist()), np.int32, len(starts.dictionary))
+    return known[starts.indices.to_numpy()]
 
 
 class Coder:
     """Texts as numbers of words or as slots, and numbers as slots."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.numbers, self.neural, self.end = _Numbers(vocabulary.frequent), vocabulary.neural, vocabulary.end_slot
-        self._frequent = self._slots_of(vocabulary.frequent)
+        self.numbers, self.neural, self.end = _Numbers(len(vocabulary.frequent)), vocabulary.neural, vocabulary.end_slot
+        self._words = pa.array(vocabulary.frequent, pa.binary())
+        self._frequent = self._slots_of(self._words)
         self._frequent[:self.neural] = np.arange(self.neural)
-        self._words, self._direct = vocabulary.frequent, _Slots()
 
-    def _slots_of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter((self.neural + tail_class(w) for w in words), np.int32, len(words))
+    def _slots_of(self, words: pa.Array) -> np.ndarray:
+        return self.neural + _tail_classes(words)
 
-    def code(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    def _found(self, texts: pa.Array | list[bytes | None]) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+        """Numbers of all words, -1 for those that aren't frequent; where these are, and which; words of each text."""
+        words, sizes = _words(texts)
+        numbers = np.array(pc.index_in(words, value_set=self._words).fill_null(-1), np.int32)
+        rare = np.flatnonzero(numbers < 0)
+        return numbers, rare, words.take(pa.array(rare)), sizes
+
+    def code(self, texts: pa.Array | list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all words, text after text, and how many each text has."""
-        return _mapped(texts, self.numbers.__getitem__)
+        numbers, rare, words, sizes = self._found(texts)
+        once = words.dictionary_encode()
+        self.numbers.new = once.dictionary
+        numbers[rare] = self.numbers.first + once.indices.to_numpy()
+        return numbers, sizes
 
-    def code_slots(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    def code_slots(self, texts: pa.Array | list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """As ``code``, straight to slots: words that aren't frequent get no numbers."""
-        if not self._direct:
-            self._direct.neural = self.neural
-            self._direct.update(zip(self._words, self._frequent.tolist(), strict=True))
-        return _mapped(texts, self._direct.__getitem__)
+        numbers, rare, words, sizes = self._found(texts)
+        slots = self._frequent[numbers] if len(self._frequent) else numbers
+        slots[rare] = self._slots_of(words)
+        return slots, sizes
 
     def slots(self, numbers: np.ndarray) -> np.ndarray:
-        return np.concatenate([self._frequent, self._slots_of(self.numbers.new)])[numbers]
+        return np.concatenate([self._frequent, self._slots_of(pa.array(self.numbers.new, pa.binary()))])[numbers]
 
     def flat(self, slots: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Slots with an end before, between and after the texts, and where each text's end before
@@ -196,11 +211,18 @@ class Coder:
         return out, starts
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
+def _sums_by(rows: np.ndarray, order: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of ``rows``, taken in ``order``, of the runs of it that start at ``starts``; no run is empty."""
+    sizes = np.diff(starts, append=len(order))
+    out = rows[order[starts]]
+    for k in range(1, min(_FEW, sizes.max())):
+        more = np.flatnonzero(sizes > k)
+        out[more] += rows[order[starts[more] + k]]
+    ones = np.ones(sizes.max(), np.float32)
+    for i in np.flatnonzero(sizes > _FEW).tolist():
+        own = order[starts[i] + _FEW:starts[i] + sizes[i]]
+        out[i] += ones[:len(own)] @ rows[own]
+    return out
 
 
 class Network:
@@ -208,8 +230,10 @@ class Network:
 
     def __init__(self, vocabulary: Vocabulary, theta: np.ndarray | None = None, seed: int = 7):
         v, h, self.bounds = vocabulary, HIDDEN, vocabulary.bounds
-        shapes = {"inp": (v.slots, 3 * h), "rec": (h, 3 * h), "rec_b": (3 * h,), "cls": (h + 1, v.classes),
-                  "word": (h + 1, v.neural)}
+        self.group_bounds = v.groups
+        groups = len(v.groups) - 1
+        shapes = {"inp": (v.slots, 3 * h), "rec": (h, 3 * h), "rec_b": (3 * h,), "grp": (h + 1, groups),
+                  "cls": (h + 1, v.classes), "word": (h + 1, v.neural)}
         size = sum(int(np.prod(s)) for s in shapes.values())
         self.frequent_classes = v.frequent_classes
         if theta is None:
@@ -225,113 +249,146 @@ class Network:
         widths = np.diff(v.bounds)
         self.slot_class = np.concatenate([np.repeat(np.arange(len(widths)), widths),
                                           v.frequent_classes + np.arange(TAIL_CLASSES + 1)]).astype(np.int32)
+        self.class_group = np.repeat(np.arange(groups), np.diff(v.groups)).astype(np.int32)
 
     def parts(self, flat: np.ndarray) -> dict[str, np.ndarray]:
         return {n: flat[a:b].reshape(self.shapes[n]) for n, (a, b) in self.views.items()}
 
     def forward(self, x: np.ndarray, state: np.ndarray, keep: bool = False):
-        """States after each step for slots ``x`` (steps, lanes); with ``keep``, what training needs."""
-        h, inp = HIDDEN, self.inp[x]
-        states = np.empty((len(x) + 1, x.shape[1], h), np.float32)
-        states[0] = state
-        kept = []
-        for t in range(len(x)):
-            a = states[t] @ self.rec
-            a += self.rec_b
-            g = _sigmoid(inp[t, :, :2 * h] + a[:, :2 * h])
-            z, r, c = g[:, :h], g[:, h:], a[:, 2 * h:]
+        """States after each step for slots ``x`` (steps, lanes); with ``keep``, what training needs. Lanes
+        are innermost in memory."""
+        h, (steps, lanes) = HIDDEN, x.shape
+        with_one = np.empty((h + 1, steps + 1, lanes), np.float32)
+        states, with_one[h] = with_one[:h], 1
+        states[:, 0] = state.T
+        sign = np.repeat(np.float32([-1, 1]), [2 * h, h])[:, None]  # gates are 1 / (1 + exp(-x))
+        rec, kept = np.concatenate([self.rec.T, self.rec_b[:, None]], axis=1) * sign, []
+        inp = np.empty((3 * h, lanes), np.float32)
+        for t in range(steps):
+            before, after = states[:, t], states[:, t + 1]
+            inp[:] = self.inp.take(x[t], axis=0).T
+            a = rec @ with_one[:, t]
+            g, c = a[:2 * h], a[2 * h:]
+            g -= inp[:2 * h]
+            np.exp(g, out=g)
+            g += 1
+            np.reciprocal(g, out=g)
+            z, r = g[:h], g[h:]
             n = r * c
-            n += inp[t, :, 2 * h:]
+            n += inp[2 * h:]
             np.tanh(n, out=n)
-            states[t + 1] = n + z * (states[t] - n)
+            np.subtract(before, n, out=after)
+            after *= z
+            after += n
             if keep:
                 kept.append((z, r, c, n))
-        return states, kept
+        return states.transpose(1, 2, 0), kept
 
     def log_probabilities(self, s: np.ndarray, y: np.ndarray, grads: dict | None = None, weight=None):
-        """Natural logs of the class (and, for frequent words, the word) of slots ``y`` given states
-        ``s``; with ``grads``, adds the gradients and returns that of the states too. All are gone
-        through in blocks of rows that stay in the processor's cache."""
+        """Natural logs of the group, the class (and, for frequent words, the word) of slots ``y`` given
+        states ``s``; with ``grads``, sets the gradients and returns that of the states too. All are gone
+        through in blocks that stay in the processor's cache."""
         n, h = s.shape
-        s = np.concatenate([s, np.ones((n, 1), np.float32)], axis=1)  # the last parameter is the bias
-        cls = self.slot_class[y]
-        out, back = np.empty(n, np.float32), None if grads is None else np.empty((n, h), np.float32)
-        rows = np.arange(_BLOCK)
-        ones = np.ones(max(self.cls.shape[1], *np.diff(self.bounds, prepend=0)), np.float32)
-
-        def block(mine, goal, table, grad, weight, at):
-            """Logs of ``goal`` in one softmax; the gradient of ``table`` is added to ``grad``."""
-            z = mine @ table
-            i = rows[:len(goal)]
-            chosen = z[i, goal]
-            np.exp(z, out=z)
-            total = z @ ones[:z.shape[1]]
-            if grad is not None:
-                z[i, goal] -= total
-                scale = (weight / total)[:, None]
-                grad += (mine * scale).T @ z
-                d = z @ table[:-1].T
-                d *= scale
-                back[at] = d if grad is grads["cls"] else back[at] + d
-            return chosen - np.log(total)
-
-        for i in range(0, n, _BLOCK):
-            at = slice(i, i + _BLOCK)
-            out[at] = block(s[at], cls[at], self.cls, grads and grads["cls"], None if grads is None else weight[at], at)
-        frequent = np.flatnonzero(cls < self.frequent_classes)
-        order = frequent[np.argsort(cls[frequent], kind="stable")]  # the words of one class together
-        bounds = np.searchsorted(cls[order], np.arange(self.frequent_classes + 1)).tolist()
-        states, goals = s[order], y[order]
-        weights = None if grads is None else weight[order]
-        for k, (start, end) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-            own = slice(self.bounds[k], self.bounds[k + 1])
-            for i in range(start, end, _BLOCK):
-                j = min(i + _BLOCK, end)
-                out[order[i:j]] += block(states[i:j], goals[i:j] - own.start, self.word[:, own],
-                                         grads and grads["word"][:, own], None if grads is None else weights[i:j], order[i:j])
-        return out, back
+        order = np.argsort(y)  # rows of a group, a class and a word together
+        y = y[order]
+        rows = np.empty((n, h + 1), np.float32)
+        rows[:, :h], rows[:, h] = s, 1  # the last parameter is the bias
+        rows = rows[order]
+        weight = None if grads is None else weight[order]
+        out, back = np.zeros(n, np.float32), None if grads is None else np.zeros((n, h), np.float32)
+
+        def level(name: str, bounds: list[int], goals: np.ndarray) -> None:
+            """A softmax for every two neighbours of ``bounds``, over the outputs between them."""
+            ends = np.searchsorted(goals, bounds).tolist()
+            done, table, grad = ends[-1], getattr(self, name), grads and grads[name]
+            blocks = []  # from which row to which, of which outputs, and whether it is their first
+            for low, high, start, end in zip(bounds[:-1], bounds[1:], ends[:-1], ends[1:], strict=True):
+                step = max(64, _BLOCK // (high - low))
+                blocks += [(i, min(i + step, end), low, high, i == start) for i in range(start, end, step)]
+                if grads is not None and start == end:
+                    grad[:, low:high] = 0
+            if not blocks:
+                return
+            first, last, lows, highs, _ = np.array(blocks).T
+            each = last - first
+            at = (np.arange(done) - np.repeat(first, each)) * np.repeat(highs - lows, each) + goals[:done] - np.repeat(lows, each)
+            chosen, total = np.empty(done, np.float32), np.empty(done, np.float32)
+            d = None if grads is None else np.empty((done, h), np.float32)
+            room, ones = np.empty((each * (highs - lows)).max(), np.float32), np.ones((highs - lows).max(), np.float32)
+            for i, j, low, high, new in blocks:
+                flat, mine, goal = room[:(j - i) * (high - low)], rows[i:j], at[i:j]
+                z, own = flat.reshape(j - i, high - low), table[:, low:high]
+                np.matmul(mine, own, out=z)
+                chosen[i:j] = flat.take(goal)
+                np.exp(flat, out=flat)
+                sums = np.matmul(z, ones[:high - low], out=total[i:j])
+                if grads is not None:
+                    flat[goal] -= sums
+                    mine = (mine * (weight[i:j] / sums)[:, None]).T
+                    if new:
+                        np.matmul(mine, z, out=grad[:, low:high])
+                    else:
+                        grad[:, low:high] += mine @ z
+                    np.matmul(z, own[:-1].T, out=d[i:j])
+            out[:done] += chosen - np.log(total)
+            if grads is not None:
+                d *= (weight[:done] / total)[:, None]
+                back[:done] += d
+
+        classes = self.slot_class[y]
+        level("grp", [0, len(self.group_bounds) - 1], self.class_group[classes])
+        level("cls", self.group_bounds, classes)
+        level("word", self.bounds, y)
+        logs = np.empty_like(out)
+        logs[order] = out
+        if back is None:
+            return logs, None
+        unsorted = np.empty_like(back)
+        unsorted[order] = back
+        return logs, unsorted
 
     def gradients(self, x: np.ndarray, y: np.ndarray, live: np.ndarray, state: np.ndarray, grads: dict):
         """Backpropagation through a window (steps, lanes): the state after it, and the slots it read.
-        ``grads`` gets the gradients; of the input table only the rows of those slots, of the classes only
-        those that occur."""
+        ``grads`` gets the gradients; of the input table only the rows of those slots."""
         h, (steps, lanes) = HIDDEN, x.shape
         states, kept = self.forward(x, state, keep=True)
-        for n in ("rec", "rec_b", "cls", "word"):
-            grads[n].fill(0)
         weight = (live / max(1, live.sum())).astype(np.float32).ravel()
         _, back = self.log_probabilities(states[1:].reshape(-1, h), y.ravel(), grads, weight)
-        back = back.reshape(steps, lanes, h)
-        da = np.empty((steps, lanes, 3 * h), np.float32)  # of what the recurrent weights give
-        dn = np.empty((steps, lanes, h), np.float32)
-        d = np.zeros((lanes, h), np.float32)
+        back = np.ascontiguousarray(back.T).reshape(h, steps, lanes)
+        held = states.transpose(2, 0, 1)
+        da = np.empty((3 * h, steps, lanes), np.float32)  # of what the recurrent weights give
+        dn = np.empty((h, steps, lanes), np.float32)
+        d = np.zeros((h, lanes), np.float32)
         for t in range(steps - 1, -1, -1):
             z, r, c, n = kept[t]
-            d += back[t]
-            np.multiply(d * (1 - z), 1 - n * n, out=dn[t])
-            np.multiply(d * (states[t] - n), z * (1 - z), out=da[t, :, :h])
-            np.multiply(dn[t], r, out=da[t, :, 2 * h:])
-            np.multiply(da[t, :, 2 * h:], c * (1 - r), out=da[t, :, h:2 * h])
-            d *= z
-            d += da[t] @ self.rec.T
-        flat_da = da.reshape(-1, 3 * h)
-        grads["rec"] += states[:-1].reshape(-1, h).T @ flat_da
-        grads["rec_b"] += np.ones(len(flat_da), np.float32) @ flat_da
-        da[:, :, 2 * h:] = dn  # the inputs reach the candidate past the reset gate
-        order = np.argsort(x.ravel(), kind="stable")
+            d += back[:, t]
+            through = d * z
+            d -= through
+            np.multiply(d, 1 - n * n, out=dn[:, t])
+            through_z = through * (1 - z)
+            np.multiply(held[:, t] - n, through_z, out=da[:h, t])
+            np.multiply(dn[:, t], r, out=da[2 * h:, t])
+            np.multiply(da[2 * h:, t], c * (1 - r), out=da[h:2 * h, t])
+            d = self.rec @ da[:, t]
+            d += through
+        flat_da = da.reshape(3 * h, -1)
+        grads["rec"] = held[:, :-1].reshape(h, -1) @ flat_da.T
+        grads["rec_b"] = flat_da @ np.ones(flat_da.shape[1], np.float32)
+        da[2 * h:] = dn  # the inputs reach the candidate past the reset gate
+        order = np.argsort(x.ravel())
         read = x.ravel()[order]
         starts = np.flatnonzero(np.concatenate([[True], read[1:] != read[:-1]]))
-        grads["inp"] = np.add.reduceat(flat_da[order], starts)
+        grads["inp"] = _sums_by(np.ascontiguousarray(flat_da.T), order, starts)
         return states[-1], read[starts]
 
     def learn(self, x: np.ndarray, y: np.ndarray, live: np.ndarray, state: np.ndarray, opt: dict) -> np.ndarray:
         """One step of truncated backpropagation over a window (steps, lanes); the state after it. The
-        recurrent part and the classes take steps of Adam; the tables of words, of which a window sees a
-        part, have one sum of squares a word."""
+        recurrent part, the groups and the classes take steps of Adam; the tables of words, of which a
+        window sees a part, have one sum of squares a word."""
         if not opt:
-            opt["grads"] = {n: np.zeros_like(getattr(self, n)) for n in self.shapes}
-            opt["small"] = {n: (np.zeros_like(getattr(self, n)), np.zeros_like(getattr(self, n)))
-                            for n in ("rec", "rec_b", "cls")}
+            small = ("rec", "rec_b", "grp", "cls")
+            opt["grads"] = {n: np.zeros_like(getattr(self, n)) for n in (*small, "word")}
+            opt["small"] = {n: (np.zeros_like(getattr(self, n)), np.zeros_like(getattr(self, n))) for n in small}
             opt["inp"] = np.zeros(len(self.inp), np.float32)
             opt["word"] = np.zeros(self.word.shape[1], np.float32)
             opt["t"] = 0
@@ -354,12 +411,14 @@ class Network:
         rows = self.inp[slots]
         rows -= g * (np.float32(TABLE_RATE) / (np.sqrt(total) + np.float32(1e-10)))[:, None]
         self.inp[slots] = np.clip(rows, -MOST, MOST, out=rows)
-        if self.frequent_classes:
-            g, squares = grads["word"], opt["word"]
-            squares += np.einsum("hw,hw->w", g, g) / len(g)
+        mean = np.full(len(self.word), 1 / len(self.word), np.float32)
+        for i in range(0, self.word.shape[1], _COLUMNS):
+            own = slice(i, i + _COLUMNS)
+            g, squares, table = grads["word"][:, own], opt["word"][own], self.word[:, own]
+            squares += mean @ (g * g)
             g *= np.float32(TABLE_RATE) / (np.sqrt(squares) + np.float32(1e-10))
-            self.word -= g
-            np.clip(self.word, -MOST, MOST, out=self.word)
+            table -= g
+            np.clip(table, -MOST, MOST, out=table)
         return last
 
 
@@ -391,6 +450,14 @@ def windows(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, lanes: int =
             who, at, carry = who[kept], at[kept], carry[kept]
 
 
+def shuffled(lengths: np.ndarray, seed: int) -> np.ndarray:
+    """A random order of spans, but for the last ones: these go from long to short, so that lanes end together."""
+    order = np.random.default_rng(seed).permutation(len(lengths))
+    last = order[-2 * LANES:]
+    order[-2 * LANES:] = last[np.argsort(-lengths[last], kind="stable")]
+    return order
+
+
 def carried(state: np.ndarray | None, carry: np.ndarray) -> np.ndarray:
     out = np.zeros((len(carry), HIDDEN), np.float32)
     if state is not None:
@@ -398,18 +465,18 @@ def carried(state: np.ndarray | None, carry: np.ndarray) -> np.ndarray:
     return out
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], column: int):
-    """Batches gathered to about ``CHUNK_TOKENS``, told by their bytes: (batches, texts)."""
-    held, texts, size = [], [], 0
+def _chunks(batches: Iterator[pa.RecordBatch], column: int, most: int = 6 * CHUNK_TOKENS):
+    """Batches gathered to about ``most`` bytes of text: (batches, texts)."""
+    held, size = [], 0
+    texts = lambda: pa.concat_arrays([b.column(column) for b in held])
     for b in batches:
         held.append(b)
-        texts += b.column(column).to_pylist()
         size += b.column(column).nbytes
-        if size > 6 * CHUNK_TOKENS:
-            yield held, texts
-            held, texts, size = [], [], 0
-    if texts:
-        yield held, texts
+        if size > most:
+            yield held, texts()
+            held, size = [], 0
+    if sum(b.num_rows for b in held):
+        yield held, texts()
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -417,21 +484,9 @@ def count_words(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())],
-                                             ["word", "c"])
-            seen.clear()
-            return out
-
-        for b in batches:
-            for t in b.column(0):
-                if t.is_valid:
-                    seen.update(t.as_buffer().to_pybytes().lower().split())
-                if len(seen) > _FLUSH:
-                    yield flush()
-        yield flush()
+        for _, texts in _chunks(batches, 0, COUNTED_BYTES):
+            counted = _words(texts)[0].value_counts()
+            yield pa.RecordBatch.from_arrays([counted.field("values"), counted.field("counts")], ["word", "c"])
 
     return staged(docs.select(F.col("text").cast("binary")).mapInArrow(run, "word binary, c long")
                   .groupBy("word").agg(F.sum("c").alias("c")), "word_counts")
@@ -487,7 +542,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
                 first = np.repeat(starts[:-1], cuts) + SEGMENT * (
                     np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts))
                 last = np.minimum(first + SEGMENT, np.repeat(starts[1:], cuts))
-                order = np.random.default_rng(len(flat)).permutation(len(first))
+                order = shuffled(last - first, len(flat))
                 state = None
                 for x, y, live, carry, _who in windows(flat, first[order], last[order]):
                     state = net.learn(x, y, live, carried(state, carry), opt)
@@ -536,7 +591,7 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return upto[ends] - upto[ends - sizes]
 
 
-def _scored(vocabulary: Vocabulary, net: Network, coder: Coder, texts: list[bytes | None]):
+def _scored(vocabulary: Vocabulary, net: Network, coder: Coder, texts: pa.Array | list[bytes | None]):
     """Columns of a chunk: tokens, known frequent words, base and model logs without the shares of
     words whose counts are not broadcast, and those words with how often they occur."""
     v = vocabulary
@@ -545,15 +600,15 @@ def _scored(vocabulary: Vocabulary, net: Network, coder: Coder, texts: list[byte
     coder.numbers.forget()
     frequent = len(v.frequent)
     is_rare, tail = numbers >= frequent, slots >= v.neural
-    logs = np.where(is_rare, 0.0, v.logs[np.where(is_rare, 0, numbers)])
-    known = _sums(~is_rare, sizes).astype(np.int64) + (v.ends > 0)
+    logs = np.append(v.logs[:frequent], 0.0)[np.minimum(numbers, frequent)]
+    rare_text = np.repeat(np.arange(len(sizes)), sizes)[is_rare]
+    known = sizes - np.bincount(rare_text, minlength=len(sizes)) + (v.ends > 0)
     base = _sums(logs, sizes) + v.logs[-1] + (sizes + 1) * v.base_log
-    beyond = np.where(tail, logs + v.tail_log[np.where(tail, slots - v.neural, 0)], 0.0)
+    beyond = np.where(tail, logs, 0.0) + np.concatenate([np.zeros(v.neural), v.tail_log])[slots]
     flat, starts = coder.flat(slots, sizes)
     model = _sums(beyond, sizes) + _network_logs(net, flat, starts)
     # rare words of each text, once each
-    text_of = np.repeat(np.arange(len(sizes)), sizes)[is_rare]
-    key, n = np.unique(text_of * (len(rare_words) + 1) + (numbers[is_rare] - frequent), return_counts=True)
+    key, n = np.unique(rare_text * (len(rare_words) + 1) + (numbers[is_rare] - frequent), return_counts=True)
     offsets = np.searchsorted(key // (len(rare_words) + 1), np.arange(len(sizes) + 1))
     words = pa.array(rare_words, pa.binary()).take(pa.array(key % (len(rare_words) + 1)))
     rare = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
